@@ -138,13 +138,19 @@ def _field(metadata: Column, path: str, condition) -> Column:
     return _equals(metadata, path, condition)
 
 
-def _promoted_guard(column: Column, condition) -> Column | None:
+def _promoted_guard(promoted: tuple[Column, str], condition) -> Column | None:
     """A plain predicate on a promoted column that no matching row fails.
 
-    The column is null unless the metadata value has exactly the promoted
+    The column is null unless the metadata value is a scalar of the promoted
     type, so null rows always pass; what remains can be pushed to the scan.
     """
-    simple = lambda v: isinstance(v, (str, int, float)) and not isinstance(v, bool)
+    column, kind = promoted
+
+    def simple(v) -> bool:
+        if isinstance(v, bool):
+            return False
+        return isinstance(v, str) if kind == "string" else isinstance(v, (int, float))
+
     tests = []
     if isinstance(condition, dict):
         for op, argument in condition.items():
@@ -159,12 +165,39 @@ def _promoted_guard(column: Column, condition) -> Column | None:
     return (column.isNull() | _all(tests)) if tests else None
 
 
-def compile_filter(filters: dict | None, metadata: Column, promoted: dict[str, Column] | None = None) -> Column:
-    """A filter document as a boolean Column; ``None`` or ``{}`` keeps every row.
+PROMOTABLE = ("string", "bigint", "double")
+
+
+def promote(metadata: Column, path: str, kind: str) -> Column:
+    """The value at ``path`` as a typed column; null unless it is a scalar of that type."""
+    if kind not in PROMOTABLE:
+        raise ValueError(f"metadata columns are one of {', '.join(PROMOTABLE)}, got {kind!r}")
+    value = _at(metadata, variant_path(path))
+    shape = F.schema_of_variant(value)
+    fits = {"string": shape == "STRING", "bigint": shape == "BIGINT"}.get(kind)
+    if fits is None:
+        fits = (shape == "BIGINT") | _is_real(shape)
+    return F.when(fits, _at(value, "$", kind))
+
+
+def pushed_filter(filters: dict | None, promoted: dict[str, tuple[Column, str]]) -> Column:
+    """The part of a filter that a file scan can use.
 
-    ``promoted`` maps paths to typed columns that repeat a metadata value;
-    conditions on them are added as predicates that reach the file scan.
+    ``promoted`` maps paths to (typed column, type name) that repeat a metadata
+    value. Every row that ``compile_filter`` keeps passes; the two are combined.
     """
+    guards = []
+    for key, value in (filters or {}).items():
+        if key == "$and":
+            guards.extend(pushed_filter(part, promoted) for part in _sequence(key, value))
+        elif key in promoted:
+            guard = _promoted_guard(promoted[key], value)
+            guards.extend([guard] if guard is not None else [])
+    return _all(guards)
+
+
+def compile_filter(filters: dict | None, metadata: Column) -> Column:
+    """A filter document as a boolean Column; ``None`` or ``{}`` keeps every row."""
     if filters is None:
         return F.lit(True)
     if not isinstance(filters, dict):
@@ -172,15 +205,11 @@ def compile_filter(filters: dict | None, metadata: Column, promoted: dict[str, C
     conditions = []
     for key, value in filters.items():
         if key in ("$and", "$or", "$nor"):
-            parts = [compile_filter(part, metadata, promoted if key == "$and" else None)
-                     for part in _sequence(key, value)]
+            parts = [compile_filter(part, metadata) for part in _sequence(key, value)]
             joined = _all(parts) if key == "$and" else _any(parts)
             conditions.append(~joined if key == "$nor" else joined)
         elif key.startswith("$"):
             raise ValueError(f"unknown filter operator {key!r}")
         else:
-            guard = _promoted_guard(promoted[key], value) if promoted and key in promoted else None
-            if guard is not None:
-                conditions.append(guard)
             conditions.append(_field(metadata, variant_path(key), value))
     return _all(conditions)

@@ -49,29 +49,36 @@ def search(
     metric: str = "euclidean",
     payload: tuple[str, ...] = (),
     scan=None,
+    held: int | None = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Top k per query.
 
     With an array column ``probes`` in ``queries`` only items whose ``list_id``
     is probed (or negative: not in any list) are compared. ``payload`` names
-    item columns to attach to the hits. ``scan`` replaces the distance scan
-    (see ``pq``).
+    item columns to attach to the hits. ``scan`` replaces the distance scan and
+    keeps ``held`` candidates per query meanwhile (see ``pq``). ``stored`` is
+    the frame to fetch payload from when ``items`` is a costly filter over it.
     """
     check_metric(metric)
     if k < 1:
         raise ValueError("top_k must be at least 1")
+    stored = items if stored is None else stored
     probing = "probes" in queries.columns
     queries = queries.select("query_id", "qv", *(["probes"] if probing else []))
-    most = max(1, min(MAX_QUERY_ROWS, MAX_HITS // k))
+    most = max(1, min(MAX_QUERY_ROWS, MAX_HITS // (held or k)))
     first = queries.limit(most + 1).toArrow()
     if first.num_rows == 0:
-        return _with_payload(_no_hits(queries, items), items, payload)
+        return _with_payload(_no_hits(queries, items), stored, payload)
     width = len(first.column("qv")[0])
     most = max(1, min(most, MAX_QUERY_BYTES // (8 * max(width, 1))))
     if probing:
         spread = max(len(p) for p in first.column("probes").to_pylist())
         most = max(1, min(most, MAX_POSTINGS // max(spread, 1)))
-    run = lambda block: _search_block(block, queries, items, k, metric, payload, scan or scan_block)
+
+    def run(block: pa.Table) -> DataFrame:
+        return _search_block(block, queries, items, stored, k, metric, payload, scan or scan_block)
+
     if first.num_rows <= most:
         return run(first)
     return _search_blocks(queries, most, run)
@@ -95,13 +102,14 @@ def _search_blocks(queries: DataFrame, most: int, run) -> DataFrame:
     return spark.read.parquet(target).drop("part")
 
 
-def _search_block(table, queries, items, k, metric, payload, scan) -> DataFrame:
+def _search_block(table, queries, items, stored, k, metric, payload, scan) -> DataFrame:
     if "probes" in queries.columns:
         lists = sorted({p for row in table.column("probes").to_pylist() for p in row})
         if len(lists) <= MAX_PRUNED_LISTS:
-            items = items.where((F.col("list_id") < 0) | F.col("list_id").isin(lists))
-    hits = rank_hits(scan(table, queries, items, k, metric), k)
-    return _with_payload(hits, items, payload)
+            probed = (F.col("list_id") < 0) | F.col("list_id").isin(lists)
+            items, stored = items.where(probed), stored.where(probed)
+    hits = rank_hits(scan(table, queries, items, stored, k, metric), k)
+    return _with_payload(hits, stored, payload)
 
 
 def _no_hits(queries: DataFrame, items: DataFrame) -> DataFrame:
@@ -161,7 +169,7 @@ def spread_scan(items: DataFrame, n_queries: int, width: int, k: int) -> DataFra
     return items.coalesce(max(4 * cores, MAX_TASK_HITS // (n_queries * k)))
 
 
-def scan_block(table: pa.Table, queries: DataFrame, items: DataFrame, k: int, metric: str) -> DataFrame:
+def scan_block(table: pa.Table, queries: DataFrame, items: DataFrame, stored: DataFrame, k: int, metric: str) -> DataFrame:
     """Running top k per query and task over the streamed items."""
     spark = items.sparkSession
     vectors = matrix(table.column("qv"))
@@ -208,25 +216,22 @@ def probe_lists(
     n_lists = len(centroids)
     want = n_lists if n_probes is None else max(1, min(n_probes, n_lists))
     shared = queries.sparkSession.sparkContext.broadcast((centroids, sizes))
-    schema = T.StructType(queries.select("query_id", "qv").schema.fields
-                          + [T.StructField("probes", T.ArrayType(T.IntegerType()))])
     step = max(1, CELLS // want)
 
-    def run(batches):
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def nearest_lists(vectors: pa.Array) -> pa.Array:
         near, held = shared.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                top = nearest_rows(matrix(part.column(1), near.shape[1]), near, want, metric)
-                chosen = top.id.astype(np.int32)
-                if held is not None:
-                    before = np.cumsum(held[chosen], axis=1) - held[chosen]
-                    chosen = [row[b < k] for row, b in zip(chosen, before)]
-                probes = pa.array([row.tolist() for row in chosen], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), probes], names=["query_id", "qv", "probes"])
+        x, rows = matrix(vectors, near.shape[1]), []
+        for at in range(0, len(x), step):
+            top = nearest_rows(x[at:at + step], near, want, metric)
+            chosen = top.id.astype(np.int32)
+            if held is not None:
+                before = np.cumsum(held[chosen], axis=1) - held[chosen]
+                chosen = [row[b < k] for row, b in zip(chosen, before)]
+            rows.extend(row.tolist() for row in chosen)
+        return pa.array(rows, pa.list_(pa.int32()))
 
-    return queries.select("query_id", "qv").mapInArrow(run, schema)
+    return queries.select("query_id", "qv", nearest_lists("qv").alias("probes"))
 
 
 def nest_hits(hits: DataFrame) -> DataFrame:
@@ -237,6 +242,6 @@ def nest_hits(hits: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct(*ordered)), lambda a, b: a["rank"] - b["rank"]).alias("hits"))
 
 
-def only_included(hits: DataFrame, include, known=("distance", "metadata", "vector", "contents")) -> DataFrame:
+def only_included(hits: DataFrame, include, known=("distance", "metadata", "vector", "contents", "is_text")) -> DataFrame:
     """``query_id, rank, id`` plus the included columns; unknown names are ignored."""
     return hits.select("query_id", "rank", "id", *[c for c in known if c in include and c in hits.columns])
