@@ -9,8 +9,8 @@ TEXT_KEY = "_content"    # fixed value: the metadata key that holds a document's
 
 
 def encode_contents(contents: Column) -> Column:
-    """Bytes as base64 text, for JSON files."""
-    return F.base64(contents)
+    """Bytes as base64 text on one line, for JSON files."""
+    return F.translate(F.base64(contents), "\r\n", "")
 
 
 def decode_contents(text: Column) -> Column:

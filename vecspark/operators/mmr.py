@@ -8,15 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.blocks import matrix
+from ..functions.blocks import exact_distance, matrix
+from ..functions.distance import COSINE
 
 DEFAULT_LAMBDA = 0.5
 
 
 def mmr_order(score: np.ndarray, vectors: np.ndarray, k: int, weight: float) -> list[int]:
     """Greedy picks: ``weight * score - (1 - weight) * max(0, similarity to the picked)``."""
-    norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
-    unit = np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
     picked: list[int] = []
     near = np.zeros(len(score))
     free = np.ones(len(score), dtype=bool)
@@ -25,7 +24,7 @@ def mmr_order(score: np.ndarray, vectors: np.ndarray, k: int, weight: float) ->
         best = int(np.argmax(np.where(free, value, -np.inf)))
         picked.append(best)
         free[best] = False
-        near = np.maximum(near, unit @ unit[best])
+        near = np.maximum(near, 1.0 - exact_distance(vectors, np.broadcast_to(vectors[best], vectors.shape), COSINE))
     return picked
 
 
