@@ -1,7 +1,8 @@
 """Text embedding: user functions, and a deterministic hashing embedder.
 
 An embedder is called with a text column and returns a vector column. It runs
-where the row is; embedding never shuffles.
+where the row is; embedding never shuffles. The functions are marked
+nondeterministic so that the optimizer never repeats the call in a filter.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def function_embedder(load: Callable[[], Callable[[list[str]], list]], element:
                     vectors[at] = vector
             yield vectors
 
-    return embed
+    return embed.asNondeterministic()
 
 
 def word_hash(text: Column) -> Column:
@@ -79,6 +80,8 @@ def hashing_embedder(dim: int):
         v = np.divide(v, length, out=v, where=length > 0)
         return pa.array(list(np.round(v, DECIMALS)), pa.list_(pa.float64()))
 
+    add_up = add_up.asNondeterministic()
+
     def embed(text: Column) -> Column:
         words = F.split(F.lower(text), r"\s+")
         slots = F.transform(words, lambda w: F.pmod(word_hash(w) * SPREAD, F.lit(dim)).cast("int"))

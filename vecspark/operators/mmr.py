@@ -48,7 +48,7 @@ def mmr_select(hits: DataFrame, k: int, weight: float = DEFAULT_LAMBDA) -> DataF
     lead = ["rank"] + [c for c in fields if c != "rank"]
     ordered = F.array_sort(F.collect_list(F.struct(*lead)), lambda a, b: a["rank"] - b["rank"])
     nested = hits.groupBy("query_id").agg(ordered.alias("hits"))
-    chosen = nested.withColumn("picks", picks(
+    chosen = nested.withColumn("picks", picks.asNondeterministic()(
         F.transform("hits", lambda h: h["score"]), F.transform("hits", lambda h: h["vector"])))
     one = chosen.select("query_id", "hits", F.posexplode("picks").alias("pos", "pick"))
     return one.select("query_id", (F.col("pos") + 1).alias("mmr_rank"), F.get("hits", F.col("pick")).alias("hit")) \

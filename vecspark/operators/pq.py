@@ -114,7 +114,7 @@ def pq_codes(items: DataFrame, books: np.ndarray, metric: str) -> Column:
             rows[at] = row.tolist()
         return pa.array(rows, pa.list_(pa.int16()))
 
-    return encode(F.col("vector"))
+    return encode.asNondeterministic()(F.col("vector"))
 
 
 def pq_encode(items: DataFrame, books: np.ndarray, metric: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.blocks import CELLS, QueryBlock, TopK, by_list, matrix, nearest_rows
 from ..functions.distance import check_metric
-from ..plans.workspace import scratch_path
+from ..plans.workspace import SMALL_SPLIT, plan_bytes, scratch_path
 
 DEFAULT_TOP_K = 100
 MAX_QUERY_ROWS = 1 << 14       # queries per block
@@ -162,9 +162,9 @@ def spread_scan(items: DataFrame, n_queries: int, width: int, k: int) -> DataFra
     scan gets fewer, longer tasks, since each sends up to queries x k hits.
     """
     cores = items.sparkSession.sparkContext.defaultParallelism
-    size = int(str(items._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = plan_bytes(items)
     work = size / 8.0 * n_queries
-    if work > 4e9 and size < cores * (16 << 20):
+    if work > 4e9 and size < cores * SMALL_SPLIT:
         return items.repartition(cores)
     return items.coalesce(max(4 * cores, MAX_TASK_HITS // (n_queries * k)))
 
@@ -231,7 +231,7 @@ def probe_lists(
             rows.extend(row.tolist() for row in chosen)
         return pa.array(rows, pa.list_(pa.int32()))
 
-    return queries.select("query_id", "qv", nearest_lists("qv").alias("probes"))
+    return queries.select("query_id", "qv", nearest_lists.asNondeterministic()("qv").alias("probes"))
 
 
 def nest_hits(hits: DataFrame) -> DataFrame:

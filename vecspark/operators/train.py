@@ -109,7 +109,7 @@ def nearest_list(items: DataFrame, centroids: np.ndarray, metric: str) -> Column
         out[there] = nearest_rows(x, near, 1, metric).id[:, 0].astype(np.int32)
         return pa.array(out)
 
-    return assign(F.col("vector"))
+    return assign.asNondeterministic()(F.col("vector"))   # so that no filter repeats it
 
 
 def assign_lists(items: DataFrame, centroids: np.ndarray, metric: str) -> DataFrame:

@@ -22,6 +22,7 @@ from ..functions.filters import PROMOTABLE, compile_filter, promote, pushed_filt
 from ..operators import merge, pq, search, train, validate
 from ..sources.items import from_arrays, item_rows
 from .catalog import Catalog, VersionConflict
+from .workspace import spread_small
 
 INDEX_TYPES = ("ivf", "ivfflat", "ivfpq")
 DEFAULT_TYPE = "ivfflat"
@@ -308,6 +309,7 @@ class Collection:
     def _upsert_once(self, state, items, mode, order, applied):
         rows = item_rows(items) if order is None else item_rows(items.withColumn("_order", order), ("_order",))
         if self.embedder is not None:
+            rows = spread_small(rows)
             text = F.when(F.col("is_text"), F.col("contents").cast("string"))
             rows = rows.withColumn("vector", F.coalesce(F.col("vector"), self.embedder(text)))
         if state["dimension"] is None or state["element"] is None:

@@ -12,7 +12,7 @@ from ..sources import items as item_source
 from ..streaming.streams import query_stream, upsert_stream
 from .collection import Collection, VectorStore
 from .text_store import TextStore
-from .workspace import scratch_path
+from .workspace import scratch_path, spread_small
 
 K = 10
 PQ_DIM = 8
@@ -355,9 +355,10 @@ def document_rows(spark, sf) -> DataFrame:
         F.parse_json(F.to_json(F.struct("lang", "source", "n_chars"))).alias("metadata"))
 
 
-def _embedded_documents(spark, sf) -> DataFrame:
+def _embedded_documents(spark, sf, filters=None) -> DataFrame:
     embedder = embed.hashing_embedder(TEXT_DIM)
-    return document_rows(spark, sf).withColumn("vector", embedder(F.col("page_content")))
+    rows = document_rows(spark, sf).where(compile_filter(filters, F.col("metadata")))
+    return spread_small(rows).withColumn("vector", embedder(F.col("page_content")))
 
 
 def _text_queries(spark, sf) -> DataFrame:
@@ -378,7 +379,7 @@ def text_search(spark, sf):
 
 
 def text_search_score(spark, sf):
-    rows = _embedded_documents(spark, sf).where(compile_filter({"lang": {"$in": ["en", "fr"]}}, F.col("metadata")))
+    rows = _embedded_documents(spark, sf, {"lang": {"$in": ["en", "fr"]}})
     hits = search.search(_text_queries(spark, sf), rows, 4, distance.COSINE)
     score = distance.similarity_score(distance.COSINE, F.col("distance"))
     return _rounded(hits.select("query_id", "rank", "id", score.alias("score")), "score")

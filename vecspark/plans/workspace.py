@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,3 +25,17 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path below the shared folder; nothing is written there yet."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+SMALL_SPLIT = 16 << 20    # a scan of less than this per core is spread before heavy row work
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a frame."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Use all cores for heavy row work on an input of few splits; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if plan_bytes(df) < cores * SMALL_SPLIT else df
