@@ -14,7 +14,8 @@ import pyarrow.compute as pc
 
 from .distance import COSINE, EUCLIDEAN
 
-CELLS = 1 << 21      # cells of one distance matrix held at a time
+CELLS = 1 << 20      # cells of one distance matrix held at a time
+SINGLE_MIN, SINGLE_MAX = 1e-12, 1e30    # squared norms for which single precision is tried
 PAIRS = 1 << 16      # pairs computed exactly at a time
 EPS = float(np.finfo(np.float64).eps)
 
@@ -121,46 +122,79 @@ def _k_copies(x: np.ndarray, ids, k: int) -> np.ndarray:
     return np.sort(order[rank < k])
 
 
+def _rounded_up(bound: np.ndarray, dtype) -> np.ndarray:
+    return np.nextafter(bound.astype(dtype), np.inf, dtype=dtype)
+
+
 class QueryBlock:
-    """The query side of a scan: a bounded matrix plus what the metric needs."""
+    """The query side of a scan: a bounded matrix plus what the metric needs.
+
+    One matrix product of widened rows gives the whole squared distance
+    (``[-2q, |q|^2, 1] . [x, 1, |x|^2]``) or cosine distance. It runs in single
+    precision while its error bound separates candidates well, else in double.
+    """
 
     def __init__(self, vectors: np.ndarray, metric: str):
         self.v = vectors
         self.metric = metric
-        if metric == COSINE:
-            self.w = _unit(vectors)
-            self.sq = np.ones(len(vectors))
-        else:
-            self.w = vectors
-            self.sq = np.einsum("ij,ij->i", vectors, vectors)
+        self.single = True
+        self.sq, self.left = self._widen(vectors, -1.0 if metric == COSINE else -2.0, True)
+        self.left32 = None
 
     def __len__(self) -> int:
         return len(self.v)
 
+    def _widen(self, x: np.ndarray, factor: float, is_query: bool):
+        one = np.ones((len(x), 1))
+        if self.metric == COSINE:
+            return one[:, 0], np.hstack([factor * _unit(x), one])
+        sq = np.einsum("ij,ij->i", x, x)
+        sides = [sq[:, None], one] if is_query else [one, sq[:, None]]
+        return sq, np.hstack([factor * x, *sides])
+
+    def _candidates(self, r: np.ndarray, right: np.ndarray, left: np.ndarray, peak: float, top: TopK):
+        """Mask of pairs that may enter, and whether it is too dense to be worth computing exactly."""
+        near = left[r] @ right.T
+        eps = float(np.finfo(near.dtype).eps)
+        slack = 2.0 * eps * (right.shape[1] + 8) * (self.sq[r] + peak)
+        limit = top.limit(r)
+        if self.metric == EUCLIDEAN:
+            limit = limit * limit * (1.0 + 8 * EPS)
+        mask = near <= _rounded_up(limit + slack, near.dtype)[:, None]
+        enough = 4 * top.k * len(r)
+        if near.shape[1] > top.k and np.count_nonzero(mask) > enough:
+            kth = np.partition(near, top.k - 1, axis=1)[:, top.k - 1].astype(float)
+            limit = np.minimum(limit, kth + slack + 8 * EPS * np.abs(kth))
+            mask = near <= _rounded_up(limit + slack, near.dtype)[:, None]
+            return mask, np.count_nonzero(mask) > enough
+        return mask, False
+
     def offer(self, top: TopK, rows: np.ndarray, x: np.ndarray, ids) -> None:
         """Offer every pair of (query in ``rows``, item in ``x``) to ``top``."""
         if not len(rows) or not len(x):
             return
+        xsq, right = self._widen(x, 1.0, False)
+        peak = float(xsq.max())
+        single = self.single and SINGLE_MIN < max(peak, float(self.sq.max())) < SINGLE_MAX
+        if single:
+            right32 = right.astype(np.float32)
+            if self.left32 is None:
+                self.left32 = self.left.astype(np.float32)
         step = max(1, CELLS // len(x))
-        xw = _unit(x) if self.metric == COSINE else x
-        xsq = np.ones(len(x)) if self.metric == COSINE else np.einsum("ij,ij->i", x, x)
         for lo in range(0, len(rows), step):
             r = rows[lo:lo + step]
-            near = self.w[r] @ xw.T
-            if self.metric == COSINE:
-                near = 1.0 - near
+            if not np.isfinite(peak) or not np.isfinite(self.sq[r]).all():
+                mask = np.ones((len(r), len(x)), dtype=bool)     # squares overflow: only the exact form decides
             else:
-                near = (self.sq[r][:, None] + xsq[None, :]) - 2.0 * near
-            slack = 16.0 * EPS * (x.shape[1] + 8) * (self.sq[r] + xsq.max())
-            limit = top.limit(r)
-            if self.metric == EUCLIDEAN:
-                limit = limit * limit * (1.0 + 8 * EPS)
-            mask = ~(near > (limit + slack)[:, None])
-            if len(x) > top.k and mask.sum() > 4 * top.k * len(r):
-                kth = np.partition(near, top.k - 1, axis=1)[:, top.k - 1]
-                limit = np.minimum(limit, kth * (1.0 + 8 * EPS) + slack)
-                mask = ~(near > (limit + slack)[:, None])
-                if mask.sum() > 4 * top.k * len(r):
+                dense = True
+                if single:
+                    mask, dense = self._candidates(r, right32, self.left32, peak, top)
+                if dense:
+                    mask, still = self._candidates(r, right, self.left, peak, top)
+                    if single and not still:
+                        single = self.single = False
+                    dense = still
+                if dense:
                     kept = np.zeros(len(x), dtype=bool)
                     kept[_k_copies(x, ids, top.k)] = True
                     mask &= kept[None, :]

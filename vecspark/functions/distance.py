@@ -39,6 +39,11 @@ def _sum_of(a: Column, b: Column, term, dim: int | None) -> Column:
     return F.aggregate(F.zip_with(a, b, term), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, also inside lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _same_length(a: Column, b: Column, value: Column) -> Column:
     return F.when(
         F.size(a) != F.size(b),
@@ -66,8 +71,8 @@ def euclidean(a: Column, b: Column, dim: int | None = None) -> Column:
 
 def cosine_similarity(a: Column, b: Column, dim: int | None = None) -> Column:
     """Dot product over the product of norms; 0 when either norm is 0."""
-    scale = norm(a, dim) * norm(b, dim)
-    value = F.when(scale == 0, F.lit(0.0)).otherwise(dot(a, b, dim) / scale)
+    value = _bound(norm(a, dim) * norm(b, dim),
+                   lambda scale: F.when(scale == 0, F.lit(0.0)).otherwise(dot(a, b, dim) / scale))
     return _same_length(a, b, value)
 
 
@@ -100,5 +105,4 @@ def similarity_score(metric: str | None, dist: Column) -> Column:
 def l2_normalize(vector: Column, dim: int | None = None) -> Column:
     """Scale to unit length; a zero vector is returned as it is."""
     v = to_double(vector)
-    n = norm(v, dim)
-    return F.when(n > 0, F.transform(v, lambda x: x / n)).otherwise(v)
+    return _bound(norm(v, dim), lambda n: F.when(n > 0, F.transform(v, lambda x: x / n)).otherwise(v))

@@ -312,15 +312,7 @@ class Collection:
             rows = spread_small(rows)
             text = F.when(F.col("is_text"), F.col("contents").cast("string"))
             rows = rows.withColumn("vector", F.coalesce(F.col("vector"), self.embedder(text)))
-        if state["dimension"] is None or state["element"] is None:
-            first = rows.where(F.size("vector") > 0).select(F.size("vector").alias("n")).first()
-            if first is None and mode == "fail" and rows.isEmpty():
-                return None
-            kind = rows.schema["vector"].dataType.elementType.simpleString()
-            state = dict(state, dimension=state["dimension"] or (first["n"] if first else None),
-                         element=state["element"] or kind)
-            if state["index_type"] == "ivfpq":
-                pq.check_pq(state["dimension"], state["pq_dim"], state["pq_bits"])
+        state = self._shaped(state, rows)
         rows = rows.withColumn("vector", F.col("vector").cast(f"array<{state['element']}>"))
         bad = None
         if mode == "split":
@@ -339,6 +331,17 @@ class Collection:
         self._commit_rows(state, name, n, removal, applied)
         return bad
 
+    def _shaped(self, state: dict, rows: DataFrame) -> dict:
+        """The dimension and element type, taken from the first rows when not known yet."""
+        kind = rows.schema["vector"].dataType.elementType.simpleString()
+        state = dict(state, element=state["element"] or kind)
+        if state["dimension"] is None:
+            first = rows.where(F.size("vector") > 0).select(F.size("vector").alias("n")).first()
+            state["dimension"] = first["n"] if first else None
+            if state["index_type"] == "ivfpq":
+                pq.check_pq(state["dimension"], state["pq_dim"], state["pq_bits"])
+        return state
+
     def _coded(self, rows: DataFrame, state: dict) -> DataFrame:
         """Typed metadata columns, list ids and codes for new rows, then sealing."""
         for path, (column, kind) in self._promoted(state).items():

@@ -31,8 +31,9 @@ SMALL_SPLIT = 16 << 20    # a scan of less than this per core is spread before h
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a frame."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimizer's size of the tables that a frame reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def spread_small(df: DataFrame) -> DataFrame:
