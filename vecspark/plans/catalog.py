@@ -8,6 +8,7 @@ file and fails when another job was first.
 from __future__ import annotations
 
 import json
+import time
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -48,6 +49,14 @@ class Catalog:
             return []
         return [status.getPath().getName() for status in files.listStatus(folder)]
 
+    def ages(self, path: str) -> list[tuple[str, float]]:
+        """(name, seconds since last change) of the entries of a folder."""
+        files, folder = self._files(), self._path(path)
+        if not files.exists(folder):
+            return []
+        now = time.time()
+        return [(s.getPath().getName(), now - s.getModificationTime() / 1000.0) for s in files.listStatus(folder)]
+
     def remove(self, path: str) -> None:
         """Drop a folder of this catalog's own data."""
         if not path.startswith(self.root + "/"):

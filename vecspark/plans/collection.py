@@ -289,19 +289,26 @@ class Collection:
         """
         if mode not in ("fail", "split"):
             raise ValueError("mode is 'fail' or 'split'")
+        _, bad = self._upsert(items, mode, order, applied)
+        self._tidy(auto_train)
+        return bad
+
+    def write_batch(self, items: DataFrame, auto_train: bool = True) -> str | None:
+        """Upsert, and tell the folder that holds exactly the rows of this batch (None when empty)."""
+        folder, _ = self._upsert(items, "fail", None, None)
+        self._tidy(auto_train)
+        return folder
+
+    def _upsert(self, items, mode, order, applied):
         for _ in range(COMMIT_TRIES):
             state = self.state()
             if applied and state["applied"].get(applied[0], -1) >= applied[1]:
-                return None
+                return None, None
             try:
-                bad = self._upsert_once(state, items, mode, order, applied)
-                break
+                return self._upsert_once(state, items, mode, order, applied)
             except VersionConflict:
                 continue
-        else:
-            raise VersionConflict(self.name)
-        self._tidy(auto_train)
-        return bad
+        raise VersionConflict(self.name)
 
     def upsert_arrays(self, frame: DataFrame, ids: str = "ids", vectors: str = "vectors", **options):
         return self.upsert(from_arrays(frame, ids, vectors), **options)
@@ -325,11 +332,11 @@ class Collection:
         n = self._count(folder, "id string")
         if n == 0:
             self.catalog.remove(folder)
-            return bad
+            return None, bad
         ids = self.spark.read.schema("id string").parquet(folder).select("id")
         removal = self._note_removals(ids, n, state)
         self._commit_rows(state, name, n, removal, applied)
-        return bad
+        return folder, bad
 
     def _shaped(self, state: dict, rows: DataFrame) -> dict:
         """The dimension and element type, taken from the first rows when not known yet."""
@@ -458,6 +465,22 @@ class Collection:
         n = self._count(f"{state['folder']}/items/seg={name}", "id string")
         self.catalog.commit(dict(state, seq=seq, removals=[], segments=[{"name": name, "seq": seq, "n": n}]))
 
+    def vacuum(self, older_than_seconds: float = 7 * 24 * 3600) -> int:
+        """Delete files that the newest version does not use; returns how many folders went.
+
+        The age keeps readers of older versions and writers that have not
+        committed yet; choose it longer than the longest job.
+        """
+        state = self.state()
+        used = {s["name"] for s in state["segments"]} | {r["name"] for r in state["removals"]}
+        gone = 0
+        for kind in ("items", "removals"):
+            for name, age in self.catalog.ages(f"{state['folder']}/{kind}"):
+                if name.startswith("seg=") and name[4:] not in used and age >= older_than_seconds:
+                    self.catalog.remove(f"{state['folder']}/{kind}/{name}")
+                    gone += 1
+        return gone
+
     # -- training ---------------------------------------------------------------
 
     def needs_training(self) -> bool:

@@ -66,14 +66,11 @@ class TextStore:
         given = [F.col("vector")] if "vector" in documents.columns else []
         rows = documents.select(ids.alias("id"), *given, F.col("page_content").alias("contents"),
                                 F.coalesce(own, common).alias("metadata"))
-        before = {s["name"] for s in self.collection.state()["segments"]}
-        self.collection.upsert(rows, auto_train=False)
-        state = self.collection.state()
-        added = [s["name"] for s in state["segments"] if s["name"] not in before]
+        batch = self.collection.write_batch(rows)
+        if batch is None:
+            return spark.createDataFrame([], "id string")
         # generated ids are read back from what was stored, never computed twice
-        out = spark.createDataFrame([], "id string") if not added else spark.read.schema("id string").parquet(
-            *[f"{state['folder']}/items/seg={name}" for name in added]).select("id")
-        return out
+        return spark.read.schema("id string").parquet(batch).select("id")
 
     def delete(self, ids=None) -> None:
         if ids is not None and not (isinstance(ids, (list, tuple)) and not ids):
