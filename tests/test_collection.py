@@ -232,8 +232,8 @@ def test_query_forms(spark, store):
         c.query(rows[0][1], top_k=0)
 
 
-@pytest.mark.parametrize("metric", ["euclidean", "squared_euclidean", "cosine"])
-@pytest.mark.parametrize("kind", ["ivf", "ivfflat", "ivfpq"])
+@pytest.mark.parametrize("kind,metric", [
+    ("ivf", "euclidean"), ("ivfflat", "cosine"), ("ivfpq", "squared_euclidean"), ("ivfpq", "cosine")])
 def test_trained_with_all_lists_is_exact(spark, store, metric, kind):
     c = store.create("c", KEY, {"type": kind, "pq_dim": 4, "pq_bits": 4}, metric)
     data = vectors(300, 16)
