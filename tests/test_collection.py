@@ -188,6 +188,61 @@ def frame_items(spark, rows):
     return item_rows(spark.createDataFrame(rows, "id string, vector array<double>"))
 
 
+def contents_of(c):
+    return sorted((r["id"], r["vector"][0]) for r in c.items().select("id", "vector").collect())
+
+
+def test_fold_keeps_the_large_segment_and_every_change(spark, store, monkeypatch):
+    import vecspark.plans.collection as module
+    c, _ = filled(spark, store)
+    for i in range(4):
+        c.upsert(frame(spark, [("5", [float(i)] * 8, None), (f"n{i}", [float(i)] * 8, None)]))
+        c.delete([f"{10 + i}", f"n{i - 1}"])
+    before, state = contents_of(c), c.state()
+    assert ("5", 3.0) in before and ("n3", 3.0) in before and ("n2", 2.0) not in before
+    c.fold()
+    after = c.state()
+    assert contents_of(c) == before
+    assert after["segments"][0] == state["segments"][0] and len(after["segments"]) == 2 and len(after["removals"]) == 1
+    c.upsert(frame(spark, [("10", [7.0] * 8, None)]))
+    assert ("10", 7.0) in contents_of(c)
+    monkeypatch.setattr(module, "MAX_SEGMENTS", 2)
+    c.delete(["10"])
+    assert contents_of(c) == before and len(c.state()["removals"]) == 1
+    monkeypatch.setattr(module, "MAX_REMOVALS", 1)
+    c.delete(["20", "21"])
+    assert len(c.state()["segments"]) == 1 and c.state()["removals"] == [] and len(contents_of(c)) == len(before) - 2
+
+
+def test_many_removals_look_for_what_exists(spark, store, monkeypatch):
+    import vecspark.plans.collection as module
+    monkeypatch.setattr(module, "BLIND_REMOVALS", 1)
+    c, _ = filled(spark, store)
+    c.delete(["1", "2", "u1", "u2"])
+    assert c.state()["removals"][0]["n"] == 2
+    c.upsert(frame(spark, [("3", [0.0] * 8, None), ("x", [0.0] * 8, None)]))
+    assert c.state()["removals"][1]["n"] == 1 and len(contents_of(c)) == 59
+
+
+def test_changes_during_training_survive(spark, store, monkeypatch):
+    c, rows = filled(spark, store)
+    real = c._replace
+
+    def late(*args, **kwargs):
+        monkeypatch.undo()
+        c.upsert(frame(spark, [("3", [5.0] * 8, None), ("late", [6.0] * 8, None)]), auto_train=False)
+        c.delete(["4", "late2"])
+        real(*args, **kwargs)
+
+    monkeypatch.setattr(c, "_replace", late)
+    c.train(n_lists=4, max_iters=3)
+    got = dict(contents_of(c))
+    assert c.is_trained and got["3"] == 5.0 and got["late"] == 6.0 and "4" not in got and len(got) == 60
+    assert c._stored(c.state()).where("list_id < 0").count() == 0
+    hits = c.query([[6.0] * 8], top_k=1, n_probes=1, include=("distance",)).first()
+    assert hits["id"] == "late"
+
+
 def test_vacuum_keeps_what_is_used(spark, store):
     c, _ = filled(spark, store)
     c.delete(["1"])

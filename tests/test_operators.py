@@ -103,12 +103,18 @@ def test_scores_and_zero_vectors(spark):
         df.select(distance.euclidean(F.col("a"), F.array(F.lit(1.0)))).collect()
 
 
-def test_latest_row_with_a_hot_id(spark):
+@pytest.mark.parametrize("large", [1 << 40, 0])
+@pytest.mark.parametrize("few", [1 << 20, 0])
+def test_latest_row_with_a_hot_id(spark, monkeypatch, large, few):
+    monkeypatch.setattr(merge, "LARGE_BATCH", large)
+    monkeypatch.setattr(merge, "bounded", lambda side: F.broadcast(side) if few else side)
     df = spark.range(0, 3000, 1, 6).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("id"), F.col("id").alias("v"))
     last = merge.latest_per_id(df)
     assert last.count() == 2001
     assert last.where("id = 'hot'").first()["v"] == 2997
+    nameless = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4)], "id string, v int").coalesce(1)
+    assert sorted((r["id"] or "", r["v"]) for r in merge.latest_per_id(nameless).collect()) == [("", 1), ("", 2), ("a", 4)]
 
 
 def test_ids_beyond_the_broadcast_bound(spark, items, monkeypatch):

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..plans.workspace import plan_bytes
+
+LARGE_BATCH = 4 << 30           # bytes from which repeated ids are looked for first
 MAX_BROADCAST_IDS = 1_000_000   # ids in one broadcast side, counted before use
 
 
@@ -33,12 +36,23 @@ def latest_per_id(batch: DataFrame, order: Column | None = None) -> DataFrame:
     """One row per id: the last by ``order`` (by default the last in row order).
 
     The window limit runs before the shuffle too, so an id repeated many times
-    sends one row per task.
+    sends one row per task. A large batch is split first by a count over its
+    ids alone: only the rows of repeated ids are then shuffled. Rows without
+    an id are all kept, for validation to judge.
     """
     staged = batch.withColumn("_seq", F.monotonically_increasing_id() if order is None else order)
-    window = Window.partitionBy("id").orderBy(F.desc("_seq"))
-    ranked = staged.withColumn("_rn", F.row_number().over(window))
-    return ranked.where(F.col("_rn") == 1).drop("_rn", "_seq")
+    if plan_bytes(batch) < LARGE_BATCH:
+        return _last_rows(staged)
+    repeated = bounded(batch.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"))
+    single = staged.join(repeated, "id", "left_anti").drop("_seq")
+    return single.unionByName(_last_rows(staged.join(repeated, "id", "left_semi")))
+
+
+def _last_rows(staged: DataFrame) -> DataFrame:
+    apart = F.when(F.col("id").isNull(), F.monotonically_increasing_id())
+    window = Window.partitionBy("id", "_apart").orderBy(F.desc("_seq"))
+    ranked = staged.withColumn("_apart", apart).withColumn("_rn", F.row_number().over(window))
+    return ranked.where(F.col("_rn") == 1).drop("_rn", "_seq", "_apart")
 
 
 def upsert_merge(items: DataFrame, batch: DataFrame, order: Column | None = None) -> DataFrame:

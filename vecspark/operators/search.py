@@ -31,6 +31,7 @@ MAX_QUERY_BYTES = 64 << 20     # bytes of one broadcast query block
 MAX_HITS = 1 << 20             # queries x k held per task and broadcast for payload
 MAX_POSTINGS = 1 << 22         # queries x probes per block
 MAX_TASK_HITS = 1 << 30        # hits all tasks of a scan may send to the merge
+MAX_MERGED_HITS = 1 << 22      # hits of one query that the merge sorts in one task
 MAX_PRUNED_LISTS = 10_000      # list ids named in a partition filter
 EMIT_ROWS = 10_000
 
@@ -166,7 +167,7 @@ def spread_scan(items: DataFrame, n_queries: int, width: int, k: int) -> DataFra
     work = size / 8.0 * n_queries
     if work > 4e9 and size < cores * SMALL_SPLIT:
         return items.repartition(cores)
-    return items.coalesce(max(4 * cores, MAX_TASK_HITS // (n_queries * k)))
+    return items.coalesce(max(4 * cores, min(MAX_TASK_HITS // (n_queries * k), MAX_MERGED_HITS // k)))
 
 
 def scan_block(table: pa.Table, queries: DataFrame, items: DataFrame, stored: DataFrame, k: int, metric: str) -> DataFrame:

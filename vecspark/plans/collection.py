@@ -2,9 +2,10 @@
 
 A collection is a set of immutable parquet segments, partitioned by list id,
 plus removal files: ids whose older rows no longer count. An upsert or delete
-writes only its own rows; reads drop removed rows with an anti-join, and
-``compact`` (run by itself when removals or segments pile up) folds everything
-into one segment. No file is ever changed, so a running read keeps its version.
+writes only its own rows; reads drop removed rows with an anti-join. When files pile
+up, ``fold`` merges the small ones and ``compact`` rewrites everything. No file
+is ever changed, so a running read keeps its version; ``vacuum`` deletes files
+that are out of use.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ DEFAULT_TYPE = "ivfflat"
 DEFAULT_INCLUDE = ("distance", "metadata")
 DEFAULT_RETRAIN_MULTIPLIER = 2.0
 DEFAULT_MIN_TRAIN_ROWS = 10_000
-MAX_REMOVALS = 1_000_000     # removed ids that a read broadcasts
+MAX_REMOVALS = 2_000_000     # removed ids that a read broadcasts; beyond that the collection is rewritten
 MAX_SEGMENTS = 64
 BLIND_REMOVALS = 100_000     # batch ids noted as removals without looking whether they exist
 COMMIT_TRIES = 20
@@ -204,27 +205,31 @@ class Collection:
             kinds.append("codes array<smallint>")
         return T.StructType.fromDDL(", ".join(kinds + ["list_id int", "seg string"]))
 
-    def _stored(self, state: dict) -> DataFrame:
-        """Live rows as stored (sealed columns still sealed)."""
+    def _stored(self, state: dict, segments: list[dict] | None = None) -> DataFrame:
+        """Live rows as stored (sealed columns still sealed), of all or of the given segments."""
         schema = self._schema(state)
-        if not state["segments"]:
+        segments = state["segments"] if segments is None else segments
+        if not segments:
             return self.spark.createDataFrame([], schema).drop("seg")
         folder = f"{state['folder']}/items"
         rows = (self.spark.read.schema(schema).option("basePath", folder)
-                .parquet(*[f"{folder}/seg={s['name']}" for s in state["segments"]]))
-        oldest = min(s["seq"] for s in state["segments"])
-        removals = [r for r in state["removals"] if r["seq"] > oldest]
+                .parquet(*[f"{folder}/seg={s['name']}" for s in segments]))
+        removals = [r for r in state["removals"] if r["seq"] > min(s["seq"] for s in segments)]
         if not removals:
             return rows.drop("seg")
-        folder = f"{state['folder']}/removals"
-        gone = (self.spark.read.schema("id string, seg string").option("basePath", folder)
-                .parquet(*[f"{folder}/seg={r['name']}" for r in removals]))
-        gone = gone.select(F.col("id").alias("_id"), _lookup("seg", removals).alias("_until"))
+        gone = self._removed(state, removals).select(F.col("id").alias("_id"), F.col("until").alias("_until"))
         if sum(r["n"] for r in removals) <= MAX_REMOVALS:
             gone = F.broadcast(gone)
-        dead = (F.col("id") == F.col("_id")) & (_lookup("seg", state["segments"]) < F.col("_until"))
+        dead = (F.col("id") == F.col("_id")) & (_lookup("seg", segments) < F.col("_until"))
         return rows.join(gone, dead, "left_anti").drop("seg")
 
+    def _removed(self, state: dict, removals: list[dict]) -> DataFrame:
+        """``(id, until)``: rows of the id older than ``until`` no longer count."""
+        folder = f"{state['folder']}/removals"
+        gone = (self.spark.read.schema("id string, until long, seg string").option("basePath", folder)
+                .parquet(*[f"{folder}/seg={r['name']}" for r in removals]))
+        return gone.select("id", F.coalesce("until", _lookup("seg", removals)).alias("until"))
+
     def _open(self, rows: DataFrame, state: dict, columns=("contents", "metadata")) -> DataFrame:
         """Unseal the named columns that are there."""
         if not state["sealed"]:
@@ -315,6 +320,7 @@ class Collection:
 
     def _upsert_once(self, state, items, mode, order, applied):
         rows = item_rows(items) if order is None else item_rows(items.withColumn("_order", order), ("_order",))
+        rows = merge.latest_per_id(rows, F.col("_order") if order is not None else None).drop("_order")
         if self.embedder is not None:
             rows = spread_small(rows)
             text = F.when(F.col("is_text"), F.col("contents").cast("string"))
@@ -326,8 +332,7 @@ class Collection:
             rows, bad = validate.split_valid(rows, state["dimension"])
         else:
             rows = validate.require_valid(rows, state["dimension"])
-        rows = merge.latest_per_id(rows, F.col("_order") if order is not None else None)
-        name = self._write_segment(self._coded(rows.drop("_order"), state), state)
+        name = self._write_segment(self._coded(rows, state), state)
         folder = f"{state['folder']}/items/seg={name}"
         n = self._count(folder, "id string")
         if n == 0:
@@ -394,7 +399,8 @@ class Collection:
             ids = self._stored(state).select("id").join(ids, "id", "left_semi")
         name = uuid.uuid4().hex
         folder = f"{state['folder']}/removals/seg={name}"
-        ids.write.parquet(folder)
+        # the commit decides the sequence number, so the file leaves it open
+        ids.withColumn("until", F.lit(None).cast("long")).write.parquet(folder)
         n = self._count(folder, "id string") if n > BLIND_REMOVALS else n
         return {"name": name, "n": n}
 
@@ -444,26 +450,87 @@ class Collection:
         self._tidy(auto_train=False)
 
     def _tidy(self, auto_train: bool) -> None:
-        """After a write: train when the row count asks for it, else fold piled-up files."""
+        """After a write: train when the row count asks for it, else fold piled-up files.
+
+        A lost race is left to the next write.
+        """
         state = self.state()
         written = sum(s["n"] for s in state["segments"])
-        due = train.needs_training(written, state["n_at_train"], state["retrain_multiplier"], state["min_train_rows"])
-        if auto_train and due and train.needs_training(
-                self.num_vectors().first()["num_vectors"], state["n_at_train"],
-                state["retrain_multiplier"], state["min_train_rows"]):
-            self.train()
-        elif len(state["segments"]) > MAX_SEGMENTS or sum(r["n"] for r in state["removals"]) > MAX_REMOVALS:
-            self.compact()
+        rule = (state["n_at_train"], state["retrain_multiplier"], state["min_train_rows"])
+        try:
+            if auto_train and train.needs_training(written, *rule) and self.needs_training():
+                self.train()
+            elif sum(r["n"] for r in state["removals"]) > MAX_REMOVALS:
+                self.compact()
+            elif max(len(state["segments"]), len(state["removals"])) > MAX_SEGMENTS:
+                self.fold()
+        except VersionConflict:
+            pass
 
     def compact(self) -> None:
-        """Fold all segments and removals into one segment."""
+        """Rewrite everything as one segment without removals."""
         state = self.state()
-        if not state["segments"]:
-            return
-        name = self._write_segment(self._stored(state), state)
-        seq = state["seq"] + 1
-        n = self._count(f"{state['folder']}/items/seg={name}", "id string")
-        self.catalog.commit(dict(state, seq=seq, removals=[], segments=[{"name": name, "seq": seq, "n": n}]))
+        if state["segments"]:
+            name = self._write_segment(self._stored(state), state)
+            self._replace(state, state["segments"], [self._entry(state, name, state["seq"])], {}, state["seq"])
+
+    def fold(self) -> None:
+        """Merge the small segments and the removal files; large segments stay as they are.
+
+        A segment that outweighs all smaller ones together is not touched, so
+        that a row is rewritten a logarithmic number of times.
+        """
+        state = self.state()
+        small = sorted(state["segments"], key=lambda s: -s["n"])
+        while len(small) > 1 and small[0]["n"] > sum(s["n"] for s in small[1:]):
+            small.pop(0)
+        new, old = [], []
+        if len(small) > 1:
+            name = self._write_segment(self._stored(state, small), state)
+            new, old = [self._entry(state, name, max(s["seq"] for s in small))], small
+        merged = None
+        if len(state["removals"]) > 1:
+            name = uuid.uuid4().hex
+            folder = f"{state['folder']}/removals/seg={name}"
+            self._removed(state, state["removals"]).groupBy("id").agg(F.max("until").alias("until")).write.parquet(folder)
+            merged = {"name": name, "seq": max(r["seq"] for r in state["removals"]), "n": self._count(folder, "id string")}
+        self._replace(state, old, new, {}, None, merged)
+
+    def _entry(self, state: dict, name: str, seq: int) -> dict:
+        return {"name": name, "seq": seq, "n": self._count(f"{state['folder']}/items/seg={name}", "id string")}
+
+    def _replace(self, state: dict, old: list[dict], new: list[dict], changes: dict, settled: int | None,
+                 merged: dict | None = None, convert=None) -> None:
+        """Commit ``new`` in place of the ``old`` segments of ``state``.
+
+        Segments that others appended meanwhile stay (run through ``convert``
+        when given). Removals up to ``settled`` are done with; ``merged``
+        stands for all removals of ``state``.
+        """
+        gone, known = {s["name"] for s in old}, {r["name"] for r in state["removals"]}
+        converted: dict[str, dict] = {}
+        for _ in range(COMMIT_TRIES):
+            latest = self.state()
+            if not gone <= {s["name"] for s in latest["segments"]} or latest["centroids"] != state["centroids"]:
+                raise VersionConflict(self.name)
+            kept = [s for s in latest["segments"] if s["name"] not in gone]
+            if convert is not None:
+                for s in kept:
+                    if s["name"] not in converted:
+                        converted[s["name"]] = convert(s)
+                kept = [converted[s["name"]] for s in kept]
+            removals = latest["removals"]
+            if settled is not None:
+                removals = [r for r in removals if r["seq"] > settled]
+            elif merged is not None:
+                removals = [merged] + [r for r in removals if r["name"] not in known]
+            segments = sorted(new + kept, key=lambda s: s["seq"])
+            try:
+                self.catalog.commit(dict(latest, seq=latest["seq"] + 1, segments=segments, removals=removals, **changes))
+                return
+            except VersionConflict:
+                continue
+        raise VersionConflict(self.name)
 
     def vacuum(self, older_than_seconds: float = 7 * 24 * 3600) -> int:
         """Delete files that the newest version does not use; returns how many folders went.
@@ -494,7 +561,7 @@ class Collection:
         """Fit the lists (and codebooks), move every row to its list, calibrate the probe count."""
         state = self.state()
         rows = self._stored(state)
-        n = rows.where(F.col("vector").isNotNull()).count()
+        n = rows.count()
         if n == 0:
             raise ValueError("cannot train an empty collection")
         metric = state["metric"]
@@ -503,23 +570,31 @@ class Collection:
         lists = self.spark.createDataFrame(
             [(i, row.tolist()) for i, row in enumerate(centroids)], "list_id int, centroid array<double>")
         lists.write.parquet(f"{state['folder']}/centroids/{generation}")
-        rows = train.assign_lists(rows, centroids, metric)
         books = None
         if state["index_type"] == "ivfpq":
             books = pq.train_codebooks(rows, metric, n, state["dimension"], state["pq_dim"], state["pq_bits"], seed=seed)
             pq.codebook_frame(self.spark, books).write.parquet(f"{state['folder']}/codebooks/{generation}")
-            rows = pq.pq_encode(rows, books, metric)
-        seq = state["seq"] + 1
-        trained = dict(
-            state, seq=seq, removals=[], is_trained=True, n_at_train=n, n_lists=len(centroids), centroids=generation,
-            codebooks=generation if books is not None else None,
-            training=f"batch_size={batch_size} max_iters={max_iters} tolerance={tolerance} max_memory={max_memory}")
-        name = self._write_segment(rows, trained)
-        folder = f"{state['folder']}/items/seg={name}"
-        trained["segments"] = [{"name": name, "seq": seq, "n": self._count(folder, "id string")}]
-        curve = train.calibrate_probes(self._stored(trained), centroids, metric, n=n, seed=seed)
-        trained["n_probes"] = train.auto_probe_count(curve)
-        self.catalog.commit(trained)
+        changes = {
+            "is_trained": True, "n_at_train": n, "n_lists": len(centroids), "centroids": generation,
+            "codebooks": generation if books is not None else None,
+            "training": f"batch_size={batch_size} max_iters={max_iters} tolerance={tolerance} max_memory={max_memory}"}
+        trained = dict(state, **changes)
+
+        def listed(source: DataFrame, seq: int) -> dict:
+            moved = train.assign_lists(source, centroids, metric)
+            if books is not None:
+                moved = pq.pq_encode(moved, books, metric)
+            return self._entry(state, self._write_segment(moved, trained), seq)
+
+        def convert(segment: dict) -> dict:
+            """A segment appended during training: its rows, as written, in the new lists."""
+            return listed(self._stored(dict(state, removals=[]), [segment]), segment["seq"])
+
+        base = listed(rows, state["seq"])
+        known = dict(trained, segments=[base], removals=[])
+        curve = train.calibrate_probes(self._stored(known), centroids, metric, n=n, seed=seed)
+        changes["n_probes"] = train.auto_probe_count(curve)
+        self._replace(state, state["segments"], [base], changes, state["seq"], convert=convert)
 
     def _centroids(self, state: dict):
         return train.centroid_array(self.spark.read.parquet(f"{state['folder']}/centroids/{state['centroids']}"))
