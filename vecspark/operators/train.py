@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,45 +127,30 @@ def size_array(assigned: DataFrame, n_lists: int) -> np.ndarray:
     return sizes
 
 
-def calibrate_probes(
-    assigned: DataFrame,
-    centroids: np.ndarray,
-    metric: str,
-    k: int = 100,
-    target: float = TARGET_RECALL,
-    n: int | None = None,
-    seed: int = 17,
-) -> DataFrame:
-    """``(n_probes, recall)``: mean recall at k that the nearest n lists would give.
+def calibration_queries(assigned: DataFrame, n: int, seed: int = 17) -> DataFrame:
+    """A few hundred stored items as queries, the same ones on every run."""
+    rows = assigned.where(F.col("list_id") >= 0)
+    some = rows.sample(fraction=min(1.0, 2.0 * CALIBRATION_QUERIES / max(n, 1)), seed=seed)
+    return (some.select(F.col("id").alias("query_id"), F.col("vector").alias("qv"))
+            .orderBy(F.xxhash64("query_id")).limit(CALIBRATION_QUERIES))
+
+
+def calibrate_probes(assigned: DataFrame, queries: DataFrame, centroids: np.ndarray, metric: str, k: int = 100) -> DataFrame:
+    """``(n_probes, recall)``: mean recall at k that the nearest n lists give.
 
-    A few hundred stored items serve as queries. Their exact neighbours are
-    found once; how near each neighbour's list is to the query then tells the
-    recall for every probe count.
+    The queries are stored items, asked with their ids; each leaves itself out.
+    Their exact neighbours are found once; how near each neighbour's list is
+    to the query then tells the recall for every probe count.
     """
-    n = n or assigned.count()
     rows = assigned.where(F.col("list_id") >= 0)
-    some = rows.sample(fraction=min(1.0, 2.0 * CALIBRATION_QUERIES / max(n, 1)), seed=seed)
-    queries = (some.select(F.col("id").alias("query_id"), F.col("vector").alias("qv"))
-               .orderBy(F.xxhash64("query_id")).limit(CALIBRATION_QUERIES))
     truth = search(queries, rows, k + 1, metric, payload=("list_id",)).where(F.col("id") != F.col("query_id"))
-    ranked = probe_lists(queries, centroids, metric)
-    near = (truth.join(F.broadcast(ranked.select("query_id", "probes")), "query_id")
-            .select("query_id", F.array_position("probes", F.col("list_id")).alias("n_probes")))
+    near = (truth.join(probe_lists(queries, centroids, metric).select("query_id", "probes"), "query_id")
+            .select(F.array_position("probes", F.col("list_id")).cast("int").alias("n_probes")))
     per_count = near.groupBy("n_probes").agg(F.count("*").alias("found"))
     # at most one row per list from here on
-    total = F.sum("found").over(_everything())
-    running = F.sum("found").over(_up_to_here())
-    return per_count.select(F.col("n_probes").cast("int"), (running / total).alias("recall"))
-
-
-def _everything():
-    from pyspark.sql import Window
-    return Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-
-def _up_to_here():
-    from pyspark.sql import Window
-    return Window.partitionBy(F.lit(0)).orderBy("n_probes").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = Window.partitionBy(F.lit(0))
+    so_far = everything.orderBy("n_probes").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return per_count.select("n_probes", (F.sum("found").over(so_far) / F.sum("found").over(everything)).alias("recall"))
 
 
 def auto_probe_count(curve: DataFrame, target: float = TARGET_RECALL) -> int:

@@ -592,7 +592,8 @@ class Collection:
 
         base = listed(rows, state["seq"])
         known = dict(trained, segments=[base], removals=[])
-        curve = train.calibrate_probes(self._stored(known), centroids, metric, n=n, seed=seed)
+        moved = self._stored(known)
+        curve = train.calibrate_probes(moved, train.calibration_queries(moved, n, seed), centroids, metric)
         changes["n_probes"] = train.auto_probe_count(curve)
         self._replace(state, state["segments"], [base], changes, state["seq"], convert=convert)
 

