@@ -53,7 +53,7 @@ def exact_distance(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     return np.sqrt(total) if metric == EUCLIDEAN else total
 
 
-def _unit(x: np.ndarray) -> np.ndarray:
+def unit_rows(x: np.ndarray) -> np.ndarray:
     n = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
     return np.divide(x, n, out=np.zeros_like(x), where=n > 0)
 
@@ -147,7 +147,7 @@ class QueryBlock:
     def _widen(self, x: np.ndarray, factor: float, is_query: bool):
         one = np.ones((len(x), 1))
         if self.metric == COSINE:
-            return one[:, 0], np.hstack([factor * _unit(x), one])
+            return one[:, 0], np.hstack([factor * unit_rows(x), one])
         sq = np.einsum("ij,ij->i", x, x)
         sides = [sq[:, None], one] if is_query else [one, sq[:, None]]
         return sq, np.hstack([factor * x, *sides])
@@ -175,6 +175,7 @@ class QueryBlock:
             return
         xsq, right = self._widen(x, 1.0, False)
         peak = float(xsq.max())
+        thinned, right32 = False, None
         single = self.single and SINGLE_MIN < max(peak, float(self.sq.max())) < SINGLE_MAX
         if single:
             right32 = right.astype(np.float32)
@@ -194,10 +195,11 @@ class QueryBlock:
                     if single and not still:
                         single = self.single = False
                     dense = still
-                if dense:
-                    kept = np.zeros(len(x), dtype=bool)
-                    kept[_k_copies(x, ids, top.k)] = True
-                    mask &= kept[None, :]
+                if dense and not thinned:
+                    # once per batch: fewer copies for this and all later queries
+                    kept, thinned = _k_copies(x, ids, top.k), True
+                    mask, x, right, ids = mask[:, kept], x[kept], right[kept], ids.take(pa.array(kept))
+                    right32 = right32[kept] if right32 is not None else None
             qi, xi = np.nonzero(mask)
             for at in range(0, len(qi), PAIRS):
                 q, i = qi[at:at + PAIRS], xi[at:at + PAIRS]

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.blocks import CELLS, TopK, _unit, by_list, matrix, nearest_rows
-from ..functions.distance import COSINE, EUCLIDEAN, SQUARED_EUCLIDEAN, distance, to_double
-from .search import emit, hit_schema, postings_of, rank_hits, search, spread_scan
+from ..functions.blocks import QueryBlock, matrix, nearest_rows, unit_rows
+from ..functions.distance import COSINE, SQUARED_EUCLIDEAN, distance, to_double
+from .search import emit, hit_schema, postings_of, rank_hits, scan_batches, search, spread_scan
 from .train import DEFAULT_TOLERANCE, training_rows
 
 DEFAULT_PQ_DIM = 32
@@ -29,7 +29,7 @@ def check_pq(dimension: int | None, pq_dim: int, pq_bits: int) -> None:
 
 
 def _prepared(x: np.ndarray, metric: str) -> np.ndarray:
-    return _unit(x) if metric == COSINE else x
+    return unit_rows(x) if metric == COSINE else x
 
 
 def train_codebooks(
@@ -132,40 +132,41 @@ def codebook_array(frame: DataFrame) -> np.ndarray:
     return matrix(table.column("centroid")).reshape(subs, table.num_rows // subs, -1)
 
 
+def decode(codes: np.ndarray, books: np.ndarray) -> np.ndarray:
+    """The vectors that codes stand for."""
+    return np.concatenate([books[s][codes[:, s]] for s in range(books.shape[0])], axis=1)
+
+
 def scan_codes(books: np.ndarray, rerank: int | None = DEFAULT_RERANK):
     """A scan for ``search`` that reads codes instead of vectors.
 
-    Each query has a table of distances to every code; an item's estimate is
-    the sum over its codes. The best ``rerank`` x k get their exact distance
-    from the stored vectors; ``rerank=None`` returns the estimates.
+    An item's estimate is the query's distance to the vector its codes stand
+    for. The best ``rerank`` x k get their exact distance from the stored
+    vectors; ``rerank=None`` returns the estimates. Cosine estimates are half
+    the squared distance of unit vectors.
     """
-    pq_dim, n_codes, width = books.shape
+    pq_dim = books.shape[0]
 
     def scan(table: pa.Table, queries: DataFrame, items: DataFrame, stored: DataFrame, k: int, metric: str) -> DataFrame:
         vectors, postings = matrix(table.column("qv")), postings_of(table)
         shared = items.sparkSession.sparkContext.broadcast(
-            (table.column("query_id").combine_chunks(), vectors, postings, books))
+            (table.column("query_id").combine_chunks(), _prepared(vectors, metric), postings, books))
         keep = k * rerank if rerank else k
         columns = ["id", "codes"] + (["list_id"] if postings is not None else [])
         schema = hit_schema(queries, items)
+        inner = SQUARED_EUCLIDEAN if metric == COSINE else metric
 
         def run(batches):
             query_ids, qv, posts, book = shared.value
-            top, everyone = TopK(len(qv), keep), np.arange(len(qv))
-            tables = _Tables(_prepared(qv, metric), book, metric)
-            id_type = pa.string()
-            for batch in batches:
-                ids, codes = batch.column(0), matrix(batch.column(1), pq_dim).astype(np.int64)
-                id_type = ids.type
-                if posts is None:
-                    tables.offer(top, everyone, codes, ids)
-                    continue
-                for value, rows in by_list(batch.column(2).to_numpy(zero_copy_only=False)):
-                    who = everyone if value < 0 else posts.get(value)
-                    if who is not None:
-                        tables.offer(top, who, codes[rows], ids.take(pa.array(rows)))
-            out = pa.schema([("query_id", query_ids.type), ("id", id_type), ("distance", pa.float64())])
-            yield from emit(top, query_ids, out)
+
+            def decoded(batch):
+                codes = matrix(batch.column(1), pq_dim).astype(np.int64)
+                return decode(codes, book)
+
+            top, id_type = scan_batches(batches, QueryBlock(qv, inner), keep, posts, decoded)
+            if metric == COSINE:
+                top.d /= 2.0
+            yield from emit(top, query_ids, id_type)
 
         source = items.where(F.col("codes").isNotNull()).select(*columns)
         estimates = spread_scan(source, len(vectors), pq_dim, keep).mapInArrow(run, schema)
@@ -181,36 +182,6 @@ def scan_codes(books: np.ndarray, rerank: int | None = DEFAULT_RERANK):
     return scan
 
 
-class _Tables:
-    """Per-query distance tables and the offer of estimated distances."""
-
-    def __init__(self, qv: np.ndarray, book: np.ndarray, metric: str):
-        self.qv, self.book, self.metric = qv, book, metric
-
-    def offer(self, top: TopK, rows: np.ndarray, codes: np.ndarray, ids) -> None:
-        pq_dim, n_codes, width = self.book.shape
-        step = max(1, CELLS // max(len(codes), pq_dim * n_codes))
-        for lo in range(0, len(rows), step):
-            r = rows[lo:lo + step]
-            total = np.zeros((len(r), len(codes)))
-            for s in range(pq_dim):
-                gap = self.qv[r, None, s * width:(s + 1) * width] - self.book[s][None, :, :]
-                part = np.zeros(gap.shape[:2])
-                for j in range(width):
-                    part += gap[:, :, j] * gap[:, :, j]
-                total += part[:, codes[:, s]]
-            if self.metric == EUCLIDEAN:
-                total = np.sqrt(total)
-            elif self.metric == COSINE:
-                total = total / 2.0
-            limit = top.limit(r)
-            if len(codes) > top.k:
-                limit = np.minimum(limit, np.partition(total, top.k - 1, axis=1)[:, top.k - 1])
-            q, i = np.nonzero(total <= limit[:, None])
-            if len(q):
-                top.offer(r[q], total[q, i], np.array(ids.take(pa.array(i)).to_pylist(), dtype=object))
-
-
 def pq_search(queries: DataFrame, items: DataFrame, books: np.ndarray, k: int, metric: str,
               payload: tuple[str, ...] = (), rerank: int | None = DEFAULT_RERANK) -> DataFrame:
     return search(queries, items, k, metric, payload, scan=scan_codes(books, rerank), held=k * (rerank or 1))

@@ -147,13 +147,30 @@ def postings_of(table: pa.Table):
     return {value: np.sort(who[rows]) for value, rows in by_list(lists)}
 
 
-def emit(top: TopK, query_ids: pa.Array, schema: pa.Schema):
+def scan_batches(batches, block: QueryBlock, k: int, postings, vectors_of):
+    """Offer item batches ``(id, ..., [list_id])`` to the block; (running top k, id type)."""
+    top, everyone, id_type = TopK(len(block), k), np.arange(len(block)), pa.string()
+    for batch in batches:
+        ids, x = batch.column(0), vectors_of(batch)
+        id_type = ids.type
+        if postings is None:
+            block.offer(top, everyone, x, ids)
+            continue
+        for value, rows in by_list(batch.column(2).to_numpy(zero_copy_only=False)):
+            who = everyone if value < 0 else postings.get(value)
+            if who is not None:
+                block.offer(top, who, x[rows], ids.take(pa.array(rows)))
+    return top, id_type
+
+
+def emit(top: TopK, query_ids: pa.Array, id_type: pa.DataType):
+    """What is held, as Arrow batches ``(query_id, id, distance)``."""
+    schema = pa.schema([("query_id", query_ids.type), ("id", id_type), ("distance", pa.float64())])
     q, ids, d = top.entries()
     for at in range(0, len(q), EMIT_ROWS):
         part = slice(at, at + EMIT_ROWS)
         yield pa.RecordBatch.from_arrays(
-            [query_ids.take(pa.array(q[part])), pa.array(ids[part].tolist(), schema.field(1).type), pa.array(d[part])],
-            schema=schema)
+            [query_ids.take(pa.array(q[part])), pa.array(ids[part].tolist(), id_type), pa.array(d[part])], schema=schema)
 
 
 def spread_scan(items: DataFrame, n_queries: int, width: int, k: int) -> DataFrame:
@@ -182,20 +199,8 @@ def scan_block(table: pa.Table, queries: DataFrame, items: DataFrame, stored: Da
 
     def run(batches):
         query_ids, qv, posts = shared.value
-        block, top, everyone = QueryBlock(qv, metric), TopK(n_queries, k), np.arange(n_queries)
-        id_type = pa.string()
-        for batch in batches:
-            ids, x = batch.column(0), matrix(batch.column(1), width)
-            id_type = ids.type
-            if posts is None:
-                block.offer(top, everyone, x, ids)
-                continue
-            for value, rows in by_list(batch.column(2).to_numpy(zero_copy_only=False)):
-                who = everyone if value < 0 else posts.get(value)
-                if who is not None:
-                    block.offer(top, who, x[rows], ids.take(pa.array(rows)))
-        out = pa.schema([("query_id", query_ids.type), ("id", id_type), ("distance", pa.float64())])
-        yield from emit(top, query_ids, out)
+        top, id_type = scan_batches(batches, QueryBlock(qv, metric), k, posts, lambda b: matrix(b.column(1), width))
+        yield from emit(top, query_ids, id_type)
 
     source = items.where(F.col("vector").isNotNull()).select(*columns)
     return spread_scan(source, n_queries, width, k).mapInArrow(run, schema)
