@@ -75,6 +75,13 @@ def test_query_ids_of_any_type(spark, items):
     assert search.search(q, items, 1).schema["query_id"].dataType.simpleString() == "string"
 
 
+def test_a_query_without_a_vector_has_no_hits(spark, items):
+    q = spark.createDataFrame([(1, None), (2, [0.0] * 8)], "query_id long, qv array<double>")
+    probed = search.probe_lists(q, np.zeros((4, 8)), "euclidean", 4)
+    for frame in (q, probed, q.where("query_id = 1")):
+        assert {r["query_id"] for r in search.search(frame, items, 2).collect()} <= {2}
+
+
 def test_dimension_mismatch_stops(spark, items):
     q = spark.createDataFrame([(1, [0.0] * 7)], "query_id long, qv array<double>")
     with pytest.raises(Exception, match="dimension mismatch"):

@@ -56,7 +56,8 @@ def search(
     """Top k per query.
 
     With an array column ``probes`` in ``queries`` only items whose ``list_id``
-    is probed (or negative: not in any list) are compared. ``payload`` names
+    is probed (or negative: not in any list) are compared. A query without a
+    vector has no hits. ``payload`` names
     item columns to attach to the hits. ``scan`` replaces the distance scan and
     keeps ``held`` candidates per query meanwhile (see ``pq``). ``stored`` is
     the frame to fetch payload from when ``items`` is a costly filter over it.
@@ -66,7 +67,7 @@ def search(
         raise ValueError("top_k must be at least 1")
     stored = items if stored is None else stored
     probing = "probes" in queries.columns
-    queries = queries.select("query_id", "qv", *(["probes"] if probing else []))
+    queries = queries.where(F.col("qv").isNotNull()).select("query_id", "qv", *(["probes"] if probing else []))
     most = max(1, min(MAX_QUERY_ROWS, MAX_HITS // (held or k)))
     first = queries.limit(most + 1).toArrow()
     if first.num_rows == 0:
@@ -237,6 +238,7 @@ def probe_lists(
             rows.extend(row.tolist() for row in chosen)
         return pa.array(rows, pa.list_(pa.int32()))
 
+    queries = queries.where(F.col("qv").isNotNull())
     return queries.select("query_id", "qv", nearest_lists.asNondeterministic()("qv").alias("probes"))
 
 
