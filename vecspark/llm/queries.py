@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.workspace import scratch_path
-from . import packing, token_counts, token_files
+from . import near_dedup, packing, token_counts, token_files
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -17,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, similarity=0.85)
+    doc_id = F.col("row.doc_id")
+    return rows.select(doc_id, "n_shingles", "component_id", doc_id.eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE))
