@@ -19,5 +19,43 @@ WHERE rank <= 20
 """
 
 
+QUALITY = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         string_split(t, chr(10)) AS lines FROM d),
+f AS (SELECT *, list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS full_lines FROM w),
+n AS (
+  SELECT doc_id, i, words[i:i+4] AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM f)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS c FROM n) WHERE c > 1),
+p AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM r, (SELECT unnest(range(0, 5)) AS o) GROUP BY doc_id),
+l AS (
+  SELECT doc_id, unnest(lines) AS line FROM f),
+m AS (
+  SELECT doc_id, length(line) AS size, line,
+         len(string_split_regex(trim(line, ' '), ' +')) AS words,
+         len(regexp_extract_all(line, '[|>»•·]')) AS seps, len(regexp_extract_all(line, '[#*$%&|<>]')) AS syms,
+         len(regexp_extract_all(line, '[!?*#$%&]{2,}')) AS marks
+  FROM l),
+k AS (
+  SELECT doc_id, sum(size) AS size, sum(CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]') AND (
+           regexp_matches(lower(line), 'all rights reserved|licensed under|terms of use|terms of service|privacy policy|cookie|javascript|lorem ipsum|click here|sign up|log in|subscribe|share this|read more')
+           OR (seps >= 3 AND seps * 4 >= words) OR syms * 10 >= size OR marks * 5 >= words * 2) THEN 0 ELSE size END) AS left_size
+  FROM m GROUP BY doc_id),
+c AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(full_lines) - len(list_distinct(full_lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+         CAST(left_size AS DOUBLE) / greatest(size, 1) >= 0.5 AS clean
+  FROM f LEFT JOIN p USING (doc_id) LEFT JOIN k USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND clean AS kept
+FROM c
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op5_topk": TOP_K}
+    return {"op5_topk": TOP_K, "op8_quality": QUALITY}
