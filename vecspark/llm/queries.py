@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.workspace import scratch_path
-from . import near_dedup, packing, quality, token_counts, token_files, topk
+from . import near_dedup, packing, quality, token_counts, token_files, topk, toxicity
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(parts: int) -> Column:
+    """crc32 of the id as text modulo ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, similarity=0.85)
     doc_id = F.col("row.doc_id")
@@ -44,6 +49,14 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("cleaned", "kept_share")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(5) == 0
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select(
+        F.col("row.doc_id").alias("doc_id"), "score", "predicted").withColumn("held_out", held_out)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 

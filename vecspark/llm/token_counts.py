@@ -23,30 +23,37 @@ from pyspark.sql import types as T
 
 from .arrow import slices, strings
 from .tokens import LONGEST, PIECES_DROPPED, PIECES_SPACED, UnitEncoder
+from .worker import forget, kept
 
-SAMPLE_ROWS = 2_000
+SAMPLE_ROWS, SAMPLE_TASKS = 2_000, 4
 FREQUENT_PIECES = 1 << 16
 LIMIT = 1024
 
-_encoders: dict = {}      # by frequent table, one in each worker process
-
-
 def frequent_pieces(docs: DataFrame, spaced: bool, rows: int = SAMPLE_ROWS, most: int = FREQUENT_PIECES) -> list[str]:
-    """The most frequent pieces of some ``rows`` documents, counted inside the task that reads them."""
-    pattern = PIECES_SPACED if spaced else PIECES_DROPPED
+    """The most frequent pieces of about ``rows`` documents, counted inside the few tasks that read them."""
+    pattern, each = PIECES_SPACED if spaced else PIECES_DROPPED, -(-rows // SAMPLE_TASKS)
 
     def count(batches):
-        seen = Counter()
+        seen, left = Counter(), each
         for batch in batches:
-            for text in strings(batch):
+            for text in strings(batch.slice(0, left)):
                 seen.update(p for p in pattern.findall(text if spaced else text.lower()) if len(p) <= LONGEST)
                 if len(seen) > 8 * most:
                     seen = Counter(dict(seen.most_common(4 * most)))
-        top = seen.most_common(most)
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string())], names=["piece"])
-
-    sample = docs.select("text").where(F.length("text") > 0).limit(rows)
-    return [r.piece for r in sample.mapInArrow(count, "piece string").collect()][:most]
+            left -= min(left, batch.num_rows)
+            if not left:
+                break
+        if seen:
+            top = seen.most_common(most)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([[p for p, _ in top]], pa.list_(pa.string())), pa.array([[n for _, n in top]], pa.list_(pa.int64()))],
+                names=["pieces", "counts"])
+
+    found = docs.select("text").where(F.length("text") > 0).mapInArrow(count, "pieces array<string>, counts array<long>")
+    seen = Counter()
+    for row in found.limit(SAMPLE_TASKS).collect():
+        seen.update(dict(zip(row.pieces, row.counts)))
+    return [p for p, _ in seen.most_common(most)]
 
 
 def count_tokens(
@@ -69,14 +76,12 @@ def count_tokens(
                            T.StructField("n_tokens", T.LongType())])
 
     def encoder() -> UnitEncoder:
-        if version not in _encoders:
-            _encoders.clear()
-            joined, counts = shared.value
-            _encoders[version] = UnitEncoder(tokenizer, spaced, len, sum, dict(zip(joined.split("\n"), counts)))
-        return _encoders[version]
+        joined, counts = shared.value
+        forget("counts ")
+        return UnitEncoder(tokenizer, spaced, len, sum, dict(zip(joined.split("\n"), counts)))
 
     def count(batches):
-        tokens = encoder()
+        tokens = kept(f"counts {version}", encoder)
         for batch in batches:
             for rows in slices(batch):
                 texts = strings(rows)

@@ -16,6 +16,8 @@ import re
 
 import numpy as np
 
+from .worker import kept
+
 REMEMBERED = 300_000        # pieces of each of two generations in a worker
 LONGEST = 48                # longer pieces are encoded but not remembered
 
@@ -126,12 +128,6 @@ def id_bytes(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
-_encoders: dict = {}      # by tokenizer file, in each worker process
-
-
 def ids_of(text: str | None, path: str) -> bytes:
     """A text's ids (as ``id_bytes``), no special tokens added."""
-    encoder = _encoders.get(path)
-    if encoder is None:
-        encoder = _encoders[path] = UnitEncoder(path, False, id_bytes, b"".join)
-    return encoder.encode(text)
+    return kept(f"ids {path}", lambda: UnitEncoder(path, False, id_bytes, b"".join)).encode(text)

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 from .arrow import text_bytes, text_offsets
+from .worker import kept
 
 CHUNK = 1 << 20           # bytes hashed at a time
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -37,9 +38,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
+def _both_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
+
+
 _BASE = 0xD1342543DE82EF95
-_POWER = _powers(_BASE, CHUNK)
-_INVERSE = _powers(pow(_BASE, -1, 1 << 64), CHUNK)
 _CODES = mix(np.arange(1, 257, dtype=np.uint64) * GOLD)
 _SEEDS = np.arange(1, 65, dtype=np.uint64) * GOLD       # by place in a shingle
 _FOLDED = _CODES.copy()
@@ -48,37 +51,40 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
 
 
-def _cut(data: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
-    """Ranges of at most CHUNK bytes that end at text ends or, in longer texts, after white space."""
+def _cut(data: np.ndarray, ends: np.ndarray, breaks: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of at most CHUNK bytes that end at text ends or, in longer texts, after a break."""
     cuts, at, stop = [], int(ends[0]), int(ends[-1])
     while at < stop:
         to = int(ends[np.searchsorted(ends, at + CHUNK, side="right") - 1])
         if to <= at:
             to = min(at + CHUNK, stop)
-            gaps = np.flatnonzero(_SPACE[data[at:to]])
+            gaps = np.flatnonzero(breaks[data[at:to]])
             end = int(ends[np.searchsorted(ends, at, side="right")])
-            to = end if to >= end else at + int(gaps[-1]) + 1 if len(gaps) else _next_gap(data, to, end)
+            to = end if to >= end else at + int(gaps[-1]) + 1 if len(gaps) else _next_gap(data, to, end, breaks)
         cuts.append((at, to))
         at = to
     return cuts
 
 
-def _next_gap(data: np.ndarray, at: int, end: int) -> int:
-    """After the first white space from ``at`` on: a single word is longer than a chunk."""
+def _next_gap(data: np.ndarray, at: int, end: int, breaks: np.ndarray) -> int:
+    """After the first break from ``at`` on: a single word is longer than a chunk."""
     while at < end:
-        gaps = np.flatnonzero(_SPACE[data[at:at + CHUNK]])
+        gaps = np.flatnonzero(breaks[data[at:at + CHUNK]])
         if len(gaps):
             return min(end, at + int(gaps[0]) + 1)
         at += CHUNK
     return end
 
 
-def word_spans(texts: pa.Array):
-    """Yield per range ``(bytes, start, end, row)`` of its words; positions within the range's bytes."""
+def word_spans(texts: pa.Array, breaks: np.ndarray = _SPACE):
+    """Yield per range ``(bytes, start, end, row)`` of its words; positions within the range's bytes.
+
+    ``breaks`` marks the bytes that are in no word.
+    """
     data, ends = text_bytes(texts), text_offsets(texts)
-    for at, to in _cut(data, ends):
+    for at, to in _cut(data, ends, breaks):
         part = data[at:to]
-        inside = ~_SPACE[part]
+        inside = ~breaks[part]
         edge = np.zeros(len(part) + 1, dtype=bool)
         edge[0] = edge[-1] = True
         lo, hi = np.searchsorted(ends, at), np.searchsorted(ends, to, side="right")
@@ -95,11 +101,10 @@ def span_hash(part: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool =
     codes = (_FOLDED if fold else _CODES)[part]
     size = len(part)
     if size <= CHUNK:
-        power, inverse = _POWER[:size], _INVERSE
+        power, inverse = kept("powers", lambda: _both_powers(CHUNK))
     else:
-        power = _powers(_BASE, size)
-        inverse = _powers(pow(_BASE, -1, 1 << 64), size)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * power)])
+        power, inverse = _both_powers(size)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * power[:size])])
     return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * GOLD)
 
 
