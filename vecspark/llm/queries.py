@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.workspace import scratch_path
-from . import near_dedup, packing, quality, token_counts, token_files, topk, toxicity
+from . import langid, near_dedup, packing, quality, token_counts, token_files, topk, toxicity
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -41,6 +41,12 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(4) == 2
+    return langid.identify(docs, langid.learn(docs, ~held_out)).withColumn("held_out", held_out)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
