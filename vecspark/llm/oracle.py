@@ -57,5 +57,39 @@ FROM c
 """
 
 
+MIXING = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, text, coalesce('=' || source, 'null') AS task, CAST(coalesce(length(text), 0) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+  FROM documents),
+u AS (SELECT task, greatest(CAST(floor(sqrt(sum(size))) AS BIGINT), 1) AS unit FROM d GROUP BY task),
+p AS (SELECT task, 1000 * unit // (SELECT CAST(sum(unit) AS BIGINT) FROM u) AS whole,
+             1000 * unit % (SELECT CAST(sum(unit) AS BIGINT) FROM u) AS remainder FROM u),
+s AS (
+  SELECT task, greatest(whole + CASE WHEN row_number() OVER (ORDER BY remainder DESC, task)
+                                      <= 1000 - (SELECT CAST(sum(whole) AS BIGINT) FROM p) THEN 1 ELSE 0 END, 1) AS share,
+         row_number() OVER (ORDER BY task) AS number
+  FROM p),
+l AS (SELECT list(share ORDER BY number) AS shares, CAST(sum(share) AS BIGINT) AS slots, CAST(count(*) AS BIGINT) AS n FROM s),
+edf AS (
+  SELECT CAST(-1 AS BIGINT) AS slot, CAST(0 AS BIGINT) AS number, list_transform(shares, lambda x: CAST(0 AS BIGINT)) AS taken FROM l
+  UNION ALL
+  SELECT slot, number, list_transform(taken, lambda c, i: c + CASE WHEN i = number THEN 1 ELSE 0 END)
+  FROM (
+    SELECT slot + 1 AS slot, taken, list_min(list_transform(range(1, n + 1), lambda i: CASE
+             WHEN taken[i] < shares[i] AND taken[i] * slots // shares[i] <= slot + 1
+             THEN ((taken[i] + 1) * slots + shares[i] - 1) // shares[i] * 1048576 + i END)) % 1048576 AS number
+    FROM edf, l WHERE slot + 1 < slots)),
+t AS (SELECT s.task, share, slot, row_number() OVER (PARTITION BY s.number ORDER BY slot) - 1 AS turn
+      FROM edf JOIN s ON s.number = edf.number WHERE slot >= 0),
+o AS (SELECT doc_id, source, task, CAST(coalesce(sum(size) OVER (PARTITION BY task ORDER BY key, doc_id NULLS LAST, text
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM d),
+b AS (SELECT *, start // 65536 AS block FROM o)
+SELECT doc_id, source, block, block * slots // t.share AS release, ((block + 1) * slots + t.share - 1) // t.share AS deadline,
+       block // t.share * slots + slot AS slot, start
+FROM b, l JOIN t ON true WHERE t.task = b.task AND t.turn = b.block % t.share
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op5_topk": TOP_K, "op8_quality": QUALITY}
+    return {"op2_mixing": MIXING, "op5_topk": TOP_K, "op8_quality": QUALITY}

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.workspace import scratch_path
-from . import langid, near_dedup, packing, pii, quality, token_counts, token_files, topk, toxicity
+from . import langid, mixing, near_dedup, packing, pii, quality, token_counts, token_files, topk, toxicity
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -29,6 +29,11 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(doc_id, "n_shingles", "component_id", doc_id.eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = mixing.schedule(table(spark, sf_dir, "documents"))
+    return placed.select("row.doc_id", "row.source", "block", "release", "deadline", "slot", "start")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE))
