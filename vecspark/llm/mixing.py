@@ -19,8 +19,8 @@ The default weights temper the sizes: a source's weight is the square root of
 its characters. Weights of given sources are a table ``source, weight``; others
 have none given and count as 1. Beyond the ``MAX_SOURCES`` largest, sources are
 mixed as one. A null source is a source. Null and empty texts have size 0 and
-stay with the block they fall in. Rows with one id follow each other, ordered by
-text; null ids come last. Other columns are carried along under any name.
+stay with the block they fall in. Rows with one id follow each other, by size;
+null ids come last. Other columns are carried along under any name.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .components import kept_table
+
 BLOCK_CHARS = 1 << 16
 FRAME = 1000
 MAX_SOURCES = 256
@@ -100,8 +102,8 @@ def schedule(docs: DataFrame, weights: DataFrame | None = None, block_chars: int
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _group(F.col("source")).alias("source_key"),
         F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("size"), key.alias("key"),
         F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * buckets / (1 << 32)).alias("bucket"))
-    sizes = rows.groupBy(F.col("source_key").alias("task")).agg(F.sum("size").alias("size"))
-    slots = frame_slots(shares(sizes, frame, weights, most))
+    sizes = kept_table(rows.groupBy(F.col("source_key").alias("task")).agg(F.sum("size").alias("size")), "mix-sizes")
+    slots = kept_table(frame_slots(shares(sizes, frame, weights, most)), "mix-frame")
     tasks = slots.select("task", "share", "slots").distinct()          # at most MAX_SOURCES + 1 rows
     named = rows.join(F.broadcast(tasks.select(F.col("task").alias("source_key"), F.lit(True).alias("alone"))), "source_key", "left")
     named = named.withColumn("task", F.when(F.col("alone"), F.col("source_key")).otherwise("rest")).drop("alone", "source_key")
@@ -109,10 +111,10 @@ def schedule(docs: DataFrame, weights: DataFrame | None = None, block_chars: int
     held = named.groupBy("task", "bucket").agg(F.sum("size").alias("held"))
     earlier = Window.partitionBy("task").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = held.select("task", "bucket", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("task", "bucket").orderBy("key", F.col("row.doc_id").asc_nulls_last(), "row.text")
+    inside = Window.partitionBy("task", "bucket").orderBy("key", F.col("row.doc_id").asc_nulls_last(), "size")
     running = named.withColumn("inside", F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     placed = running.join(before, ["task", "bucket"]).withColumn("start", F.col("before") + F.col("inside"))
-    blocks = placed.select("row", "task", "start", F.expr(f"offset div {block_chars}").alias("block"))
+    blocks = placed.select("row", "task", "start", F.expr(f"start div {block_chars}").alias("block"))
     blocks = blocks.join(F.broadcast(tasks), "task").withColumn("turn", F.expr("block % share"))
     found = blocks.join(F.broadcast(slots.select("task", "turn", F.col("slot").alias("own"))), ["task", "turn"])
     return found.select(

@@ -82,7 +82,7 @@ edf AS (
     FROM edf, l WHERE slot + 1 < slots)),
 t AS (SELECT s.task, share, slot, row_number() OVER (PARTITION BY s.number ORDER BY slot) - 1 AS turn
       FROM edf JOIN s ON s.number = edf.number WHERE slot >= 0),
-o AS (SELECT doc_id, source, task, CAST(coalesce(sum(size) OVER (PARTITION BY task ORDER BY key, doc_id NULLS LAST, text
+o AS (SELECT doc_id, source, task, CAST(coalesce(sum(size) OVER (PARTITION BY task ORDER BY key, doc_id NULLS LAST, size
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM d),
 b AS (SELECT *, start // 65536 AS block FROM o)
 SELECT doc_id, source, block, block * slots // t.share AS release, ((block + 1) * slots + t.share - 1) // t.share AS deadline,
