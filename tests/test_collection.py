@@ -177,7 +177,10 @@ def test_two_writers_both_survive(spark, store):
     stale = c.state()
     c.upsert(frame(spark, [("w1", [1.0] * 8, None)]))
     segment = c._write_segment(c._coded(frame_items(spark, [("w2", [2.0] * 8)]), stale), stale)
-    c._commit_rows(stale, segment, 1, c._note_removals(frame_items(spark, [("w2", [2.0] * 8)]).select("id"), 1, stale), None)
+    assert c._note_removals(frame_items(spark, [("w2", [2.0] * 8)]).select("id"), 1, stale) is None
+    with pytest.raises(VersionConflict):      # w1 came meanwhile and might have been w2: the upsert starts over
+        c._commit_rows(stale, segment, 1, None, None)
+    c.upsert(frame(spark, [("w2", [2.0] * 8, None)]))
     assert ids(c.get(["w1", "w2"])) == ["w1", "w2"]
     with pytest.raises(VersionConflict):
         c.catalog.commit(stale)      # a version is committed once
@@ -211,12 +214,54 @@ def test_fold_keeps_the_large_segment_and_every_change(spark, store, monkeypatch
     assert contents_of(c) == before and len(c.state()["removals"]) == 1
     monkeypatch.setattr(module, "MAX_REMOVALS", 1)
     c.delete(["20", "21"])
+    assert len(contents_of(c)) == len(before) - 2      # beyond the bound removals are shuffled, nothing is rewritten
+    c.compact()
     assert len(c.state()["segments"]) == 1 and c.state()["removals"] == [] and len(contents_of(c)) == len(before) - 2
 
 
-def test_many_removals_look_for_what_exists(spark, store, monkeypatch):
-    import vecspark.plans.collection as module
-    monkeypatch.setattr(module, "BLIND_REMOVALS", 1)
+def test_new_ids_leave_old_rows_alone(spark, store):
+    c, _ = filled(spark, store)
+    first = c.state()["segments"]
+    for i in range(3):
+        c.upsert(frame(spark, [(f"new{i}-{j}", [float(j)] * 8, None) for j in range(5)]))
+    c.delete(["unknown"])
+    state = c.state()
+    assert state["removals"] == [] and state["segments"][0] == first[0] and len(state["segments"]) == 4
+
+
+def test_every_bad_row_is_reported_before_ids_are_made_one(spark, store):
+    c, _ = filled(spark, store)
+    bad = [("", [1.0] * 8, None), ("", [2.0] * 8, None), ("d", [float("nan")] * 8, None), ("d", [3.0] * 8, None)]
+    rejects = scratch_path(spark, "rejects")
+    found = c.upsert(frame(spark, bad), mode="split", rejects=rejects)
+    assert found.count() == spark.read.parquet(rejects).count() == 3
+    assert c.get(["d"]).first()["vector"] == [3.0] * 8
+    with pytest.raises(ValueError, match="finite"):
+        c.upsert(frame(spark, bad[2:]))
+
+
+def test_half_a_record_hides_nothing(spark, store):
+    c, _ = filled(spark, store)
+    state = c.state()
+    files = c.catalog._files()
+    path = c.catalog._path(f"{c.catalog._record_folder('c')}/{state['version'] + 1:012d}.json")
+    files.create(path, False).close()
+    assert c.state() == state and [r["index_name"] for r in c.catalog.table().collect()] == ["c"]
+    with pytest.raises(VersionConflict):
+        c.catalog.commit(state)
+
+
+def test_greedy_fills_up_from_the_rows_that_match(spark, store):
+    c = store.create("g", KEY)
+    rows = [(str(i), [float(i % 30), float(i // 30)], f'{{"rare": {i % 20 == 0}}}'.lower()) for i in range(600)]
+    c.upsert(spark.createDataFrame(rows, "id string, vector array<double>, metadata string").withColumn("metadata", F.parse_json("metadata")),
+             auto_train=False)
+    c.train(n_lists=25)
+    hits = c.query([[3.0, 3.0], [29.0, 1.0]], top_k=12, filters={"rare": True}, greedy=True)
+    assert {r["n"] for r in hits.groupBy("query_id").agg(F.count("*").alias("n")).collect()} == {12}
+
+
+def test_many_removals_look_for_what_exists(spark, store):
     c, _ = filled(spark, store)
     c.delete(["1", "2", "u1", "u2"])
     assert c.state()["removals"][0]["n"] == 2

@@ -11,7 +11,7 @@ from vecspark.plans.collection import VectorStore
 from vecspark.plans.text_store import TextStore
 from vecspark.plans.workspace import scratch_path
 from vecspark.sources import items as item_source
-from vecspark.streaming.streams import query_stream, upsert_stream
+from vecspark.streaming.streams import query_id, query_stream, upsert_stream
 
 KEY = bytes(range(32))
 DOCS = [
@@ -175,8 +175,17 @@ def test_streams(spark):
     version = c.state()["version"]
     run()                                                  # nothing new
     assert c.state()["version"] == version
-    c.upsert(rows, applied=("upsert", 3))                  # a repeated batch is skipped
+    c.upsert(rows, applied=(query_id(spark, checkpoint), 3))      # a repeated batch is skipped
     assert c.state()["version"] == version
+    other = rows.select(F.concat("id", F.lit("b")).alias("id"), "vector")
+    opath = scratch_path(spark, "in")
+    other.union(other.limit(1).withColumn("id", F.lit(""))).write.parquet(opath)
+    stream, rejects = spark.readStream.schema(rows.schema).parquet(opath), scratch_path(spark, "rejects")
+    with pytest.raises(ValueError, match="rejects"):
+        upsert_stream(stream, c, scratch_path(spark, "cp"), mode="split")
+    upsert_stream(stream, c, scratch_path(spark, "cp"), available_now=True, mode="split", rejects=rejects).awaitTermination()
+    assert c.num_vectors().first()["num_vectors"] == 80 and spark.read.parquet(rejects).count() == 1
+    c.delete(other.select("id"))
     rows.where("id = '7'").withColumn("vector", F.array(F.lit(-5.0), F.lit(1.0))).write.mode("append").parquet(path)
     run()
     assert c.get(["7"]).first()["vector"] == [-5.0, 1.0] and c.num_vectors().first()["num_vectors"] == 40

@@ -33,18 +33,22 @@ def _true(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def _joined(conditions: list[Column], join, empty: bool) -> Column:
+    """A balanced tree, so that long lists do not nest deeply."""
+    if not conditions:
+        return F.lit(empty)
+    while len(conditions) > 1:
+        pairs = [join(*conditions[i:i + 2]) for i in range(0, len(conditions) - 1, 2)]
+        conditions = pairs + conditions[len(conditions) - len(conditions) % 2:]
+    return conditions[0]
+
+
 def _all(conditions: list[Column]) -> Column:
-    out = F.lit(True)
-    for condition in conditions:
-        out = out & condition
-    return out
+    return _joined(list(conditions), lambda a, b: a & b, True)
 
 
 def _any(conditions: list[Column]) -> Column:
-    out = F.lit(False)
-    for condition in conditions:
-        out = out | condition
-    return out
+    return _joined(list(conditions), lambda a, b: a | b, False)
 
 
 def _scalar_compare(value: Column, literal, op: str) -> Column:
@@ -101,6 +105,41 @@ def _equals(metadata: Column, path: str, literal) -> Column:
     return _matches(metadata, path, literal, "__eq__")
 
 
+def _among(metadata: Column, path: str, literals: list) -> Column:
+    """Whether a value, or an element of an array, equals one of the literals.
+
+    One extraction per type, however many literals there are.
+    """
+    booleans = [x for x in literals if isinstance(x, bool)]
+    strings = [x for x in literals if isinstance(x, str)]
+    whole = [x for x in literals if isinstance(x, int) and not isinstance(x, bool)]
+    real = [x for x in literals if isinstance(x, float)]
+    rest = [x for x in literals if x is None or isinstance(x, (list, tuple, dict))]
+    if len(booleans) + len(strings) + len(whole) + len(real) + len(rest) < len(literals):
+        return _any([_equals(metadata, path, x) for x in literals])      # raises for the odd one
+
+    def one_of(value: Column) -> Column:
+        kind, tests = F.schema_of_variant(value), []
+        if booleans:
+            tests.append(F.when(kind == "BOOLEAN", _at(value, "$", "boolean").isin(booleans)))
+        if strings:
+            tests.append(F.when(kind == "STRING", _at(value, "$", "string").isin(strings)))
+        if whole:
+            tests.append(F.when(kind == "BIGINT", _at(value, "$", "decimal(38,0)").isin(whole)))
+        if real:
+            tests.append(F.when(kind == "BIGINT", _at(value, "$", "double").isin(real)))
+        if whole or real:
+            tests.append(F.when(_is_real(kind), _at(value, "$", "double").isin([float(x) for x in whole + real])))
+        return _any([_true(t) for t in tests])
+
+    value = _at(metadata, path)
+    plain = F.lit(False)
+    if len(rest) < len(literals):
+        some = F.exists(_elements(value), one_of)
+        plain = F.when(_true(_is_array(value)), _true(some)).otherwise(one_of(value))
+    return _any([plain, *[_equals(metadata, path, x) for x in rest]])
+
+
 def _sequence(op: str, argument) -> list:
     if not isinstance(argument, (list, tuple)):
         raise ValueError(f"{op} takes a list")
@@ -115,9 +154,9 @@ def _operator(metadata: Column, path: str, op: str, argument) -> Column:
     if op in _RANGE:
         return _matches(metadata, path, argument, _RANGE[op])
     if op == "$in":
-        return _any([_equals(metadata, path, x) for x in _sequence(op, argument)])
+        return _among(metadata, path, _sequence(op, argument))
     if op == "$nin":
-        return ~_any([_equals(metadata, path, x) for x in _sequence(op, argument)])
+        return ~_among(metadata, path, _sequence(op, argument))
     if op == "$all":
         wanted = _sequence(op, argument)
         return _all([_equals(metadata, path, x) for x in wanted]) if wanted else F.lit(False)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,6 +26,9 @@ RECORD = """
 """
 
 
+KEPT_VERSIONS = 20      # records of a collection that stay; only the newest counts
+
+
 class VersionConflict(RuntimeError):
     """Another job committed this version first; read again and retry."""
 
@@ -70,33 +74,53 @@ class Catalog:
 
     def state(self, name: str) -> dict | None:
         """The newest record of a collection; None when it does not exist."""
-        versions = sorted(n for n in self._names(self._record_folder(name)) if n.endswith(".json"))
-        if not versions:
-            return None
-        stream = self._files().open(self._path(f"{self._record_folder(name)}/{versions[-1]}"))
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
+        for version in reversed(self._versions(name)):
+            stream = self._files().open(self._path(f"{self._record_folder(name)}/{version}"))
+            try:
+                text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            try:
+                return json.loads(text)
+            except ValueError:          # half a record, as a crash of a foreign writer leaves it
+                continue
+        return None
+
+    def _versions(self, name: str) -> list[str]:
+        return sorted(n for n in self._names(self._record_folder(name)) if n.endswith(".json"))
 
     def live(self, name: str) -> dict | None:
         state = self.state(name)
         return None if state is None or state.get("dropped") else state
 
     def commit(self, state: dict) -> dict:
-        """Write ``state`` as the version after the one it was read at."""
+        """Publish ``state`` as the version after the one it was read at.
+
+        The record is written aside and renamed without overwriting, so readers
+        see all of it or none of it. That needs a store whose rename is atomic
+        (HDFS and other file systems; not a bare object store).
+        """
         state = dict(state, version=state["version"] + 1)
-        path = self._path(f"{self._record_folder(state['index_name'])}/{state['version']:012d}.json")
-        files = self._files()
+        folder = self._record_folder(state["index_name"])
+        aside, final = (self._path(f"{folder}/{n}") for n in (f"{uuid.uuid4().hex}.tmp", f"{state['version']:012d}.json"))
+        files, hadoop = self._files(), self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        if files.exists(final):
+            raise VersionConflict(state["index_name"])
+        stream = files.create(aside, False)
+        stream.write(bytearray(json.dumps(state).encode("utf-8")))
+        stream.close()
+        rename = getattr(hadoop, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.NONE
         try:
-            stream = files.create(path, False)
+            hadoop.FileContext.getFileContext(final.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(aside, final, options)
         except Exception as error:
-            if files.exists(path):
+            files.delete(aside, False)
+            if files.exists(final):
                 raise VersionConflict(state["index_name"]) from error
             raise
-        stream.write(bytearray(json.dumps(state).encode("utf-8")))
-        stream.close()
+        for name in self._versions(state["index_name"])[:-KEPT_VERSIONS]:
+            files.delete(self._path(f"{folder}/{name}"), False)
         return state
 
     def table(self) -> DataFrame:
@@ -105,5 +129,5 @@ class Catalog:
             return self.spark.createDataFrame([], RECORD)
         records = self.spark.read.schema(RECORD).json(f"{self.folder}/*/*.json")
         newest = Window.partitionBy("index_name").orderBy(F.desc("version"))
-        ranked = records.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") == 1)
+        ranked = records.where(F.col("index_name").isNotNull()).withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") == 1)
         return ranked.where(~F.coalesce("dropped", F.lit(False))).drop("_rn")

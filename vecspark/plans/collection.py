@@ -23,16 +23,15 @@ from ..functions.filters import PROMOTABLE, compile_filter, promote, pushed_filt
 from ..operators import merge, pq, search, train, validate
 from ..sources.items import from_arrays, item_rows
 from .catalog import Catalog, VersionConflict
-from .workspace import spread_small
+from .workspace import scratch_path, spread_small
 
 INDEX_TYPES = ("ivf", "ivfflat", "ivfpq")
 DEFAULT_TYPE = "ivfflat"
 DEFAULT_INCLUDE = ("distance", "metadata")
 DEFAULT_RETRAIN_MULTIPLIER = 2.0
 DEFAULT_MIN_TRAIN_ROWS = 10_000
-MAX_REMOVALS = 2_000_000     # removed ids that a read broadcasts; beyond that the collection is rewritten
+MAX_REMOVALS = 2_000_000     # removed ids that a read broadcasts; beyond that they are shuffled until compact()
 MAX_SEGMENTS = 64
-BLIND_REMOVALS = 100_000     # batch ids noted as removals without looking whether they exist
 COMMIT_TRIES = 20
 
 
@@ -274,6 +273,13 @@ class Collection:
         extra = ["is_text"] if "contents" in keep else []
         return self._open(found.select("pos", "id", *keep, *extra), state).orderBy("pos")
 
+    def payload(self, rows: DataFrame, columns) -> DataFrame:
+        """``rows`` (with ``id``) with stored columns attached."""
+        state = self.state()
+        extra = ["is_text"] if "contents" in columns else []
+        stored = self._stored(state).select("id", *columns, *extra)
+        return self._open(stored.join(merge.bounded(rows), "id"), state)
+
     def list_ids(self, filters: dict | None = None) -> DataFrame:
         state = self.state()
         return self._filtered(self._stored(state), state, filters).select("id")
@@ -284,33 +290,35 @@ class Collection:
     # -- writing --------------------------------------------------------------
 
     def upsert(self, items: DataFrame, mode: str = "fail", order: Column | None = None,
-               auto_train: bool = True, applied: tuple[str, int] | None = None) -> DataFrame | None:
+               auto_train: bool = True, applied: tuple[str, int] | None = None,
+               rejects: str | None = None) -> DataFrame | None:
         """Add or replace rows. Of rows with one id the last (by ``order``) counts.
 
         ``mode="fail"`` stops at the first bad row and stores nothing;
         ``mode="split"`` stores the good rows and returns the bad ones with
-        their errors. ``applied`` names a (stream, batch): a batch already
-        committed is skipped.
+        their errors, having written them to the folder ``rejects`` if given.
+        Every row is judged before rows of one id are made one. ``applied``
+        names a (stream, batch): a batch already committed is skipped.
         """
         if mode not in ("fail", "split"):
             raise ValueError("mode is 'fail' or 'split'")
-        _, bad = self._upsert(items, mode, order, applied)
+        _, bad = self._upsert(items, mode, order, applied, rejects)
         self._tidy(auto_train)
         return bad
 
     def write_batch(self, items: DataFrame, auto_train: bool = True) -> str | None:
         """Upsert, and tell the folder that holds exactly the rows of this batch (None when empty)."""
-        folder, _ = self._upsert(items, "fail", None, None)
+        folder, _ = self._upsert(items, "fail", None, None, None)
         self._tidy(auto_train)
         return folder
 
-    def _upsert(self, items, mode, order, applied):
+    def _upsert(self, items, mode, order, applied, rejects):
         for _ in range(COMMIT_TRIES):
             state = self.state()
             if applied and state["applied"].get(applied[0], -1) >= applied[1]:
                 return None, None
             try:
-                return self._upsert_once(state, items, mode, order, applied)
+                return self._upsert_once(state, items, mode, order, applied, rejects)
             except VersionConflict:
                 continue
         raise VersionConflict(self.name)
@@ -318,21 +326,34 @@ class Collection:
     def upsert_arrays(self, frame: DataFrame, ids: str = "ids", vectors: str = "vectors", **options):
         return self.upsert(from_arrays(frame, ids, vectors), **options)
 
-    def _upsert_once(self, state, items, mode, order, applied):
-        rows = item_rows(items) if order is None else item_rows(items.withColumn("_order", order), ("_order",))
-        rows = merge.latest_per_id(rows, F.col("_order") if order is not None else None).drop("_order")
+    def _upsert_once(self, state, items, mode, order, applied, rejects):
+        """One try: the batch is written aside, judged, made one row per id, and committed."""
+        rows = item_rows(items.withColumn("_order", F.monotonically_increasing_id() if order is None else order), ("_order",))
         if self.embedder is not None:
             rows = spread_small(rows)
-            text = F.when(F.col("is_text"), F.col("contents").cast("string"))
+            text = F.when(F.col("vector").isNull() & F.col("is_text"), F.col("contents").cast("string"))
             rows = rows.withColumn("vector", F.coalesce(F.col("vector"), self.embedder(text)))
+        # source and embedder run once; what follows knows the size of its input
+        aside = f"{state['folder']}/aside/{uuid.uuid4().hex}"
+        try:
+            rows.write.parquet(aside)
+            return self._upsert_rows(state, self.spark.read.schema(rows.schema).parquet(aside), mode, applied, rejects)
+        finally:
+            self.catalog.remove(aside)
+
+    def _upsert_rows(self, state, rows, mode, applied, rejects):
         state = self._shaped(state, rows)
         rows = rows.withColumn("vector", F.col("vector").cast(f"array<{state['element']}>"))
-        bad = None
+        good, bad = validate.split_valid(rows, state["dimension"])
+        bad = bad.drop("_order")
         if mode == "split":
-            rows, bad = validate.split_valid(rows, state["dimension"])
-        else:
-            rows = validate.require_valid(rows, state["dimension"])
-        name = self._write_segment(self._coded(rows, state), state)
+            folder = rejects if rejects is not None else scratch_path(self.spark, "rejects")
+            bad.write.mode("overwrite").parquet(folder)
+            bad = self.spark.read.schema(bad.schema).parquet(folder)
+        elif (first := bad.select("id", "errors").first()) is not None:
+            raise ValueError(f"Invalid item (id: {first['id']}): {'; '.join(first['errors'])}")
+        last = merge.latest_per_id(good, F.col("_order")).drop("_order")
+        name = self._write_segment(self._coded(last, state), state)
         folder = f"{state['folder']}/items/seg={name}"
         n = self._count(folder, "id string")
         if n == 0:
@@ -381,10 +402,8 @@ class Collection:
         folder = f"{state['folder']}/items/seg={name}"
         try:
             rows.write.partitionBy("list_id").parquet(folder)
-        except Exception as error:
+        except Exception:
             self.catalog.remove(folder)
-            if "Invalid item" in str(error):
-                raise ValueError(str(error).split("\n")[0]) from error
             raise
         return name
 
@@ -392,20 +411,23 @@ class Collection:
         return self.spark.read.schema(schema).parquet(folder).count()
 
     def _note_removals(self, ids: DataFrame, n: int, state: dict) -> dict | None:
-        """A removal file for the given ids; only those that exist when there are many."""
+        """A removal file for those of the ``n`` given ids that exist; None when none does."""
         if not state["segments"]:
             return None
-        if n > BLIND_REMOVALS:
-            ids = self._stored(state).select("id").join(ids, "id", "left_semi")
+        given = F.broadcast(ids) if n <= merge.MAX_BROADCAST_IDS else ids
+        ids = self._stored(state).select("id").join(given, "id", "left_semi")
         name = uuid.uuid4().hex
         folder = f"{state['folder']}/removals/seg={name}"
         # the commit decides the sequence number, so the file leaves it open
         ids.withColumn("until", F.lit(None).cast("long")).write.parquet(folder)
-        n = self._count(folder, "id string") if n > BLIND_REMOVALS else n
+        n = self._count(folder, "id string")
+        if n == 0:
+            self.catalog.remove(folder)
+            return None
         return {"name": name, "n": n}
 
     def _commit_rows(self, state, name, n, removal, applied) -> None:
-        """Append a segment and a removal; a lost race is repeated unless lists changed meanwhile."""
+        """Append a segment and a removal; a lost race is repeated unless rows or lists changed meanwhile."""
         for _ in range(COMMIT_TRIES):
             seq = state["seq"] + 1
             new = dict(state, seq=seq)
@@ -420,10 +442,8 @@ class Collection:
                 return
             except VersionConflict:
                 latest = self.state()
-                same_lists = latest["centroids"] == state["centroids"]
-                # ids not noted as removed because the other job's rows were unseen
-                unseen = removal is None or removal["n"] > BLIND_REMOVALS or n > BLIND_REMOVALS
-                if not same_lists or unseen and latest["segments"] != state["segments"]:
+                # the other job's rows may hold ids that were not there to be noted as removed
+                if latest["centroids"] != state["centroids"] or latest["segments"] != state["segments"]:
                     raise
                 state = dict(latest, dimension=latest["dimension"] or state["dimension"],
                              element=latest["element"] or state["element"])
@@ -440,6 +460,8 @@ class Collection:
             if n == 0:
                 return
             removal = self._note_removals(frame.select("id"), n, state)
+            if removal is None:
+                return
             try:
                 self._commit_rows(state, None, n, removal, None)
                 break
@@ -452,6 +474,7 @@ class Collection:
     def _tidy(self, auto_train: bool) -> None:
         """After a write: train when the row count asks for it, else fold piled-up files.
 
+        Never a full rewrite; ``compact`` is for the caller to plan.
         A lost race is left to the next write.
         """
         state = self.state()
@@ -460,8 +483,6 @@ class Collection:
         try:
             if auto_train and train.needs_training(written, *rule) and self.needs_training():
                 self.train()
-            elif sum(r["n"] for r in state["removals"]) > MAX_REMOVALS:
-                self.compact()
             elif max(len(state["segments"]), len(state["removals"])) > MAX_SEGMENTS:
                 self.fold()
         except VersionConflict:
@@ -572,7 +593,8 @@ class Collection:
         lists.write.parquet(f"{state['folder']}/centroids/{generation}")
         books = None
         if state["index_type"] == "ivfpq":
-            books = pq.train_codebooks(rows, metric, n, state["dimension"], state["pq_dim"], state["pq_bits"], seed=seed)
+            books = pq.train_codebooks(rows, metric, n, state["dimension"], state["pq_dim"], state["pq_bits"],
+                                       max_iters, tolerance, seed)
             pq.codebook_frame(self.spark, books).write.parquet(f"{state['folder']}/codebooks/{generation}")
         changes = {
             "is_trained": True, "n_at_train": n, "n_lists": len(centroids), "centroids": generation,
@@ -628,14 +650,14 @@ class Collection:
         rows = self._filtered(stored, state, filters)
         scan, held = None, None
         if state["is_trained"]:
-            frame, scan, held = self._plan_probes(state, frame, top_k, n_probes, greedy)
+            frame, scan, held = self._plan_probes(state, frame, rows, top_k, n_probes, greedy)
         include = [c for c in ("distance", "metadata", "vector", "contents") if c in include]
         include += ["is_text"] if "contents" in include else []
         payload = tuple(c for c in include if c != "distance")
         hits = search.search(frame, rows, top_k, state["metric"], payload, scan, held, stored)
         return self._open(search.only_included(hits, include), state)
 
-    def _plan_probes(self, state, frame, top_k, n_probes, greedy):
+    def _plan_probes(self, state, frame, rows, top_k, n_probes, greedy):
         n_lists, metric = state["n_lists"], state["metric"]
         probes = n_probes if n_probes is not None else state["n_probes"]
         if probes < 1:
@@ -645,7 +667,7 @@ class Collection:
             rerank = None if greedy else pq.DEFAULT_RERANK
             scan, held = pq.scan_codes(self._codebooks(state), rerank), top_k * (rerank or 1)
         if greedy and n_probes is None:
-            sizes = train.size_array(self._stored(state), n_lists)
+            sizes = train.size_array(rows, n_lists)      # of the rows that may be hits
             frame = search.probe_lists(frame, self._centroids(state), metric, sizes=sizes, k=top_k)
         elif probes < n_lists:
             frame = search.probe_lists(frame, self._centroids(state), metric, probes)

@@ -13,6 +13,7 @@ from ..functions.distance import COSINE, similarity_score
 from ..operators import mmr
 from ..sources.items import to_variant
 from .collection import Collection, VectorStore
+from .workspace import scratch_path
 
 DEFAULT_K = 4
 FETCH_FACTOR = 2
@@ -107,13 +108,15 @@ class TextStore:
                                       weight: float = mmr.DEFAULT_LAMBDA, filters: dict | None = None) -> DataFrame:
         """``(query_id, mmr_rank, id, page_content, metadata, score)``; stored vectors tell the similarity."""
         fetch = fetch_k if fetch_k is not None else FETCH_FACTOR * k
-        hits = self.collection.query(contents=queries, top_k=max(fetch, 1), filters=filters,
-                                     include=("distance", "vector", "contents", "metadata"))
-        scored = self._scored(hits, ("vector",))
-        light = mmr.mmr_select(scored.select("query_id", "rank", "id", "score", "vector"), k, weight)
-        picked = light.select("query_id", "mmr_rank", "id")
-        return picked.join(scored, ["query_id", "id"]).select(
-            "query_id", "mmr_rank", "id", "page_content", "metadata", "score")
+        hits = self.collection.query(contents=queries, top_k=max(fetch, 1), filters=filters, include=("distance", "vector"))
+        score = similarity_score(self.collection.state()["metric"], F.col("distance"))
+        picked = mmr.mmr_select(hits.select("query_id", "rank", "id", score.alias("score"), "vector"), k, weight)
+        # the picks are written, so that the search runs once; their payload is fetched for them alone
+        spark, path = hits.sparkSession, scratch_path(hits.sparkSession, "mmr")
+        picked = picked.select("query_id", "mmr_rank", "id", "score")
+        picked.write.parquet(path)
+        payload = self.collection.payload(spark.read.schema(picked.schema).parquet(path), ("contents", "metadata"))
+        return payload.select("query_id", "mmr_rank", "id", _text(), "metadata", "score")
 
 
 def _text():

@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.collection import Collection
 
 
-def upsert_stream(stream: DataFrame, collection: Collection, checkpoint: str, name: str = "upsert",
-                  available_now: bool = False, order=None, mode: str = "fail") -> StreamingQuery:
+def query_id(stream_session, checkpoint: str) -> str:
+    """The id that Spark gave the query of a checkpoint; it stays over restarts."""
+    record = stream_session.read.text(f"{checkpoint}/metadata").first()
+    return json.loads(record["value"])["id"]
+
+
+def upsert_stream(stream: DataFrame, collection: Collection, checkpoint: str,
+                  available_now: bool = False, order=None, mode: str = "fail", rejects: str | None = None) -> StreamingQuery:
     """Upsert every micro-batch.
 
-    The collection remembers the last batch of each stream name, so a batch
-    that is repeated after a failure is stored once.
+    The collection remembers the last batch of each query, known by the id in
+    its checkpoint, so a batch that is repeated after a failure is stored once
+    and streams never take each other's batches for their own. With
+    ``mode="split"`` bad rows go to ``rejects/query=.../batch=...``.
     """
+    if mode == "split" and rejects is None:
+        raise ValueError("mode 'split' needs a folder for rejects")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        collection.upsert(batch, mode=mode, order=order, applied=(name, batch_id))
+        name = query_id(batch.sparkSession, checkpoint)
+        folder = f"{rejects}/query={name}/batch={batch_id}" if rejects is not None else None
+        collection.upsert(batch, mode=mode, order=order, applied=(name, batch_id), rejects=folder)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
