@@ -52,7 +52,7 @@ def test_probes_beyond_one_block(queries, items, monkeypatch):
     probed = search.probe_lists(queries, centroids, "euclidean", 2)
     whole = rows(search.search(probed, items, 5), "query_id", "rank")
     monkeypatch.setattr(search, "MAX_POSTINGS", 9)
-    monkeypatch.setattr(search, "MAX_PRUNED_LISTS", 1)
+    monkeypatch.setattr(search, "NAMED_LISTS", 1)
     assert rows(search.search(probed, items, 5), "query_id", "rank") == whole
 
 
@@ -195,7 +195,7 @@ def test_retrain_rule():
     assert not train.needs_training(99, None, 2.0, 100) and train.needs_training(100, None, 2.0, 100)
     assert not train.needs_training(199, 100, 2.0, 1) and train.needs_training(200, 100, 2.0, 1)
     assert train.auto_list_count(0) == 1 and train.auto_list_count(10_000) == 100
-    assert train.auto_list_count(10 ** 12) == train.MAX_AUTO_LISTS
+    assert train.auto_list_count(10 ** 12) == 10 ** 6 and train.auto_list_count(10 ** 12, 1024) == train.MAX_CENTROID_BYTES // 8192
 
 
 def test_cosine_training_leaves_zero_vectors_out(spark):

@@ -15,10 +15,9 @@ from .train import DEFAULT_TOLERANCE, training_rows
 
 DEFAULT_PQ_DIM = 32
 DEFAULT_PQ_BITS = 8
-ROWS_PER_CODE = 256
+START_FACTOR = 4                # rows looked at per code for different ones to start from
 LLOYD_ROUNDS = 25
 DEFAULT_RERANK = 4      # exact distances for this many times k candidates
-LIKELY_TASKS = 32
 
 
 def check_pq(dimension: int | None, pq_dim: int, pq_bits: int) -> None:
@@ -42,17 +41,22 @@ def train_codebooks(
     rounds: int = LLOYD_ROUNDS,
     tolerance: float = DEFAULT_TOLERANCE,
     seed: int = 17,
+    sample_rows: int | None = None,
 ) -> np.ndarray:
-    """Codebooks of shape (pq_dim, codes, dimension / pq_dim).
+    """Codebooks of shape (pq_dim, codes, dimension / pq_dim), fitted on all rows or on ``sample_rows`` of them.
 
-    All sub-spaces are fitted together, one job per Lloyd round.
+    All sub-spaces are fitted together, one job per Lloyd round, from the first
+    different rows by hash.
     """
     check_pq(dimension, pq_dim, pq_bits)
     codes, width = 1 << pq_bits, dimension // pq_dim
-    rows = training_rows(items, metric, n, ROWS_PER_CODE * codes, seed).coalesce(LIKELY_TASKS).persist()
+    rows = training_rows(items, metric, n, sample_rows, seed)
+    if sample_rows is not None:
+        rows = rows.persist()      # bounded; whole tables are read again in every round
     try:
-        start = rows.orderBy(F.xxhash64("id", F.lit(seed))).limit(codes).select("vector").toArrow()
+        start = rows.orderBy(F.xxhash64("id", F.lit(seed))).limit(START_FACTOR * codes).select("vector").toArrow()
         x = _prepared(matrix(start.column(0), dimension), metric)
+        x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])[:codes]]
         books = x.reshape(len(x), pq_dim, width).transpose(1, 0, 2).copy()
         for _ in range(rounds):
             moved = _lloyd_round(rows, books, metric)

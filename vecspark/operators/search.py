@@ -32,7 +32,7 @@ MAX_HITS = 1 << 20             # queries x k held per task and broadcast for pay
 MAX_POSTINGS = 1 << 22         # queries x probes per block
 MAX_TASK_HITS = 1 << 30        # hits all tasks of a scan may send to the merge
 MAX_MERGED_HITS = 1 << 22      # hits of one query that the merge sorts in one task
-MAX_PRUNED_LISTS = 10_000      # list ids named in a partition filter
+NAMED_LISTS = 10_000           # list ids named in a partition filter; more are joined, which prunes as well
 EMIT_ROWS = 10_000
 
 
@@ -107,13 +107,19 @@ def _search_blocks(queries: DataFrame, most: int, run) -> DataFrame:
 def _search_block(table, queries, items, stored, k, metric, payload, scan) -> DataFrame:
     if "probes" in queries.columns:
         lists = sorted({p for row in table.column("probes").to_pylist() for p in row})
-        if len(lists) <= MAX_PRUNED_LISTS:
-            probed = (F.col("list_id") < 0) | F.col("list_id").isin(lists)
-            items, stored = items.where(probed), stored.where(probed)
+        items, stored = (only_lists(rows, lists) for rows in (items, stored))
     hits = rank_hits(scan(table, queries, items, stored, k, metric), k)
     return _with_payload(hits, stored, payload)
 
 
+def only_lists(rows: DataFrame, lists: list[int]) -> DataFrame:
+    """Rows of the given lists and those in no list; files of other lists are not read."""
+    if len(lists) <= NAMED_LISTS:
+        return rows.where((F.col("list_id") < 0) | F.col("list_id").isin(lists))
+    named = rows.sparkSession.createDataFrame([(x,) for x in {-1, *lists}], "list_id int")      # MAX_POSTINGS at most
+    return rows.join(F.broadcast(named), "list_id", "left_semi").select(rows.columns)
+
+
 def _no_hits(queries: DataFrame, items: DataFrame) -> DataFrame:
     empty = queries.where(F.lit(False)).select(
         "query_id", F.lit(1).alias("rank"), F.lit("").cast(items.schema["id"].dataType).alias("id"),

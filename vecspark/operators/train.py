@@ -17,16 +17,15 @@ from .search import probe_lists, search
 DEFAULT_BATCH_SIZE = 2048      # recorded; full-batch training has no use for it
 DEFAULT_MAX_ITERS = 100
 DEFAULT_TOLERANCE = 1e-6
-MAX_AUTO_LISTS = 1 << 14       # more lists than this only on request
-ROWS_PER_LIST = 256            # training rows per list; assignment always covers every row
-MAX_CENTROID_BYTES = 256 << 20
+MAX_CENTROID_BYTES = 256 << 20  # of the centroids that tasks hold
 UNASSIGNED = -1                # in no list; every search looks at these rows
 CALIBRATION_QUERIES = 200
 TARGET_RECALL = 0.92           # of the calibration sample; the contract is 0.88
 
 
-def auto_list_count(n: int) -> int:
-    return max(1, min(round(n ** 0.5), MAX_AUTO_LISTS))
+def auto_list_count(n: int, dimension: int = 1) -> int:
+    """The square root of the rows, as far as the centroids can be broadcast."""
+    return max(1, min(round(n ** 0.5), MAX_CENTROID_BYTES // (8 * dimension)))
 
 
 def needs_training(n: int, n_at_last_train: int | None, multiplier: float, min_train_rows: int) -> bool:
@@ -36,12 +35,12 @@ def needs_training(n: int, n_at_last_train: int | None, multiplier: float, min_t
     return n >= multiplier * n_at_last_train
 
 
-def training_rows(items: DataFrame, metric: str, n: int, most: int, seed: int) -> DataFrame:
-    """Rows to fit on: vectors present, no zero vectors for cosine, a sample beyond ``most``."""
+def training_rows(items: DataFrame, metric: str, n: int, most: int | None, seed: int) -> DataFrame:
+    """Rows to fit on: vectors present, no zero vectors for cosine; all of them, or a sample of about ``most``."""
     rows = items.where(F.col("vector").isNotNull()).select("id", to_double(F.col("vector")).alias("vector"))
     if metric == COSINE:
         rows = rows.where(norm(F.col("vector")) > 0)
-    return rows.sample(fraction=most / n, seed=seed) if n > most else rows
+    return rows.sample(fraction=most / n, seed=seed) if most is not None and n > most else rows
 
 
 def train_lists(
@@ -53,13 +52,19 @@ def train_lists(
     tolerance: float = DEFAULT_TOLERANCE,
     max_memory: int = 0,
     seed: int = 17,
+    sample_rows: int | None = None,
+    dimension: int = 1,
 ) -> np.ndarray:
-    """Centroids of the inverted lists, one row per list."""
-    n_lists = n_lists or auto_list_count(n)
-    rows = training_rows(items, metric, n, ROWS_PER_LIST * n_lists, seed)
+    """Centroids of the inverted lists, one row per list, fitted on all rows or on ``sample_rows`` of them.
+
+    Lloyd rounds start from rows at random: seeding by distance would cluster
+    its candidates on the driver.
+    """
+    n_lists = n_lists or auto_list_count(n, dimension)
+    rows = training_rows(items, metric, n, sample_rows, seed)
     points = rows.select(array_to_vector("vector").alias("features"))
     kmeans = KMeans(
-        k=max(n_lists, 2), maxIter=max_iters, tol=tolerance, seed=seed, maxBlockSizeInMB=float(max_memory),
+        k=max(n_lists, 2), initMode="random", maxIter=max_iters, tol=tolerance, seed=seed, maxBlockSizeInMB=float(max_memory),
         distanceMeasure="cosine" if metric == COSINE else "euclidean")
     if n_lists == 1:
         mean = centroid_means(rows.withColumn("list_id", F.lit(0))).first()

@@ -578,15 +578,18 @@ class Collection:
 
     def train(self, n_lists: int | None = None, batch_size: int = train.DEFAULT_BATCH_SIZE,
               max_iters: int = train.DEFAULT_MAX_ITERS, tolerance: float = train.DEFAULT_TOLERANCE,
-              max_memory: int = 0, seed: int = 17) -> None:
-        """Fit the lists (and codebooks), move every row to its list, calibrate the probe count."""
+              max_memory: int = 0, seed: int = 17, sample_rows: int | None = None) -> None:
+        """Fit the lists (and codebooks), move every row to its list, calibrate the probe count.
+
+        ``sample_rows`` bounds the rows that are fitted on; all of them by default.
+        """
         state = self.state()
         rows = self._stored(state)
         n = rows.count()
         if n == 0:
             raise ValueError("cannot train an empty collection")
         metric = state["metric"]
-        centroids = train.train_lists(rows, metric, n, n_lists, max_iters, tolerance, max_memory, seed)
+        centroids = train.train_lists(rows, metric, n, n_lists, max_iters, tolerance, max_memory, seed, sample_rows, state["dimension"])
         generation = uuid.uuid4().hex
         lists = self.spark.createDataFrame(
             [(i, row.tolist()) for i, row in enumerate(centroids)], "list_id int, centroid array<double>")
@@ -594,7 +597,7 @@ class Collection:
         books = None
         if state["index_type"] == "ivfpq":
             books = pq.train_codebooks(rows, metric, n, state["dimension"], state["pq_dim"], state["pq_bits"],
-                                       max_iters, tolerance, seed)
+                                       max_iters, tolerance, seed, sample_rows)
             pq.codebook_frame(self.spark, books).write.parquet(f"{state['folder']}/codebooks/{generation}")
         changes = {
             "is_trained": True, "n_at_train": n, "n_lists": len(centroids), "centroids": generation,
