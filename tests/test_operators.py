@@ -162,6 +162,16 @@ def test_recall_rules(spark):
     assert mapped.first()[0] == ["z", "x"]
 
 
+def test_recall_of_unequal_shapes(spark):
+    truth = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (2, "c")], "query_id long, id string")
+    hits = spark.createDataFrame([(1, "a"), (1, "x"), (2, "c")], "query_id long, id string")
+    assert {r.query_id: r.recall for r in evaluate.recall_per_query(hits, truth).collect()} == {1: 0.5, 2: 0.5}
+    with pytest.raises(Exception, match="shapes"):
+        evaluate.mean_recall(hits, truth, strict=True).collect()
+    full = hits.union(spark.createDataFrame([(2, "z")], hits.schema))
+    assert evaluate.mean_recall(full, truth, strict=True).first()["recall"] == 0.5
+
+
 def test_mmr_against_the_plain_loop(spark):
     rng = np.random.default_rng(8)
     frame, expected = [], {}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.filters import compile_filter
 
 MAX_HITS_PER_QUERY = 100
+SHAPES_DIFFER = "the shapes of the neighbors and results do not match"
 
 
 def hit_ids(hits: DataFrame) -> DataFrame:
@@ -21,24 +22,30 @@ def recall(found: Column, truth: Column) -> Column:
     share = F.size(F.array_intersect(truth, found)) / F.size(truth)
     return F.when(
         F.size(found) != F.size(truth),
-        F.raise_error(F.lit("the shapes of the neighbors and results do not match")).cast("double"),
+        F.raise_error(F.lit(SHAPES_DIFFER)).cast("double"),
     ).otherwise(share)
 
 
-def recall_per_query(hits: DataFrame, truth: DataFrame) -> DataFrame:
-    """``(query_id, recall)`` from hits ``(query_id, id)`` and truth of the same shape.
+def recall_per_query(hits: DataFrame, truth: DataFrame, strict: bool = False) -> DataFrame:
+    """``(query_id, recall)`` from hits and truth ``(query_id, id)``.
 
     Equi-join on (query, id) with counts, so that no per-query list is built.
+    ``strict`` raises unless every query has as many hits as truths.
     """
-    expected = truth.groupBy("query_id").agg(F.count("*").alias("n_truth"))
-    common = (truth.select("query_id", "id").join(hits.select("query_id", "id"), ["query_id", "id"])
-              .groupBy("query_id").agg(F.count("*").alias("n_common")))
-    both = expected.join(common, "query_id", "left")
-    return both.select("query_id", (F.coalesce("n_common", F.lit(0)) / F.col("n_truth")).alias("recall"))
-
-
-def mean_recall(hits: DataFrame, truth: DataFrame) -> DataFrame:
-    return recall_per_query(hits, truth).agg(F.avg("recall").alias("recall"))
+    sides = truth.select("query_id", "id", F.lit(1).alias("t"), F.lit(0).alias("h")).union(
+        hits.select("query_id", "id", F.lit(0), F.lit(1)))
+    pairs = sides.groupBy("query_id", "id").agg(F.sum("t").alias("t"), F.sum("h").alias("h"))
+    counts = pairs.groupBy("query_id").agg(
+        F.sum("t").alias("n_truth"), F.sum("h").alias("n_hits"), F.sum(F.least("t", "h")).alias("n_common"))
+    share = F.when(F.col("n_truth") > 0, F.col("n_common") / F.col("n_truth"))
+    if strict:
+        share = F.when(F.col("n_truth") != F.col("n_hits"), F.raise_error(F.lit(SHAPES_DIFFER)).cast("double")).otherwise(share)
+    rows = counts if strict else counts.where("n_truth > 0")
+    return rows.select("query_id", share.alias("recall"))
+
+
+def mean_recall(hits: DataFrame, truth: DataFrame, strict: bool = False) -> DataFrame:
+    return recall_per_query(hits, truth, strict).agg(F.avg("recall").alias("recall"))
 
 
 def truth_from_positions(positions: Column, candidates: Column) -> Column:

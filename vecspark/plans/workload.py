@@ -332,7 +332,7 @@ def recall_at_k(spark, sf):
 
 def mean_recall(spark, sf):
     exact = search.search(embedding_queries(spark, sf), embedding_items(spark, sf), K, distance.EUCLIDEAN)
-    return _rounded(evaluate.mean_recall(_ivf_hits(spark, sf, 3), exact), "recall")
+    return _rounded(evaluate.mean_recall(_ivf_hits(spark, sf, 3), exact, strict=True), "recall")
 
 
 def recall_filtered(spark, sf):
