@@ -31,8 +31,9 @@ def components(links: DataFrame) -> DataFrame:
             break
         state = mark
         around = edges.union(edges.select("v", "u")).groupBy("u").agg(F.min("v").alias("low"))
-        lowest = around.select(F.col("u").alias("v"), F.least("u", "low").alias("low"))
-        larger = edges.join(lowest, "v").select("u", F.col("low").alias("v")).distinct()
+        # written first: a side that an aggregation has dealt out keeps the join from splitting a hot node
+        lowest = kept_table(around.select(F.col("u").alias("v"), F.least("u", "low").alias("low")), "lowest")
+        larger = kept_table(edges.join(lowest, "v").select("u", F.col("low").alias("v")).distinct(), "larger")
         below = larger.groupBy("u").agg(F.min("v").alias("low"))
         smaller = larger.join(below, "u")
         moved = smaller.select("u", F.col("low").alias("v")).union(
