@@ -57,6 +57,25 @@ FROM c
 """
 
 
+NEAR_DEDUP = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 3 THEN list_transform(range(1, len(words) - 1), lambda i: words[i:i+2])
+                                      WHEN len(words) > 0 THEN [words] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared_n FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared_n >= 85 * (x.n + y.n - shared_n)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+c AS (SELECT a AS doc_id, least(a, min(b)) AS component_id FROM r GROUP BY a)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id,
+       w.doc_id = coalesce(component_id, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id
+"""
+
+
 MIXING = """
 WITH RECURSIVE d AS (
   SELECT doc_id, source, text, coalesce('=' || source, 'null') AS task, CAST(coalesce(length(text), 0) AS BIGINT) AS size,
@@ -92,4 +111,4 @@ FROM b, l JOIN t ON true WHERE t.task = b.task AND t.turn = b.block % t.share
 
 
 def statements() -> dict[str, str]:
-    return {"op2_mixing": MIXING, "op5_topk": TOP_K, "op8_quality": QUALITY}
+    return {"op1_near_dedup": NEAR_DEDUP, "op2_mixing": MIXING, "op5_topk": TOP_K, "op8_quality": QUALITY}
