@@ -42,14 +42,23 @@ class Remembered:
     def __init__(self, most: int = REMEMBERED):
         self.most, self.young, self.old = most, {}, {}
 
-    def get_all(self, keys: list) -> list:
+    def get_all(self, keys: list) -> tuple[list, list[int]]:
+        """The value of every key, and the places of those that are not known."""
         found = list(map(self.young.get, keys))
-        if None in found and self.old:
-            for i, value in enumerate(found):
-                if value is None and (value := self.old.get(keys[i])) is not None:
+        if None not in found:
+            return found, []
+        missing = [i for i, v in enumerate(found) if v is None]
+        if self.old:
+            unknown = []
+            for i in missing:
+                value = self.old.get(keys[i])
+                if value is None:
+                    unknown.append(i)
+                else:
                     found[i] = value
                     self.put(keys[i], value)
-        return found
+            missing = unknown
+        return found, missing
 
     def put(self, key: str, value) -> None:
         if len(key) > LONGEST:
@@ -104,17 +113,18 @@ class UnitEncoder:
         return self.joined(self.values(self.pattern.findall(cased)))
 
     def values(self, pieces: list[str]) -> list:
-        if not self.frequent:
-            found = self.pieces.get_all(pieces)
-            missing = [i for i, v in enumerate(found) if v is None] if None in found else ()
-        else:
+        if self.frequent:
             found = list(map(self.frequent.get, pieces))
-            rest = [i for i, v in enumerate(found) if v is None] if None in found else ()
-            missing = []
-            for i, value in zip(rest, self.pieces.get_all([pieces[i] for i in rest])):
+            if None not in found:
+                return found
+            rest = [i for i, v in enumerate(found) if v is None]
+            for i, value in zip(rest, self.remembered([pieces[i] for i in rest])):
                 found[i] = value
-                if value is None:
-                    missing.append(i)
+            return found
+        return self.remembered(pieces)
+
+    def remembered(self, pieces: list[str]) -> list:
+        found, missing = self.pieces.get_all(pieces)
         for i in missing:
             piece = pieces[i]
             named = piece.encode().decode("latin-1").translate(BYTE_NAMES)
