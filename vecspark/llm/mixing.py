@@ -33,7 +33,7 @@ from .components import kept_table
 BLOCK_CHARS = 1 << 16
 FRAME = 1000
 MAX_SOURCES = 256
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_096
 
 _PLACE = 1 << 20      # sources per deadline in a sort key
 
