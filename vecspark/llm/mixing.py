@@ -89,18 +89,19 @@ def frame_slots(parts: DataFrame) -> DataFrame:
 
 
 def schedule(docs: DataFrame, weights: DataFrame | None = None, block_chars: int = BLOCK_CHARS, frame: int = FRAME,
-             most: int = MAX_SOURCES, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+             most: int = MAX_SOURCES, bucket_rows: int = BUCKET_ROWS, size: Column | None = None) -> DataFrame:
     """``row`` (struct of all columns of ``docs``) with its place in the mix.
 
     ``block``: number in the source from 0; ``release``, ``deadline`` and
     ``slot``; ``start``: characters of the source before the document. The mix
-    is the order of ``slot, start``.
+    is the order of ``slot, start``. ``size`` stands for the length of ``text``,
+    so that rows without their text can be scheduled.
     """
     buckets = max(1, -(-docs.count() // bucket_rows))
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _group(F.col("source")).alias("source_key"),
-        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("size"), key.alias("key"),
+        F.coalesce(F.length("text") if size is None else size, F.lit(0)).cast("long").alias("size"), key.alias("key"),
         F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * buckets / (1 << 32)).alias("bucket"))
     sizes = kept_table(rows.groupBy(F.col("source_key").alias("task")).agg(F.sum("size").alias("size")), "mix-sizes")
     slots = kept_table(frame_slots(shares(sizes, frame, weights, most)), "mix-frame")

@@ -30,7 +30,8 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = mixing.schedule(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("length"))
+    placed = mixing.schedule(docs, size=F.col("length"))
     return placed.select("row.doc_id", "row.source", "block", "release", "deadline", "slot", "start")
 
 
