@@ -120,3 +120,36 @@ def test_redaction(spark, odd_docs, no_docs):
     assert (15, "mail [EMAIL] now") in odd and (0, None) in odd and (1, "") in odd
     assert pii.redact(odd_docs).select("row.*").columns == [c for c in odd_docs.columns if c != "text"]
     assert pii.find(no_docs).count() == pii.redact(no_docs).count() == 0
+
+
+def test_contexts_open_further_contexts(spark):
+    people = [f"Person {i} says hello, reach me via badge: user{i}@mail{i}.example.com today." for i in range(40)]
+    taught = [f"Another one says hello, reach me via badge: zx8{i}-kq7{i} today." for i in range(8)]
+    again = [f"Files name employee-no. zx8{i}-kq7{i} in the list" for i in range(8)]
+    hidden = ["Files name employee-no. ab12-cd34 in the list"]
+    plain = ["Files name employee-no. unknown in the list"]
+    found = {}
+    for extra in (0, 40):       # plain words of other documents in the same context take its trust away
+        docs = spark.createDataFrame(list(enumerate(people + taught + again + hidden + plain * extra)), "doc_id long, text string")
+        text = {r.doc_id: r.text for r in docs.collect()}
+        found[extra] = {text[r.doc_id][int(s.split(":")[1]):int(s.split(":")[2])] for r in pii.find(docs).collect()
+                        for s in r.spans.split(",") if s.startswith("context") and "employee" in text[r.doc_id]}
+    assert "ab12-cd34" in found[0] and found[40] == set()
+
+
+def context_texts(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {texts[r.doc_id][int(s.split(":")[1]):int(s.split(":")[2])] for r in pii.find(docs).collect()
+            for s in r.spans.split(",") if s.startswith("context")}
+
+
+def test_mentions_are_whole_spans_of_any_length(spark):
+    phones = [f"Person says hello, dial +1 (0{i}) 555-77{i} today please." for i in range(10, 30)]
+    cards = [f"Pay with number: {c[:4]} {c[4:8]} {c[8:12]} {c[12:]} right now." for c in
+             (n for n in map(str, range(4111111111110000, 4111111111110400)) if pii.luhn(n))]
+    token = "k1" * 100
+    hidden = ["Person says hello, dial 0171 22 today please.", "Person says hello, dial 7 today please.", "Pay with number: 12 34 right now.",
+              f"Pay with number: {token} right now."]
+    assert context_texts(spark, phones + cards + hidden) == {"0171 22", "7", "12 34", token}
+    keyed = [f"call api_key=user{i}@mail.example.com end" for i in range(20)]
+    assert context_texts(spark, [*keyed, f"call api_key={token} end"]) == {token}

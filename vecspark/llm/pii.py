@@ -4,15 +4,19 @@ Base kinds are e-mail addresses, IPv4 addresses, payment cards and phone
 numbers, each found leftmost and without overlap by its pattern; matches that
 fail the kind's condition are dropped.
 
-Around them, contexts are learned. Every token with a digit or an ``@`` is a
-mention: a seed if a base span covers part of it, else a candidate. A mention
-has lexical patterns: the word before it, the two words before it, the words on
-both sides, and the key of ``key=value``. Distinct (pattern, instance) pairs
-make a graph that Spark scores in rounds: a pattern is as reliable as the mean
-of its instances, with one doubtful instance added and with every plain word
-that stands in the same context; an instance as its patterns together; seeds stay at 1. Patterns with enough distinct seeds and
-high confidence are trusted, and what they point at becomes a span of kind
-``context``. Passages that repeat count once, since instances are distinct.
+Around them, contexts are learned. A mention is a base span, which makes it a
+seed, or a candidate: neighbouring tokens with a digit or an ``@``, of any
+length, that no punctuation, line end or key parts. A mention has lexical
+patterns: the word before it, the two words before it, the words on both sides,
+and the key of ``key=value``. Distinct (pattern, instance) pairs make a graph
+that Spark scores in rounds: a pattern is as reliable as the mean of its
+instances, with one doubtful instance added and with every plain word that
+stands in the same context anywhere in the table; an instance as its patterns
+together; seeds stay at 1. Patterns with enough distinct seeds and high
+confidence are trusted. What they point at counts as a seed in the next rounds,
+so that it opens further contexts, until no pattern is new. What trusted
+patterns point at becomes a span of kind ``context``. Instances of passages that
+repeat count once, plain words each time.
 
 Positions are code points, ends exclusive. Null and empty texts have no spans.
 Rows with one id are treated one by one. Other columns are carried along by
@@ -21,9 +25,12 @@ Rows with one id are treated one by one. Other columns are carried along by
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,11 +50,13 @@ CONTEXT = "context"
 ROUNDS = 3
 MIN_SEEDS = 3              # distinct seed instances of a trusted pattern
 MIN_CONFIDENCE = 0.75
-MIN_TOKEN, MAX_TOKEN = 5, 64
+WHOLE_CHARS = 64           # of a word or an instance in the graph; a longer one stands there by its hash
+FILTER_BITS = 24           # of the table of contexts whose plain words are counted
 
 _DIGITS = re.compile("[^0-9]+")
 _MARK = re.compile("[0-9@]")
 _TOKEN = re.compile(r"\S+")
+_ENDS = ",;:!?."
 _EDGES = "\"'`.,;:!?()[]{}<>"
 
 
@@ -77,50 +86,77 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def mentions(text: str, spans: list) -> list[dict]:
-    """Tokens with a digit or an ``@``, each with its patterns.
+def _short(word: str) -> str:
+    """``word`` itself, or a stand-in of bounded size for a long one."""
+    return word if len(word) <= WHOLE_CHARS else f"{word[:32]}#{hashlib.md5(word.encode('utf-8', 'surrogatepass')).hexdigest()}"
+
+
+def _runs(text: str, tokens: list, spans: list) -> list[tuple[int, int, int, int, bool]]:
+    """``(first, last, start, end, seed)``: token runs that are mentions, with their characters.
 
-    With every pattern comes ``plain``: how often its context occurs in the text
-    around a word that is no mention. That keeps common words from being clues.
+    Base spans come first, those that share a token as one; then runs of
+    neighbouring tokens with a mark that no punctuation, line end or key parts.
     """
+    runs, at = [], 0
+    for start, _, end in spans:
+        while tokens[at][1] <= start:
+            at += 1
+        last = at
+        while last + 1 < len(tokens) and tokens[last + 1][0] < end:
+            last += 1
+        if runs and at <= runs[-1][1]:
+            first, before, left, right, _ = runs[-1]
+            runs[-1] = (first, max(before, last), left, max(right, end), True)
+        else:
+            runs.append((at, last, start, end, True))
+    taken = {i for first, last, *_ in runs for i in range(first, last + 1)}
+    own = None
+    for i, (start, end) in enumerate(tokens):
+        if i in taken or _MARK.search(text, start, end) is None:
+            own = None
+            continue
+        parted = own is None or text[tokens[i - 1][1] - 1] in _ENDS or "=" in text[start:end] or "\n" in text[tokens[i - 1][1]:start]
+        if parted:
+            own = len(runs)
+            runs.append((i, i, start, end, False))
+        else:
+            runs[own] = (runs[own][0], i, runs[own][2], end, False)
+    return sorted(runs)
+
+
+def mentions(text: str, spans: list) -> list[dict]:
+    """Base spans, and runs of tokens with a digit or an ``@``, each with its patterns."""
     if _MARK.search(text) is None:
         return []
-    tokens = [(m.start(), m.group()) for m in _TOKEN.finditer(text)]
-    words = [t.lower()[:MAX_TOKEN] for _, t in tokens]
-    marked = [i for i, (_, t) in enumerate(tokens) if _MARK.search(t)]
-    others = [w if _MARK.search(w) is None else None for w in words]
-    plain = Counter()
-    wanted = {words[i - 1] for i in marked if i}
-    for i in range(1, len(words)):
-        if words[i - 1] in wanted and others[i] is not None:
-            plain[words[i - 1],] += 1
-            plain["", words[i - 1], words[i + 1] if i + 1 < len(words) else ""] += 1
-            if i > 1:
-                plain[words[i - 2], words[i - 1]] += 1
+    tokens = [m.span() for m in _TOKEN.finditer(text)]
+
+    def word(i: int) -> str:
+        return _short(text[slice(*tokens[i])].lower()) if 0 <= i < len(tokens) else ""
+
     found = []
-    for i in marked:
-        start, end = tokens[i][0], tokens[i][0] + len(tokens[i][1])
-        while start < end and text[start] in _EDGES:
-            start += 1
-        while end > start and text[end - 1] in _EDGES:
-            end -= 1
-        key = text.find("=", start, end)
-        if key > start:
-            patterns = [{"pattern": "key " + text[start:key].lower(), "plain": 0}]
-            start = key + 1
-            while start < end and text[start] in _EDGES:
-                start += 1
-        elif i:
-            last, after = words[i - 1], words[i + 1] if i + 1 < len(words) else ""
-            patterns = [{"pattern": "after " + last, "plain": plain[last,]},
-                        {"pattern": f"between {last} {after}", "plain": plain["", last, after]}]
-            if i > 1:
-                patterns.append({"pattern": f"after {words[i - 2]} {last}", "plain": plain[words[i - 2], last]})
+    for first, last, start, end, seed in _runs(text, tokens, spans):
+        left = tokens[first][0]
+        while left < end and text[left] in _EDGES:
+            left += 1
+        if not seed:
+            start = left
+            while end > start and text[end - 1] in _EDGES:
+                end -= 1
+        key = text.find("=", left, start if seed else end)
+        if key > left:
+            patterns = ["key " + _short(text[left:key].lower())]
+            if not seed:
+                start = key + 1
+                while start < end and text[start] in _EDGES:
+                    start += 1
+        elif first:
+            patterns = [f"after {word(first - 1)}", f"between {word(first - 1)} {word(last + 1)}"]
+            if first > 1:
+                patterns.append(f"after {word(first - 2)} {word(first - 1)}")
         else:
             patterns = []
-        if MIN_TOKEN <= end - start <= MAX_TOKEN:
-            seed = any(s < end and start < e for s, _, e in spans)
-            found.append({"start": start, "end": end, "instance": text[start:end].lower(), "seed": seed, "patterns": patterns})
+        if end > start:
+            found.append({"start": start, "end": end, "instance": _short(text[start:end].lower()), "seed": seed, "patterns": patterns})
     return found
 
 
@@ -129,15 +165,14 @@ def scan(docs: DataFrame, with_rows: bool = False) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     source = docs.select(F.monotonically_increasing_id().alias("node"), "doc_id", "text", *([row.alias("row")] if with_rows else []))
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.LongType())])
-    pattern = T.StructType([T.StructField("pattern", T.StringType()), T.StructField("plain", T.LongType())])
     mention = T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("instance", T.StringType()),
-        T.StructField("seed", T.BooleanType()), T.StructField("patterns", T.ArrayType(pattern))])
+        T.StructField("seed", T.BooleanType()), T.StructField("patterns", T.ArrayType(T.StringType()))])
     kept = [f for f in source.schema.fields if with_rows or f.name != "text"]
     schema = T.StructType([*kept, T.StructField("spans", T.ArrayType(span)), T.StructField("mentions", T.ArrayType(mention))])
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
     mentions_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("instance", pa.string()), ("seed", pa.bool_()),
-                                        ("patterns", pa.list_(pa.struct([("pattern", pa.string()), ("plain", pa.int64())])))]))
+                                        ("patterns", pa.list_(pa.string()))]))
 
     def run(batches):
         for batch in batches:
@@ -154,33 +189,91 @@ def scan(docs: DataFrame, with_rows: bool = False) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
-def trusted_patterns(scanned: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
+def plain_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``pattern, plain``: how often a word without a mark stands in the context, over all of ``docs``.
+
+    Tasks look contexts up in a broadcast table of hashes; what it lets through
+    wrongly is dropped by the join with ``patterns``.
+    """
+    size = 1 << min(FILTER_BITS, max(16, (16 * patterns.count()).bit_length()))
+    places = patterns.select((F.crc32(F.col("pattern").cast("binary")) % size).cast("int").alias("place")).distinct().toArrow()
+    table = np.zeros(size, dtype=np.uint8)
+    table[places.column("place").to_numpy()] = 1
+    shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
+
+    def rows(seen: Counter):
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pattern", "plain"])
+
+    def run(batches):
+        known, seen = shared.value, Counter()
+        for batch in batches:
+            for part in slices(batch):
+                for text in strings(part):
+                    words = [_short(w.lower()) for w in _TOKEN.findall(text)]
+                    for i in range(1, len(words)):
+                        if _MARK.search(words[i]) is None:
+                            last = words[i - 1]
+                            own = [f"after {last}", f"between {last} {words[i + 1] if i + 1 < len(words) else ''}"]
+                            if i > 1:
+                                own.append(f"after {words[i - 2]} {last}")
+                            seen.update(p for p in own if known[zlib.crc32(p.encode("utf-8", "surrogatepass")) % size])
+                    if len(seen) > 100_000:
+                        yield rows(seen)
+                        seen.clear()
+        if seen:
+            yield rows(seen)
+
+    counted = docs.select("text").mapInArrow(run, "pattern string, plain long").groupBy("pattern").agg(F.sum("plain").alias("plain"))
+    return counted.join(patterns.select("pattern"), "pattern", "left_semi")
+
+
+def _bootstrapped(edges: DataFrame, rounds: int, min_seeds: int, min_confidence: float) -> tuple[DataFrame, DataFrame]:
+    """All patterns with a seed, and the trusted ones; what these point at is a seed from then on, until no pattern is new."""
+    trusted_before = 0
+    while True:
+        known = edges.withColumn("belief", F.col("seed").cast("double"))
+        for turn in range(rounds):
+            patterns = known.groupBy("pattern").agg(
+                (F.sum("belief") / (F.count("*") + F.max("plain") + 1)).alias("confidence"), F.sum(F.col("seed").cast("long")).alias("seeds"))
+            patterns = kept_table(patterns.where(F.col("seeds") >= 1), "pii-patterns")
+            if turn < rounds - 1:
+                scored = edges.join(patterns, "pattern", "left")
+                belief = scored.groupBy("instance").agg(
+                    F.max("seed").alias("any_seed"), F.sum(F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.999)))).alias("doubt"))
+                belief = belief.select("instance", F.when(F.col("any_seed"), 1.0).otherwise(1 - F.exp("doubt")).alias("belief"))
+                known = kept_table(edges.join(belief, "instance"), "pii-beliefs")
+        trusted = patterns.where((F.col("seeds") >= min_seeds) & (F.col("confidence") >= min_confidence)).select("pattern", "confidence")
+        number = trusted.count()
+        if number == trusted_before:
+            return patterns, trusted
+        trusted_before = number
+        reached = edges.join(trusted, "pattern", "left_semi").select("instance", F.lit(True).alias("reached")).distinct()
+        edges = edges.join(reached, "instance", "left").withColumn("seed", F.col("seed") | F.coalesce("reached", F.lit(False))).drop("reached")
+        edges = kept_table(edges, "pii-graph")
+
+
+def trusted_patterns(scanned: DataFrame, docs: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
                      min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``pattern, confidence`` of the patterns that point at identifiers reliably."""
     edges = scanned.select(F.explode("mentions").alias("m")).select(
-        F.explode("m.patterns").alias("p"), F.col("m.instance").alias("instance"), F.col("m.seed").alias("seed"))
-    edges = edges.groupBy(F.col("p.pattern").alias("pattern"), "instance").agg(
-        F.max("seed").alias("seed"), F.max("p.plain").alias("plain"))
+        F.explode("m.patterns").alias("pattern"), F.col("m.instance").alias("instance"), F.col("m.seed").alias("seed"))
+    edges = edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
+    # a seed's instance is one in all its contexts
+    seeds = edges.where("seed").select("instance", F.lit(True).alias("known")).distinct()
+    edges = edges.join(seeds, "instance", "left").select("pattern", "instance", F.coalesce("known", F.lit(False)).alias("seed"), F.lit(0).cast("long").alias("plain"))
     edges = kept_table(edges, "pii-graph")
-    known = edges.withColumn("belief", F.col("seed").cast("double"))
-    patterns = None
-    for turn in range(rounds):
-        patterns = known.groupBy("pattern").agg(
-            (F.sum("belief") / (F.count("*") + F.sum("plain") + 1)).alias("confidence"), F.sum(F.col("seed").cast("long")).alias("seeds"))
-        patterns = kept_table(patterns.where(F.col("seeds") >= 1), "pii-patterns")
-        if turn < rounds - 1:
-            scored = edges.join(patterns, "pattern", "left")
-            belief = scored.groupBy("instance").agg(
-                F.max("seed").alias("any_seed"), F.sum(F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.999)))).alias("doubt"))
-            belief = belief.select("instance", F.when(F.col("any_seed"), 1.0).otherwise(1 - F.exp("doubt")).alias("belief"))
-            known = kept_table(edges.join(belief, "instance"), "pii-beliefs")
-    return patterns.where((F.col("seeds") >= min_seeds) & (F.col("confidence") >= min_confidence)).select("pattern", "confidence")
+    patterns, trusted = _bootstrapped(edges, rounds, min_seeds, min_confidence)
+    if trusted.isEmpty():              # plain words only lower a confidence
+        return trusted
+    counts = kept_table(plain_counts(docs, patterns), "pii-plain")
+    counted = edges.drop("plain").join(counts, "pattern", "left").withColumn("plain", F.coalesce("plain", F.lit(0)).cast("long"))
+    return _bootstrapped(kept_table(counted, "pii-graph"), rounds, min_seeds, min_confidence)[1]
 
 
 def discovered(scanned: DataFrame, trusted: DataFrame) -> DataFrame:
     """``node, extra``: per row the candidate spans that a trusted pattern points at."""
     candidates = scanned.select("node", F.explode(F.filter("mentions", lambda m: ~m["seed"])).alias("m")).select(
-        "node", "m.start", "m.end", F.explode("m.patterns.pattern").alias("pattern"))
+        "node", "m.start", "m.end", F.explode("m.patterns").alias("pattern"))
     hits = candidates.join(trusted.select("pattern"), "pattern").select("node", "start", "end").distinct()
     kind = F.lit(len(KINDS)).alias("kind")
     return hits.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("start", kind, "end"))).alias("extra"))
@@ -188,7 +281,7 @@ def discovered(scanned: DataFrame, trusted: DataFrame) -> DataFrame:
 
 def _found(docs: DataFrame, with_rows: bool) -> DataFrame:
     scanned = kept_table(scan(docs, with_rows), "pii-rows", compression="zstd")
-    extra = discovered(scanned, trusted_patterns(scanned))
+    extra = discovered(scanned, trusted_patterns(scanned, docs))
     none = F.array().cast(scanned.schema["spans"].dataType)
     return scanned.drop("mentions").join(extra, "node", "left").withColumn(
         "all_spans", F.array_sort(F.concat("spans", F.coalesce("extra", none))))
