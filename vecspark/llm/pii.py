@@ -53,6 +53,7 @@ MIN_CONFIDENCE = 0.75
 WHOLE_CHARS = 64           # of a word or an instance in the graph; a longer one stands there by its hash
 FILTER_BITS = 24           # of the table of contexts whose plain words are counted
 
+_FACTORS = ((0x9E3779B97F4A7C15, 0), (0xC2B2AE3D27D4EB4F, 0x9FB21C651E98DF25), (0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD))
 _DIGITS = re.compile("[^0-9]+")
 _MARK = re.compile("[0-9@]")
 _TOKEN = re.compile(r"\S+")
@@ -189,37 +190,72 @@ def scan(docs: DataFrame, with_rows: bool = False) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
+def _crc(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+
+
+def _places(number: int, one: np.ndarray, two: np.ndarray, bits: int) -> np.ndarray:
+    """Places in the table of contexts of one kind (0 one word before, 1 two, 2 both sides), by the hashes of their words."""
+    first, second = (np.uint64(_FACTORS[number][i]) for i in range(2))
+    mixed = one * first if number == 0 else one * first + two * second
+    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def plain_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """``pattern, plain``: how often a word without a mark stands in the context, over all of ``docs``.
 
     Tasks look contexts up in a broadcast table of hashes; what it lets through
     wrongly is dropped by the join with ``patterns``.
     """
-    size = 1 << min(FILTER_BITS, max(16, (16 * patterns.count()).bit_length()))
-    places = patterns.select((F.crc32(F.col("pattern").cast("binary")) % size).cast("int").alias("place")).distinct().toArrow()
-    table = np.zeros(size, dtype=np.uint8)
-    table[places.column("place").to_numpy()] = 1
+    bits = min(FILTER_BITS, max(16, (16 * patterns.count()).bit_length()))
+
+    def place(batches):
+        for batch in batches:
+            pairs = []
+            for pattern in batch.column(0).to_pylist():
+                kind, *words = pattern.split(" ")
+                if kind != "key":
+                    number = 2 if kind == "between" else len(words) - 1
+                    pairs.append((number, *[_crc(w) for w in words], *[0] * (2 - len(words))))
+            for number in range(3):
+                one, two = (np.array([p[i] for p in pairs if p[0] == number], dtype=np.uint64) for i in (1, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(_places(number, one, two, bits))], names=["place"])
+
+    places = patterns.select("pattern").mapInArrow(place, "place long").distinct().toArrow()
+    table = np.zeros(1 << bits, dtype=bool)
+    table[places.column("place").to_numpy()] = True
     shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
 
     def rows(seen: Counter):
         return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pattern", "plain"])
 
     def run(batches):
-        known, seen = shared.value, Counter()
+        known, hashes, seen = np.frombuffer(shared.value, dtype=bool), {}, Counter()
         for batch in batches:
             for part in slices(batch):
                 for text in strings(part):
-                    words = [_short(w.lower()) for w in _TOKEN.findall(text)]
-                    for i in range(1, len(words)):
-                        if _MARK.search(words[i]) is None:
-                            last = words[i - 1]
-                            own = [f"after {last}", f"between {last} {words[i + 1] if i + 1 < len(words) else ''}"]
-                            if i > 1:
-                                own.append(f"after {words[i - 2]} {last}")
-                            seen.update(p for p in own if known[zlib.crc32(p.encode("utf-8", "surrogatepass")) % size])
+                    words = text.lower().split()
+                    for w in words:
+                        if w not in hashes:
+                            hashes[w] = _crc(_short(w)) << 1 | (_MARK.search(w) is not None)
+                    coded = np.array([hashes[w] for w in words] + [0], dtype=np.uint64)
+                    code, plain = coded >> np.uint64(1), (coded & np.uint64(1)) == 0
+                    here = np.flatnonzero(plain[1:-1]) + 1             # plain words with a word before them
+                    before = np.where(here > 1, code[here - 2], 0)
+                    for number, one, two in ((0, code[here - 1], code[here - 1]), (1, before, code[here - 1]), (2, code[here - 1], code[here + 1])):
+                        for i in here[known[_places(number, one, two, bits)]].tolist():
+                            last = _short(words[i - 1])
+                            if number == 0:
+                                seen[f"after {last}"] += 1
+                            elif number == 2:
+                                seen[f"between {last} {_short(words[i + 1]) if i + 1 < len(words) else ''}"] += 1
+                            elif i > 1:
+                                seen[f"after {_short(words[i - 2])} {last}"] += 1
                     if len(seen) > 100_000:
                         yield rows(seen)
                         seen.clear()
+                    if len(hashes) > 1_000_000:
+                        hashes.clear()
         if seen:
             yield rows(seen)
 
