@@ -24,7 +24,7 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
 
 
 def _plain(x):
-    if x is None or (isinstance(x, float) and x != x):
+    if x is None or x is pd.NA or (isinstance(x, float) and x != x):
         return None
     if hasattr(x, "item"):
         x = x.item()
