@@ -110,5 +110,28 @@ FROM b, l JOIN t ON true WHERE t.task = b.task AND t.turn = b.block % t.share
 """
 
 
+FIM = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (
+  SELECT *, array_to_string(list_slice(units, 1, a), '') AS pre, array_to_string(list_slice(units, a + 1, b), '') AS mid,
+         array_to_string(list_slice(units, b + 1, n), '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form = 'plain' THEN NULL ELSE CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form = 'plain' THEN NULL ELSE CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_near_dedup": NEAR_DEDUP, "op2_mixing": MIXING, "op5_topk": TOP_K, "op8_quality": QUALITY}
+    return {"op1_near_dedup": NEAR_DEDUP, "op2_mixing": MIXING, "op5_topk": TOP_K, "op8_quality": QUALITY, "op11_fim": FIM}

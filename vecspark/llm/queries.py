@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.workspace import scratch_path
-from . import langid, mixing, near_dedup, packing, pii, quality, token_counts, token_files, topk, toxicity
+from . import fim, langid, mixing, near_dedup, packing, pii, quality, token_counts, token_files, topk, toxicity
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -77,5 +77,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim.restored(), 256).alias("restored_sha256"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
