@@ -133,5 +133,25 @@ FROM p
 """
 
 
+CHAT = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+p AS (SELECT *, '[\[<]\\*(?:/?(?:SYS|INST|ROLE)\]|TEXT\]|/?s>)' AS control FROM r),
+f AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, control)) +
+         CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 7
+                   ELSE 23 + length(role) + len(regexp_extract_all(role, control)) END AS size FROM p)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_near_dedup": NEAR_DEDUP, "op2_mixing": MIXING, "op5_topk": TOP_K, "op8_quality": QUALITY, "op11_fim": FIM}
+    return {
+        "op1_near_dedup": NEAR_DEDUP, "op2_mixing": MIXING, "op5_topk": TOP_K, "op8_quality": QUALITY, "op11_fim": FIM, "op12_chat": CHAT,
+    }

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.workspace import scratch_path
-from . import fim, langid, mixing, near_dedup, packing, pii, quality, token_counts, token_files, topk, toxicity
+from . import chat, fim, langid, mixing, near_dedup, packing, pii, quality, token_counts, token_files, topk, toxicity
+from .components import kept_table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -83,5 +84,13 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(fim.restored(), 256).alias("restored_sha256"))
 
 
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], rows.schema)
+    sequences = kept_table(chat.format_conversations(rows.union(more), public_tokenizers.path(BYTE_BPE)), "chat", compression="zstd")
+    return chat.conversations(sequences, public_tokenizers.path(BYTE_BPE))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
