@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.workspace import scratch_path
-from . import chat, fim, langid, mixing, near_dedup, packing, pii, quality, token_counts, token_files, topk, toxicity
+from . import alignment, chat, fim, langid, mixing, near_dedup, packing, pii, quality, token_counts, token_files, topk, toxicity
 from .components import kept_table
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,5 +93,9 @@ def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversations(sequences, public_tokenizers.path(BYTE_BPE))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
