@@ -45,7 +45,8 @@ from .worker import forget, kept
 PAIRS = 1 << 20           # pairs whose counts are broadcast
 BLANK = "▁"
 SHIFT = 32                # key of a pair: A id above, B id below
-SLICE = 1 << 20           # text bytes aligned at a time
+SLICE = 1 << 18           # text bytes aligned at a time
+REMEMBERED = 100_000      # pieces, and units, of each of two generations in a worker
 
 # Blanks with the word behind them, or a line end with the word behind it: pieces hold blanks at their start only, and no line end.
 _UNITS = re.compile(" +[^ \n]*|\n[^ \n]*")
@@ -63,7 +64,7 @@ class PieceEncoder:
         self.blank = self.library.piece_to_id(BLANK)
         self.lengths = np.array([1 if self.library.is_byte(i) else len(p.replace(BLANK, " ").encode()) for i, p in enumerate(pieces)], dtype=np.int64)
         self.raw = [bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
-        self.units = Remembered()
+        self.units = Remembered(REMEMBERED)
 
     def whole(self, text: str) -> list[int]:
         return self.library.encode(text, num_threads=1)
@@ -106,6 +107,7 @@ class Pair:
 
         self.a = UnitEncoder(byte_path, True, id_bytes, b"".join)
         self.a.library.encode_special_tokens = True
+        self.a.pieces = Remembered(REMEMBERED)
         self.b = PieceEncoder(piece_path)
         vocab = self.a.library.get_vocab(with_added_tokens=True)
         named = {chr(c) for c in BYTE_NAMES.values()}
