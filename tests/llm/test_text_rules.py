@@ -1,7 +1,10 @@
 """Language, quality and personal data."""
 
 import hashlib
+import random
 import re
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,8 +75,8 @@ def test_quality_lines(spark, no_docs):
 
 def spans_by_hand(text):
     found = []
-    for number, (kind, pattern) in enumerate(zip(pii.KINDS, (pii.EMAIL, pii.IP, pii.CARD, pii.PHONE))):
-        for m in pattern.finditer(text):
+    for number, (kind, pattern) in enumerate(BASE.items()):
+        for m in re.finditer(pattern, text):
             digits = re.sub("[^0-9]", "", m.group())
             doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
             keep = {"email": True, "ip": kind == "ip" and max(map(int, m.group().split("."))) <= 255,
@@ -83,8 +86,11 @@ def spans_by_hand(text):
     return ",".join(f"{k}:{s}:{e}" for s, _, k, e in sorted(found))
 
 
+# The base kinds as they are given
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 PII_TEXTS = ["a@b.c", "x.y+z%1@mail.example.co.uk, 1.2.3.4 and 1.2.3.256 or 1.2.3.4.5", "4111 1111 1111 1111 / 4111-1111-1111-1112",
-             "+1 (555) 123-4567 +12 +1234567890123456", "é €4111111111111111x@y.z", "@@ a@b @c.d +", "0000000000000", "1" * 40]
+             "+1 (555) 123-4567 +12 +1234567890123456", "é €4111111111111111x@y.z", "@@ a@b @c.d +", "0000000000000", "1" * 40, "0001.2.0255.4 1.2.3.4.5.6.7.8.9 1..2.3.4.5 a@b@c.d.e@f.g"]
 
 
 @pytest.mark.parametrize("table", ["odd", "texts"])
@@ -96,6 +102,43 @@ def test_base_spans(spark, odd_docs, table):
     assert sorted(got) == sorted(expected)
 
 
+def test_base_spans_of_random_texts():
+    rng = random.Random(3)
+    for letters in ("ab.@-% 1", "0125. -", "+1() .-9", "12.5@a+ -"):
+        for _ in range(3000):
+            text = "".join(rng.choice(letters) for _ in range(rng.randrange(30)))
+            assert ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in pii.base_spans(text)) == spans_by_hand(text), text
+
+
+def test_long_runs_take_seconds():
+    began = time.perf_counter()
+    assert pii.base_spans("1" * 5000 + ".1.1.1") == []
+    for text in ("1" * 1_000_000, "x" * 500_000 + "@" + "y" * 500_000, "a@" * 300_000, "1." * 300_000, "+1" * 300_000, "+" + "1(" * 300_000, "x" * 1_000_000 + "@b.c"):
+        pii.mentions(text, pii.base_spans(text))
+    assert time.perf_counter() - began < 10
+
+
+def test_plain_counts_against_brute_force(spark, odd_docs, monkeypatch):
+    docs = contexts(spark).select("text").union(odd_docs.select("text"))
+    seen = Counter()
+    for row in docs.collect():
+        words = (row.text or "").lower().split()
+        for i in range(1, len(words)):
+            if not re.search("[0-9@]", words[i]):
+                one, two = pii._short(words[i - 1]), pii._short(words[i - 2]) if i > 1 else None
+                seen[f"after {one}"] += 1
+                seen[f"between {one} {pii._short(words[i + 1]) if i + 1 < len(words) else ''}"] += 1
+                if two is not None:
+                    seen[f"after {two} {one}"] += 1
+    asked = [*sorted(seen)[::2], "after nothing-such", "key x", "between the nothing-such"]
+    patterns = spark.createDataFrame([(p,) for p in asked], "pattern string")
+    for most in (1 << 20, 7):
+        monkeypatch.setattr(pii, "ASKED", most if most > 7 else -(-len(asked) // 3))
+        counted = {r.pattern: r.plain for r in pii.plain_counts(docs, patterns).collect()}
+        assert counted == {p: seen[p] for p in asked if seen[p]}
+    assert pii.plain_counts(docs, patterns.limit(0)).count() == 0
+
+
 def contexts(spark):
     people = [f"Person {i} says hello, reach me via badge: user{i}@mail{i}.example.com today." for i in range(8)]
     hidden = ["Another one says hello, reach me via badge: zx81-kq77 today.", "The year 1984x is plain text with words after it."]

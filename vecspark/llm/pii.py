@@ -19,6 +19,8 @@ patterns point at becomes a span of kind ``context``. Instances of passages that
 repeat count once, plain words each time.
 
 Positions are code points, ends exclusive. Null and empty texts have no spans.
+Every step is linear in a text, whatever it holds, and so are runs of digits or
+of letters without a blank. Numbers of any length fail their kind's condition.
 Rows with one id are treated one by one. Other columns are carried along by
 ``redact`` under any name and ignored by ``find``.
 """
@@ -27,11 +29,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,9 +42,12 @@ from .components import kept_table
 
 # The base kinds in order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+# [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+ is found from its @: the characters before it, and the domain behind it
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+# [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+) are four parts of a run of parts
+PARTS = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CONTEXT = "context"
 
@@ -51,10 +55,12 @@ ROUNDS = 3
 MIN_SEEDS = 3              # distinct seed instances of a trusted pattern
 MIN_CONFIDENCE = 0.75
 WHOLE_CHARS = 64           # of a word or an instance in the graph; a longer one stands there by its hash
-FILTER_BITS = 24           # of the table of contexts whose plain words are counted
+ASKED = 1 << 20            # contexts whose plain words are counted in one pass over the texts
+FILTER_BITS = 22           # of the table that most other contexts are dropped by before the search
 
 _FACTORS = ((0x9E3779B97F4A7C15, 0), (0xC2B2AE3D27D4EB4F, 0x9FB21C651E98DF25), (0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD))
 _DIGITS = re.compile("[^0-9]+")
+_DOTTED = re.compile("[0-9][.][0-9]")
 _MARK = re.compile("[0-9@]")
 _TOKEN = re.compile(r"\S+")
 _ENDS = ",;:!?."
@@ -70,12 +76,23 @@ def luhn(digits: str) -> bool:
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of the base kinds, in order."""
-    found = []
-    if "@" in text:
-        found += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
-    for m in IP.finditer(text):
-        if all(int(part) <= 255 for part in m.group().split(".")):
-            found.append((m.start(), 1, m.end()))
+    found, reach, at = [], 0, text.find("@")
+    while at >= 0:
+        start = reach + len(text[reach:at].rstrip(LOCAL))
+        domain = DOMAIN.match(text, at + 1) if start < at else None
+        reach = domain.end() if domain else at + 1
+        if domain:
+            found.append((start, 0, reach))
+        at = text.find("@", reach)
+    if _DOTTED.search(text):
+        for m in PARTS.finditer(text):
+            parts, start = m.group().split("."), m.start()
+            for i in range(0, len(parts) - 3, 4):
+                own = parts[i:i + 4]
+                end = start + sum(map(len, own)) + 3
+                if all(len(p) < 4 or len(p.lstrip("0")) < 4 for p in own) and all(int(p[-3:]) <= 255 for p in own):
+                    found.append((start, 1, end))
+                start = end + 1
     for m in CARD.finditer(text):
         digits = _DIGITS.sub("", m.group())
         if 12 <= len(digits) <= 19 and luhn(digits):
@@ -190,77 +207,90 @@ def scan(docs: DataFrame, with_rows: bool = False) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
-def _crc(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+def _code(word: str) -> int:
+    """63 bits of a word's hash above one bit that tells whether it holds a mark; 0 for no word."""
+    if not word:
+        return 0
+    return xxhash.xxh3_64_intdigest(_short(word).encode("utf-8", "surrogatepass")) & ~1 | (_MARK.search(word) is not None)
 
 
-def _places(number: int, one: np.ndarray, two: np.ndarray, bits: int) -> np.ndarray:
-    """Places in the table of contexts of one kind (0 one word before, 1 two, 2 both sides), by the hashes of their words."""
+def _context(number: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """64-bit hashes of contexts of one kind (0 one word before, 1 two, 2 both sides), by the codes of their words."""
     first, second = (np.uint64(_FACTORS[number][i]) for i in range(2))
-    mixed = one * first if number == 0 else one * first + two * second
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
-
+    mixed = (one >> np.uint64(1)) * first + (two >> np.uint64(1)) * second
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(_FACTORS[0][0])
+    return mixed ^ (mixed >> np.uint64(29))
 
-def plain_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """``pattern, plain``: how often a word without a mark stands in the context, over all of ``docs``.
 
-    Tasks look contexts up in a broadcast table of hashes; what it lets through
-    wrongly is dropped by the join with ``patterns``.
-    """
-    bits = min(FILTER_BITS, max(16, (16 * patterns.count()).bit_length()))
-
-    def place(batches):
+def _hashed(patterns: DataFrame) -> DataFrame:
+    """``key, pattern`` of the patterns that a plain word can stand in."""
+    def run(batches):
         for batch in batches:
-            pairs = []
+            names, keys = [], []
             for pattern in batch.column(0).to_pylist():
                 kind, *words = pattern.split(" ")
                 if kind != "key":
                     number = 2 if kind == "between" else len(words) - 1
-                    pairs.append((number, *[_crc(w) for w in words], *[0] * (2 - len(words))))
-            for number in range(3):
-                one, two = (np.array([p[i] for p in pairs if p[0] == number], dtype=np.uint64) for i in (1, 2))
-                yield pa.RecordBatch.from_arrays([pa.array(_places(number, one, two, bits))], names=["place"])
+                    one, two = (np.array([_code(w)], dtype=np.uint64) for w in (words * 2)[:2])
+                    names.append(pattern)
+                    keys.append(_context(number, one, two).view(np.int64)[0])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(names, pa.string())], names=["key", "pattern"])
 
-    places = patterns.select("pattern").mapInArrow(place, "place long").distinct().toArrow()
-    table = np.zeros(1 << bits, dtype=bool)
-    table[places.column("place").to_numpy()] = True
-    shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
+    return patterns.select("pattern").mapInArrow(run, "key long, pattern string")
 
-    def rows(seen: Counter):
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pattern", "plain"])
+
+def _key_counts(docs: DataFrame, keys: np.ndarray) -> DataFrame:
+    """``key, plain``: how often a plain word stands in each of the contexts ``keys`` (sorted), one row per task and key."""
+    shared = docs.sparkSession.sparkContext.broadcast(keys.tobytes())
 
     def run(batches):
-        known, hashes, seen = np.frombuffer(shared.value, dtype=bool), {}, Counter()
+        asked = np.frombuffer(shared.value, dtype=np.uint64)
+        counts = np.zeros(len(asked), dtype=np.int64)
+        shift = np.uint64(64 - FILTER_BITS)
+        maybe = np.zeros(1 << FILTER_BITS, dtype=bool)                     # spares most contexts the search
+        maybe[asked >> shift] = True
+        codes = {}
         for batch in batches:
             for part in slices(batch):
                 for text in strings(part):
                     words = text.lower().split()
                     for w in words:
-                        if w not in hashes:
-                            hashes[w] = _crc(_short(w)) << 1 | (_MARK.search(w) is not None)
-                    coded = np.array([hashes[w] for w in words] + [0], dtype=np.uint64)
-                    code, plain = coded >> np.uint64(1), (coded & np.uint64(1)) == 0
-                    here = np.flatnonzero(plain[1:-1]) + 1             # plain words with a word before them
-                    before = np.where(here > 1, code[here - 2], 0)
-                    for number, one, two in ((0, code[here - 1], code[here - 1]), (1, before, code[here - 1]), (2, code[here - 1], code[here + 1])):
-                        for i in here[known[_places(number, one, two, bits)]].tolist():
-                            last = _short(words[i - 1])
-                            if number == 0:
-                                seen[f"after {last}"] += 1
-                            elif number == 2:
-                                seen[f"between {last} {_short(words[i + 1]) if i + 1 < len(words) else ''}"] += 1
-                            elif i > 1:
-                                seen[f"after {_short(words[i - 2])} {last}"] += 1
-                    if len(seen) > 100_000:
-                        yield rows(seen)
-                        seen.clear()
-                    if len(hashes) > 1_000_000:
-                        hashes.clear()
-        if seen:
-            yield rows(seen)
-
-    counted = docs.select("text").mapInArrow(run, "pattern string, plain long").groupBy("pattern").agg(F.sum("plain").alias("plain"))
-    return counted.join(patterns.select("pattern"), "pattern", "left_semi")
+                        if w not in codes:
+                            codes[w] = _code(w)
+                    coded = np.array([codes[w] for w in words] + [0], dtype=np.uint64)
+                    here = np.flatnonzero((coded[1:-1] & np.uint64(1)) == 0) + 1             # plain words with a word before them
+                    later = here[here > 1]
+                    found = np.concatenate([_context(0, coded[here - 1], coded[here - 1]), _context(1, coded[later - 2], coded[later - 1]),
+                                            _context(2, coded[here - 1], coded[here + 1])])
+                    found = found[maybe[found >> shift]]
+                    place = np.minimum(np.searchsorted(asked, found), len(asked) - 1)
+                    np.add.at(counts, place[asked[place] == found], 1)
+                    if len(codes) > 500_000:
+                        codes.clear()
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(asked[some].view(np.int64)), pa.array(counts[some])], names=["key", "plain"])
+
+    return docs.select("text").mapInArrow(run, "key long, plain long")
+
+
+def plain_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``pattern, plain``: how often a word without a mark stands in the context, over all of ``docs``.
+
+    Contexts are told apart by 64-bit hashes. Tasks count those that are asked
+    for against a sorted table, at most ``ASKED`` of them in one pass over the
+    texts, and send one row for each that they met.
+    """
+    hashed = kept_table(_hashed(patterns), "pii-asked")
+    passes = -(-hashed.count() // ASKED)
+    counted = None
+    for turn in range(passes):
+        own = hashed.where(F.pmod("key", F.lit(passes)) == turn).select("key").distinct().toArrow()
+        if own.num_rows:
+            found = kept_table(_key_counts(docs, np.sort(own.column("key").to_numpy().view(np.uint64))).groupBy("key").agg(F.sum("plain").alias("plain")), "pii-counts")
+            counted = found if counted is None else counted.unionAll(found)
+    if counted is None:
+        return hashed.select("pattern", F.lit(0).cast("long").alias("plain"))
+    return hashed.join(counted, "key").select("pattern", "plain")
 
 
 def _bootstrapped(edges: DataFrame, rounds: int, min_seeds: int, min_confidence: float) -> tuple[DataFrame, DataFrame]:
@@ -276,7 +306,8 @@ def _bootstrapped(edges: DataFrame, rounds: int, min_seeds: int, min_confidence:
                 scored = edges.join(patterns, "pattern", "left")
                 belief = scored.groupBy("instance").agg(
                     F.max("seed").alias("any_seed"), F.sum(F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.999)))).alias("doubt"))
-                belief = belief.select("instance", F.when(F.col("any_seed"), 1.0).otherwise(1 - F.exp("doubt")).alias("belief"))
+                # written first: a side that an aggregation has dealt out keeps the join from splitting a common instance
+                belief = kept_table(belief.select("instance", F.when(F.col("any_seed"), 1.0).otherwise(1 - F.exp("doubt")).alias("belief")), "pii-belief")
                 known = kept_table(edges.join(belief, "instance"), "pii-beliefs")
         trusted = patterns.where((F.col("seeds") >= min_seeds) & (F.col("confidence") >= min_confidence)).select("pattern", "confidence")
         number = trusted.count()
