@@ -7,8 +7,9 @@ hit, equal distances are ordered by id.
 One scan takes a block of queries whose size is checked; the block is
 broadcast, every task keeps only its running top k per query, and one shuffle
 on ``query_id`` merges the tasks. Items are never shuffled or paired up in the
-plan. Query sets beyond one block run block after block, each result written
-to the shared folder.
+plan. Query sets beyond one block are never brought to the driver: queries and
+items meet in bounded cells, in one job (see ``spread``). Only scans over codes
+run such sets block after block.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import types as T
 from ..functions.blocks import CELLS, QueryBlock, TopK, by_list, matrix, nearest_rows
 from ..functions.distance import check_metric
 from ..plans.workspace import SMALL_SPLIT, plan_bytes, scratch_path
+from .merge import bounded
+from .spread import spread_search
 
 DEFAULT_TOP_K = 100
 MAX_QUERY_ROWS = 1 << 14       # queries per block
@@ -68,22 +71,31 @@ def search(
     stored = items if stored is None else stored
     probing = "probes" in queries.columns
     queries = queries.where(F.col("qv").isNotNull()).select("query_id", "qv", *(["probes"] if probing else []))
-    most = max(1, min(MAX_QUERY_ROWS, MAX_HITS // (held or k)))
-    first = queries.limit(most + 1).toArrow()
-    if first.num_rows == 0:
+    most, block = _one_block(queries, held or k, probing)
+    if block is not None and block.num_rows == 0:
         return _with_payload(_no_hits(queries, items), stored, payload)
-    width = len(first.column("qv")[0])
-    most = max(1, min(most, MAX_QUERY_BYTES // (8 * max(width, 1))))
-    if probing:
-        spread = max(len(p) for p in first.column("probes").to_pylist())
-        most = max(1, min(most, MAX_POSTINGS // max(spread, 1)))
 
-    def run(block: pa.Table) -> DataFrame:
-        return _search_block(block, queries, items, stored, k, metric, payload, scan or scan_block)
+    def run(table: pa.Table) -> DataFrame:
+        return _search_block(table, queries, items, stored, k, metric, payload, scan or scan_block)
 
-    if first.num_rows <= most:
-        return run(first)
-    return _search_blocks(queries, most, run)
+    if block is not None:
+        return run(block)
+    if scan is not None:
+        return _search_blocks(queries, most, run)
+    hits = spread_search(queries, items, k, metric)
+    return _with_any_payload(hits, stored, payload)
+
+
+def _one_block(queries: DataFrame, k: int, probing: bool) -> tuple[int, pa.Table | None]:
+    """Rows that a block may have, and the queries if they are one; judged by counts alone, before any is fetched."""
+    spread = F.max(F.size("probes")) if probing else F.lit(1)
+    known = queries.limit(MAX_QUERY_ROWS + 1).agg(F.count("*").alias("n"), F.max(F.size("qv")).alias("width"), spread.alias("spread")).first()
+    most = min(MAX_QUERY_ROWS, MAX_HITS // k, MAX_QUERY_BYTES // (8 * max(known["width"] or 1, 1)), MAX_POSTINGS // max(known["spread"] or 1, 1))
+    most = max(1, most)
+    if known["n"] > most:
+        return most, None
+    table = queries.limit(most + 1).toArrow()
+    return most, table if table.num_rows <= most else None
 
 
 def _search_blocks(queries: DataFrame, most: int, run) -> DataFrame:
@@ -135,6 +147,16 @@ def _with_payload(hits: DataFrame, items: DataFrame, payload) -> DataFrame:
     return side.join(F.broadcast(hits), "id").select("query_id", "rank", "id", "distance", *payload)
 
 
+def _with_any_payload(hits: DataFrame, items: DataFrame, payload) -> DataFrame:
+    """Attach item columns to hits of any number, written first: they are counted before the join."""
+    if not payload:
+        return hits
+    path = scratch_path(hits.sparkSession, "hits")
+    hits.write.parquet(path)
+    kept = hits.sparkSession.read.schema(hits.schema).parquet(path)
+    return items.select("id", *payload).join(bounded(kept), "id").select("query_id", "rank", "id", "distance", *payload)
+
+
 def hit_schema(queries: DataFrame, items: DataFrame) -> T.StructType:
     return T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType),
