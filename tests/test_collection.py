@@ -177,9 +177,10 @@ def test_two_writers_both_survive(spark, store):
     stale = c.state()
     c.upsert(frame(spark, [("w1", [1.0] * 8, None)]))
     segment = c._write_segment(c._coded(frame_items(spark, [("w2", [2.0] * 8)]), stale), stale)
-    assert c._note_removals(frame_items(spark, [("w2", [2.0] * 8)]).select("id"), 1, stale) is None
+    extent = c._extent(f"{stale['folder']}/items/seg={segment}")
+    assert c._note_removals(frame_items(spark, [("w2", [2.0] * 8)]).select("id"), extent, stale) is None
     with pytest.raises(VersionConflict):      # w1 came meanwhile and might have been w2: the upsert starts over
-        c._commit_rows(stale, segment, 1, None, None)
+        c._commit_rows(stale, segment, extent, None, None)
     c.upsert(frame(spark, [("w2", [2.0] * 8, None)]))
     assert ids(c.get(["w1", "w2"])) == ["w1", "w2"]
     with pytest.raises(VersionConflict):
@@ -375,3 +376,41 @@ def test_key_is_in_no_plan(spark, store, capsys):
     c.query(rows[0][1], filters={"number": 1}).explain(True)
     text = capsys.readouterr().out.lower()
     assert KEY.hex() not in text and "000102030405" not in text
+
+
+def numbered(spark, low, high, width=4):
+    return spark.range(low, high).select(F.format_string("k%06d", "id").alias("id"), F.array([F.col("id").cast("double")] * width).alias("vector"))
+
+
+def test_get_and_payload_read_only_files_with_hits(spark):
+    c = VectorStore(spark, scratch_path(spark, "store")).create("many", KEY, {"type": "ivfflat"})
+    for i in range(6):
+        c.upsert(numbered(spark, 100 * i, 100 * i + 100), auto_train=False)
+    state = c.state()
+    assert [(s["lo"], s["hi"]) for s in state["segments"]][2] == ("k000200", "k000299")
+    one = c._near(state, spark.createDataFrame([("k000250",), ("k000251x",)], "id string"))
+    every = c._stored(state).inputFiles()
+    assert 0 < len(one.inputFiles()) < len(every) and all(state["segments"][2]["name"] in f for f in one.inputFiles())
+    assert c._near(state, spark.createDataFrame([("zzz",)], "id string")).count() == 0
+    assert c._near(state, spark.createDataFrame([], "id string")).count() == 0
+    assert [r.id for r in c.get(["k000599", "nothing", "k000000"]).collect()] == ["k000599", "k000000"]
+    hits = c.query([[5.0] * 4, [505.0] * 4], top_k=2, include=("distance", "vector")).collect()
+    assert {(h.query_id, h.id, tuple(h.vector)) for h in hits if h.rank == 1} == {(0, "k000005", (5.0,) * 4), (1, "k000505", (505.0,) * 4)}
+
+
+def test_upsert_reads_only_segments_within_its_bounds(spark, monkeypatch):
+    c = VectorStore(spark, scratch_path(spark, "store")).create("many", KEY, {"type": "ivfflat"})
+    for i in range(5):
+        c.upsert(numbered(spark, 100 * i, 100 * i + 100), auto_train=False)
+    read, whole = [], type(c)._stored
+    monkeypatch.setattr(type(c), "_stored", lambda self, state, segments=None, files=None: read.append(segments) or whole(self, state, segments, files))
+    c.upsert(numbered(spark, 1000, 1100), auto_train=False)
+    assert read == [] and len(c.state()["removals"]) == 0
+    c.upsert(numbered(spark, 250, 260), auto_train=False)
+    assert [[s["lo"] for s in segments] for segments in read] == [["k000200"]]
+    c.delete(["k000300", "k000001", "unknown"])
+    c.delete(["x"])
+    c.compact()
+    ids = {r.id for r in c.list_ids().collect()}
+    assert ids == {f"k{i:06d}" for i in [*range(500), *range(1000, 1100)]} - {"k000300", "k000001"}
+    assert (c.state()["segments"][0]["lo"], c.state()["segments"][0]["hi"]) == ("k000000", "k001099")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.blocks import matrix, nearest_rows
-from ..functions.distance import COSINE, norm, to_double
+from ..functions.distance import COSINE, l2_normalize, norm, to_double
 from .search import probe_lists, search
 
 DEFAULT_BATCH_SIZE = 2048      # recorded; full-batch training has no use for it
@@ -54,14 +54,17 @@ def train_lists(
     seed: int = 17,
     sample_rows: int | None = None,
     dimension: int = 1,
+    initial: np.ndarray | None = None,
 ) -> np.ndarray:
     """Centroids of the inverted lists, one row per list, fitted on all rows or on ``sample_rows`` of them.
 
-    Lloyd rounds start from rows at random: seeding by distance would cluster
-    its candidates on the driver.
+    Lloyd rounds start from ``initial`` centroids, or from rows at random:
+    seeding by distance would cluster its candidates on the driver.
     """
-    n_lists = n_lists or auto_list_count(n, dimension)
     rows = training_rows(items, metric, n, sample_rows, seed)
+    if initial is not None:
+        return lloyd(rows, check_centroids(initial), metric, max_iters, tolerance)
+    n_lists = n_lists or auto_list_count(n, dimension)
     points = rows.select(array_to_vector("vector").alias("features"))
     kmeans = KMeans(
         k=max(n_lists, 2), initMode="random", maxIter=max_iters, tol=tolerance, seed=seed, maxBlockSizeInMB=float(max_memory),
@@ -72,6 +75,22 @@ def train_lists(
     return check_centroids(np.array(kmeans.fit(points).clusterCenters()))
 
 
+def lloyd(rows: DataFrame, centroids: np.ndarray, metric: str, rounds: int, tolerance: float) -> np.ndarray:
+    """Lloyd rounds from given centroids, one job each; an empty list keeps its centroid."""
+    if metric == COSINE:
+        rows = rows.withColumn("vector", l2_normalize(F.col("vector")))
+    for _ in range(rounds):
+        means = centroid_means(assign_lists(rows, centroids, metric)).toArrow()      # a row for each list at most
+        moved = centroids.copy()
+        if means.num_rows:
+            moved[means.column("list_id").to_numpy()] = matrix(means.column("centroid"))
+        shift = float(np.max(np.sum((moved - centroids) ** 2, axis=1)))
+        centroids = moved
+        if shift <= tolerance ** 2:
+            break
+    return centroids
+
+
 def check_centroids(centroids: np.ndarray) -> np.ndarray:
     if centroids.nbytes > MAX_CENTROID_BYTES:
         raise ValueError("the centroids are too large to broadcast; train with fewer lists")

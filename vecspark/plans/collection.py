@@ -32,6 +32,7 @@ DEFAULT_RETRAIN_MULTIPLIER = 2.0
 DEFAULT_MIN_TRAIN_ROWS = 10_000
 MAX_REMOVALS = 2_000_000     # removed ids that a read broadcasts; beyond that they are shuffled until compact()
 MAX_SEGMENTS = 64
+MAX_FILES = 10_000           # files named in a read; when ids lie in more of them, their segments are read
 COMMIT_TRIES = 20
 
 
@@ -204,15 +205,15 @@ class Collection:
             kinds.append("codes array<smallint>")
         return T.StructType.fromDDL(", ".join(kinds + ["list_id int", "seg string"]))
 
-    def _stored(self, state: dict, segments: list[dict] | None = None) -> DataFrame:
-        """Live rows as stored (sealed columns still sealed), of all or of the given segments."""
+    def _stored(self, state: dict, segments: list[dict] | None = None, files: list[str] | None = None) -> DataFrame:
+        """Live rows as stored (sealed columns still sealed), of all or of the given segments, or of some of their files."""
         schema = self._schema(state)
         segments = state["segments"] if segments is None else segments
         if not segments:
             return self.spark.createDataFrame([], schema).drop("seg")
         folder = f"{state['folder']}/items"
         rows = (self.spark.read.schema(schema).option("basePath", folder)
-                .parquet(*[f"{folder}/seg={s['name']}" for s in segments]))
+                .parquet(*(files if files is not None else [f"{folder}/seg={s['name']}" for s in segments])))
         removals = [r for r in state["removals"] if r["seq"] > min(s["seq"] for s in segments)]
         if not removals:
             return rows.drop("seg")
@@ -222,6 +223,30 @@ class Collection:
         dead = (F.col("id") == F.col("_id")) & (_lookup("seg", segments) < F.col("_until"))
         return rows.join(gone, dead, "left_anti").drop("seg")
 
+    def _segments_of(self, state: dict, extent) -> list[dict]:
+        """Segments whose ids can be among those between ``extent.lo`` and ``extent.hi``."""
+        return [s for s in state["segments"] if extent.lo is not None and (s.get("lo") is None or s["lo"] <= extent.hi and extent.lo <= s["hi"])]
+
+    def _near(self, state: dict, ids: DataFrame) -> DataFrame:
+        """Live rows of the files that hold any of the ids: other files give their id column at most.
+
+        Segments are left out by their bounds, row groups by the statistics of
+        the sorted ids, files by a look at the ids alone.
+        """
+        extent = ids.agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+        segments = self._segments_of(state, extent)
+        if not segments:
+            return self._stored(state, [])
+        between = F.col("id").between(extent.lo, extent.hi)
+        folder = f"{state['folder']}/items"
+        where = (self.spark.read.schema("id string").option("basePath", folder).parquet(*[f"{folder}/seg={s['name']}" for s in segments])
+                 .select("id", F.regexp_extract("_metadata.file_path", "(seg=[^/]+/.*)$", 1).alias("file")).where(between))
+        wanted = F.broadcast(ids.select("id")) if extent.n <= merge.MAX_BROADCAST_IDS else ids.select("id")
+        files = [f"{folder}/{r.file}" for r in where.join(wanted, "id", "left_semi").select("file").distinct().limit(MAX_FILES + 1).collect()]
+        if not files:
+            return self._stored(state, [])
+        return self._stored(state, segments, files if len(files) <= MAX_FILES else None).where(between)
+
     def _removed(self, state: dict, removals: list[dict]) -> DataFrame:
         """``(id, until)``: rows of the id older than ``until`` no longer count."""
         folder = f"{state['folder']}/removals"
@@ -269,7 +294,7 @@ class Collection:
         state = self.state()
         wanted = merge.id_frame(self.spark, ids) if isinstance(ids, (list, tuple)) else ids
         keep = [c for c in ("vector", "contents", "metadata") if c in include]
-        found = merge.get_by_ids(self._stored(state), wanted)
+        found = merge.get_by_ids(self._near(state, wanted), wanted)
         extra = ["is_text"] if "contents" in keep else []
         return self._open(found.select("pos", "id", *keep, *extra), state).orderBy("pos")
 
@@ -277,7 +302,7 @@ class Collection:
         """``rows`` (with ``id``) with stored columns attached."""
         state = self.state()
         extra = ["is_text"] if "contents" in columns else []
-        stored = self._stored(state).select("id", *columns, *extra)
+        stored = self._near(state, rows).select("id", *columns, *extra)
         return self._open(stored.join(merge.bounded(rows), "id"), state)
 
     def list_ids(self, filters: dict | None = None) -> DataFrame:
@@ -355,13 +380,13 @@ class Collection:
         last = merge.latest_per_id(good, F.col("_order")).drop("_order")
         name = self._write_segment(self._coded(last, state), state)
         folder = f"{state['folder']}/items/seg={name}"
-        n = self._count(folder, "id string")
-        if n == 0:
+        extent = self._extent(folder)
+        if extent.n == 0:
             self.catalog.remove(folder)
             return None, bad
         ids = self.spark.read.schema("id string").parquet(folder).select("id")
-        removal = self._note_removals(ids, n, state)
-        self._commit_rows(state, name, n, removal, applied)
+        removal = self._note_removals(ids, extent, state)
+        self._commit_rows(state, name, extent, removal, applied)
         return folder, bad
 
     def _shaped(self, state: dict, rows: DataFrame) -> dict:
@@ -401,7 +426,8 @@ class Collection:
             rows = rows.hint("rebalance", "list_id")
         folder = f"{state['folder']}/items/seg={name}"
         try:
-            rows.write.partitionBy("list_id").parquet(folder)
+            # sorted by id, so that statistics tell row groups apart
+            rows.sortWithinPartitions("list_id", "id").write.partitionBy("list_id").parquet(folder)
         except Exception:
             self.catalog.remove(folder)
             raise
@@ -410,12 +436,23 @@ class Collection:
     def _count(self, folder: str, schema: str) -> int:
         return self.spark.read.schema(schema).parquet(folder).count()
 
-    def _note_removals(self, ids: DataFrame, n: int, state: dict) -> dict | None:
-        """A removal file for those of the ``n`` given ids that exist; None when none does."""
-        if not state["segments"]:
+    def _extent(self, folder: str):
+        """``n, lo, hi``: number and bounds of the ids below a folder."""
+        ids = self.spark.read.schema("id string").parquet(folder)
+        return ids.agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+
+    def _note_removals(self, ids: DataFrame, extent, state: dict) -> dict | None:
+        """A removal file for those of the given ids that exist; None when none does.
+
+        Only segments whose bounds meet those of the ids are read, and of these
+        the row groups that do.
+        """
+        segments = self._segments_of(state, extent)
+        if not segments:
             return None
-        given = F.broadcast(ids) if n <= merge.MAX_BROADCAST_IDS else ids
-        ids = self._stored(state).select("id").join(given, "id", "left_semi")
+        given = F.broadcast(ids) if extent.n <= merge.MAX_BROADCAST_IDS else ids
+        stored = self._stored(state, segments).select("id").where(F.col("id").between(extent.lo, extent.hi))
+        ids = stored.join(given, "id", "left_semi")
         name = uuid.uuid4().hex
         folder = f"{state['folder']}/removals/seg={name}"
         # the commit decides the sequence number, so the file leaves it open
@@ -426,13 +463,13 @@ class Collection:
             return None
         return {"name": name, "n": n}
 
-    def _commit_rows(self, state, name, n, removal, applied) -> None:
+    def _commit_rows(self, state, name, extent, removal, applied) -> None:
         """Append a segment and a removal; a lost race is repeated unless rows or lists changed meanwhile."""
         for _ in range(COMMIT_TRIES):
             seq = state["seq"] + 1
             new = dict(state, seq=seq)
             if name is not None:
-                new["segments"] = state["segments"] + [{"name": name, "seq": seq, "n": n}]
+                new["segments"] = state["segments"] + [{"name": name, "seq": seq, "n": extent.n, "lo": extent.lo, "hi": extent.hi}]
             if removal is not None:
                 new["removals"] = state["removals"] + [dict(removal, seq=seq)]
             if applied:
@@ -456,14 +493,12 @@ class Collection:
             state = self.state()
             if not state["segments"]:
                 return
-            n = frame.count()
-            if n == 0:
-                return
-            removal = self._note_removals(frame.select("id"), n, state)
+            extent = frame.agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+            removal = self._note_removals(frame.select("id"), extent, state)
             if removal is None:
                 return
             try:
-                self._commit_rows(state, None, n, removal, None)
+                self._commit_rows(state, None, extent, removal, None)
                 break
             except VersionConflict:
                 continue
@@ -518,7 +553,8 @@ class Collection:
         self._replace(state, old, new, {}, None, merged)
 
     def _entry(self, state: dict, name: str, seq: int) -> dict:
-        return {"name": name, "seq": seq, "n": self._count(f"{state['folder']}/items/seg={name}", "id string")}
+        extent = self._extent(f"{state['folder']}/items/seg={name}")
+        return {"name": name, "seq": seq, "n": extent.n, "lo": extent.lo, "hi": extent.hi}
 
     def _replace(self, state: dict, old: list[dict], new: list[dict], changes: dict, settled: int | None,
                  merged: dict | None = None, convert=None) -> None:
@@ -578,10 +614,12 @@ class Collection:
 
     def train(self, n_lists: int | None = None, batch_size: int = train.DEFAULT_BATCH_SIZE,
               max_iters: int = train.DEFAULT_MAX_ITERS, tolerance: float = train.DEFAULT_TOLERANCE,
-              max_memory: int = 0, seed: int = 17, sample_rows: int | None = None) -> None:
+              max_memory: int = 0, seed: int = 17, sample_rows: int | None = None,
+              initial: DataFrame | None = None) -> None:
         """Fit the lists (and codebooks), move every row to its list, calibrate the probe count.
 
         ``sample_rows`` bounds the rows that are fitted on; all of them by default.
+        ``initial`` (list_id, centroid) is where the fit of the lists starts.
         """
         state = self.state()
         rows = self._stored(state)
@@ -589,7 +627,8 @@ class Collection:
         if n == 0:
             raise ValueError("cannot train an empty collection")
         metric = state["metric"]
-        centroids = train.train_lists(rows, metric, n, n_lists, max_iters, tolerance, max_memory, seed, sample_rows, state["dimension"])
+        centroids = train.train_lists(rows, metric, n, n_lists, max_iters, tolerance, max_memory, seed, sample_rows, state["dimension"],
+                                      None if initial is None else train.centroid_array(initial))
         generation = uuid.uuid4().hex
         lists = self.spark.createDataFrame(
             [(i, row.tolist()) for i, row in enumerate(centroids)], "list_id int, centroid array<double>")
@@ -657,8 +696,13 @@ class Collection:
         include = [c for c in ("distance", "metadata", "vector", "contents") if c in include]
         include += ["is_text"] if "contents" in include else []
         payload = tuple(c for c in include if c != "distance")
-        hits = search.search(frame, rows, top_k, state["metric"], payload, scan, held, stored)
-        return self._open(search.only_included(hits, include), state)
+        hits = search.search(frame, rows, top_k, state["metric"], (), scan, held, stored)
+        if not payload:
+            return search.only_included(hits, include)
+        # written, so that the search runs once; the payload is fetched for the hits alone
+        path = scratch_path(self.spark, "hits")
+        hits.write.parquet(path)
+        return search.only_included(self.payload(self.spark.read.schema(hits.schema).parquet(path), payload), include)
 
     def _plan_probes(self, state, frame, rows, top_k, n_probes, greedy):
         n_lists, metric = state["n_lists"], state["metric"]

@@ -79,22 +79,16 @@ estimates AS (SELECT query_id, id, sqrt(t[1][cs[1]+1] + t[2][cs[2]+1] + t[3][cs[
 _TEXT = r"""
 texts AS (SELECT doc_id::VARCHAR AS key, 'd' AS kind, text FROM documents
   UNION ALL SELECT item_id::VARCHAR, 'q', text FROM benchmark),
-words AS (SELECT key, kind, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS i
-  FROM (SELECT key, kind, regexp_split_to_array(lower(text), '\s+') AS w FROM texts)),
-slots AS (SELECT key, kind, ((('0x' || substr(md5(w), 1, 8))::BIGINT) * 7) % 64 AS s, count(*) AS tf, sum(0.5 / (i + 1)) AS p
-  FROM words GROUP BY ALL),
-spread AS (SELECT key, kind, s AS pos, tf::DOUBLE AS x FROM slots
-  UNION ALL SELECT key, kind, s + 1, p FROM slots WHERE s + 1 < 64
-  UNION ALL SELECT key, kind, s + 2, 0.3 * tf FROM slots WHERE s + 2 < 64),
-lcg AS (WITH RECURSIVE r(j, a, c) AS (SELECT 0, 9301::BIGINT, 49297::BIGINT
-  UNION ALL SELECT j + 1, (a * 9301) % 233280, (c * 9301 + 49297) % 233280 FROM r WHERE j < 63) SELECT * FROM r),
-noise AS (SELECT key, kind, j AS pos, (((a * (('0x' || substr(md5(text), 1, 8))::BIGINT % 233280) + c) % 233280)
-  / 233280.0::DOUBLE - 0.5) * 0.2 AS x FROM texts, lcg),
-summed AS (SELECT key, kind, pos, sum(x) AS x FROM (SELECT * FROM spread UNION ALL SELECT * FROM noise) GROUP BY ALL),
+words AS (SELECT key, kind, ('0x' || substr(md5(w), 1, 8))::BIGINT AS h
+  FROM (SELECT key, kind, unnest(regexp_split_to_array(lower(text), '\s+')) AS w FROM texts)),
+slots AS (SELECT key, kind, h % 64 AS pos, sum(CASE WHEN h // 64 % 2 = 0 THEN 1 ELSE -1 END)::DOUBLE AS x FROM words GROUP BY ALL),
+summed AS (SELECT key, kind, pos, coalesce(x, 0.0) AS x FROM (SELECT key, kind, j AS pos FROM texts, range(64) t(j)) LEFT JOIN slots USING (key, kind, pos)),
 lengths AS (SELECT key, kind, sqrt(sum(x * x)) AS n FROM summed GROUP BY ALL),
-text_cells AS (SELECT key, kind, pos, round(x / n, 6) AS x FROM summed JOIN lengths USING (key, kind)),
+text_cells AS (SELECT key, kind, pos, CASE WHEN n > 0 THEN round(x / n, 6) ELSE 0.0 END AS x FROM summed JOIN lengths USING (key, kind)),
 vectors AS (SELECT key, kind, list(x ORDER BY pos) AS v FROM text_cells GROUP BY ALL),
-text_pairs AS (SELECT q.key::BIGINT AS query_id, d.key AS id, list_cosine_distance(q.v, d.v) AS distance, lang
+text_pairs AS (SELECT q.key::BIGINT AS query_id, d.key AS id,
+  CASE WHEN list_sum(list_transform(d.v, lambda x: abs(x))) = 0 OR list_sum(list_transform(q.v, lambda x: abs(x))) = 0 THEN 1.0
+    ELSE list_cosine_distance(q.v, d.v) END AS distance, lang
   FROM vectors q, vectors d JOIN documents ON doc_id = d.key::BIGINT WHERE q.kind = 'q' AND d.kind = 'd')"""
 
 _BATCH = """

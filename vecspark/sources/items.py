@@ -45,11 +45,17 @@ def item_rows(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                      is_text.alias("is_text"), metadata.alias("metadata"), *keep)
 
 
-def from_arrays(df: DataFrame, ids: str = "ids", vectors: str = "vectors") -> DataFrame:
-    """Parallel arrays per row to item rows; the job fails when their lengths differ."""
+def length_error(ids: str, vectors: str) -> Column:
+    """What is wrong with a pair of parallel arrays; null when their lengths agree."""
     message = F.concat(F.lit("array length mismatch: "), F.size(ids).cast("string"), F.lit(" ids but "),
                        F.size(vectors).cast("string"), F.lit(" vectors"))
-    checked = F.when(F.size(ids) != F.size(vectors), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return F.when(F.size(ids) != F.size(vectors), message)
+
+
+def from_arrays(df: DataFrame, ids: str = "ids", vectors: str = "vectors") -> DataFrame:
+    """Parallel arrays per row to item rows; the job fails when their lengths differ."""
+    error = length_error(ids, vectors)
+    checked = F.when(error.isNotNull(), F.raise_error(error).cast("boolean")).otherwise(F.lit(True))
     pairs = F.arrays_zip(F.col(ids).alias("id"), F.col(vectors).alias("vector"))
     return item_rows(df.where(checked).select(F.inline(pairs).alias("id", "vector")))
 
