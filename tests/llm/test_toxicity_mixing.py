@@ -61,8 +61,8 @@ def test_every_source_is_less_than_one_block_off(spark, sizes, weights, frame):
         assert r.release <= r.slot < r.deadline and r.start // 10 == r.block
         assert slots.setdefault(r.slot, (r.source, r.block)) == (r.source, r.block)
         last[r.source] = max(last[r.source], r.slot)
-    frame_row = {t.task: (t.share, t.slots) for t in mixing.frame_slots(mixing.shares(
-        docs.groupBy(mixing._group(F.col("source")).alias("task")).agg(F.sum(F.length("text")).alias("size")), frame, given)).collect()}
+    units = mixing.units_of(docs.groupBy(mixing._group(F.col("source")).alias("task")).agg(F.sum(F.length("text")).alias("size")), given)
+    frame_row = {t.task: (t.share, t.slots) for t in mixing.frame_slots(mixing.shares(units.withColumn("lane", F.lit("")), frame)).collect()}
     share = {s: Fraction(*frame_row["null" if s is None else "=" + s]) for s in sizes}
     assert sum(share.values()) == 1
     count = defaultdict(int)
@@ -73,6 +73,28 @@ def test_every_source_is_less_than_one_block_off(spark, sizes, weights, frame):
             assert abs(count[source] - part * (slot + 1)) < 1 or slot not in slots
 
 
+@pytest.mark.parametrize("most, groups, slack", [(2000, 1, 1), (100, 16, 2)])
+def test_a_thousand_weighted_sources(spark, most, groups, slack):
+    """Each keeps its own weight: less than a block off in its lane, and its part of a group's block beyond."""
+    docs = spark.range(1000).select(F.concat(F.lit("s"), "id").alias("source"), F.when(F.col("id") < 20, 200).otherwise(6).alias("n"))
+    docs = docs.select("source", F.explode(F.sequence(F.lit(1), "n")).alias("i")).select(
+        F.monotonically_increasing_id().alias("doc_id"), F.lit("x" * 10).alias("text"), "source")
+    weights = spark.range(1000).select(F.concat(F.lit("s"), "id").alias("source"), F.when(F.col("id") == 19, 500.0).when(F.col("id") < 19, 50.0).otherwise(1.0).alias("weight"))
+    rows = mixing.schedule(docs, weights=weights, block_chars=10, frame=1000, most=most, groups=groups).select("row.source", "block", "release", "deadline", "slot").collect()
+    assert len(rows) == 20 * 200 + 980 * 6 and len({r.slot for r in rows}) == len(rows)
+    assert all(r.release <= r.slot < r.deadline for r in rows)
+    total = 500 + 19 * 50 + 980
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.source].append(r.slot)
+    ends = min(max(s) for s in slots.values())
+    for source, own in slots.items():
+        weight = 500 if source == "s19" else 50 if int(source[1:]) < 19 else 1
+        got = sum(s <= ends for s in own)
+        # shares are whole slots of a frame of 16 for each member
+        assert abs(got - weight / total * (ends + 1)) < slack + ends / 16000 + 0.02 * got, source
+
+
 def test_layout_keeps_every_row(spark, odd_docs, no_docs, tmp_path):
     out = str(tmp_path / "mix")
     mixing.mixed(odd_docs, block_chars=50, most=1).write.parquet(out)
