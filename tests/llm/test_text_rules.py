@@ -23,17 +23,57 @@ def test_language_accuracy_on_held_out_rows(spark):
 
 def test_language_of_odd_rows(odd_docs, no_docs):
     contents = langid.learn(odd_docs, F.lit(True))
-    assert list(contents) == ["en"]
+    assert [(r.place, r.lang) for r in contents.collect()] == [(0, "en")]
     found = langid.identify(odd_docs, contents).join(odd_docs.select("doc_id", "text"), "doc_id").distinct().collect()
     for row in found:
         lettered = any(map(str.isalpha, row.text or ""))
         assert row.lang_pred == ("en" if lettered else "und") and row.score == (1.0 if lettered else 0.0)
     nothing = langid.learn(no_docs, F.lit(True))
-    assert nothing == {}
+    assert nothing.count() == 0
     assert {r.lang_pred for r in langid.identify(odd_docs, nothing).collect()} == {"und"}
     assert langid.identify(no_docs, contents).count() == 0
 
 
+def test_five_hundred_languages(spark):
+    """Each is learned; groups of dictionaries give what all of them at once give."""
+    rng = random.Random(4)
+    words = [["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(20)] for _ in range(500)]
+    rows = [(3 * i + j, " ".join(rng.choice(w) for _ in range(60)), f"l{i:03d}") for i, w in enumerate(words) for j in range(3)]
+    docs = spark.createDataFrame([*rows, (9000, None, "l001"), (9001, "12 34", "l002")], "doc_id long, text string, lang string").repartition(4)
+    learned = langid.learn(docs, F.lit(True), dictionary_bytes=2048)
+    assert learned.count() == 500
+    found = [{r.doc_id: (r.lang_pred, round(r.score, 9), r.rejected) for r in langid.identify(docs, learned, group=g).collect()} for g in (1000, 128)]
+    assert found[0] == found[1] and len(found[0]) == len(rows) + 2
+    assert all(found[0][i][0] == lang for i, _, lang in rows)
+    assert found[1][9000] == found[1][9001] == ("und", 0.0, True)
+
+
+def test_one_id_on_a_third_of_the_rows(spark):
+    """Such rows teach as one: the other texts of the sample stay."""
+    rows = [(i, f"alpha beta gamma {i} " * 20, "x") for i in range(40)] + [(7, f"omega psi {i} " * 20, "x") for i in range(60)]
+    learned = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), sample_rows=40)
+    assert learned.first().content.count(b"alpha beta") > learned.first().content.count(b"omega psi")
+
+
+def test_smallest_size_against_brute_force(spark):
+    import zstandard
+
+    docs = queries.table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
+    learned = langid.learn(docs, queries.fold(4) != 2)
+    books = {r.lang: r.content for r in learned.orderBy("place").collect()}
+
+    def size(text, content):
+        book = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        codec = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=book, write_content_size=False, write_checksum=False, write_dict_id=False)
+        raw = langid.words_only(text)
+        return sum(len(codec.compress(raw[i:i + langid.BLOCK_BYTES])) for i in range(0, len(raw), langid.BLOCK_BYTES))
+
+    found = {r.doc_id: r.lang_pred for r in langid.identify(docs, learned).collect()}
+    for row in docs.where("doc_id % 7 = 0").collect():
+        sizes = {lang: size(row.text or "", content) for lang, content in books.items()}
+        assert found[row.doc_id] == (min(sizes, key=sizes.get) if any(map(str.isalpha, row.text or "")) else "und")
+
+
 def test_narrow_margin_is_rejected(spark):
     docs = spark.createDataFrame([(1, "alpha beta gamma delta " * 20, "x"), (2, "alpha beta gamma delta " * 20, "y")], "doc_id long, text string, lang string")
     rows = langid.identify(docs, langid.learn(docs, F.lit(True))).collect()

@@ -13,6 +13,8 @@ again, so a task pads nothing.
 Full windows of one tier are grouped into steps of equal tokens
 (``step_tokens``); only the last step of a tier in a task may hold less.
 
+Long texts are cut into windows like others, and ids of documents are held only
+until they are packed. Other columns are ignored under any name.
 Null texts are empty documents and hold ``end_id`` alone. Rows with one id are
 packed one by one. An empty table has no pieces.
 """
@@ -24,6 +26,7 @@ from bisect import bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,13 +98,16 @@ def pack_documents(
     step_tokens: int = STEP_TOKENS,
     buffer_tokens: int = BUFFER_TOKENS,
     with_ids: bool = False,
+    order: tuple = (),
 ) -> DataFrame:
     """One row per piece of a document.
 
     ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``: the
     piece ``[start, start + length)`` of the document's ids and its place in the
     sequence. ``context`` is the sequence's size, ``step_group`` its step,
-    ``ids`` (on request) the piece's ids.
+    ``ids`` (on request) the piece's ids. ``order`` (columns) is the order in
+    which documents are packed and sequences numbered; without it they are taken
+    as they are read.
     """
     if any(t < 1 or t & (t - 1) for t in tiers) or list(tiers) != sorted(set(tiers), reverse=True):
         raise ValueError("tiers must be different powers of two, largest first")
@@ -173,4 +179,18 @@ def pack_documents(
         if columns[0]:
             yield rows()
 
-    return docs.select("doc_id", "text", F.spark_partition_id().alias("_task")).mapInArrow(run, schema)
+    rows = docs.select("doc_id", "text", *[c.alias(f"_order{i}") for i, c in enumerate(order)])
+    if order:
+        places = [f"_order{i}" for i in range(len(order))]
+        rows = rows.repartitionByRange(*places).sortWithinPartitions(*places)
+    return rows.select("doc_id", "text", F.spark_partition_id().alias("_task")).mapInArrow(run, schema)
+
+
+def written_order(docs: DataFrame) -> tuple:
+    """File and row of each row of ``docs``, as a mixing job has written them; nothing for rows that are not read from files."""
+    place = (docs.metadataColumn("_metadata")["file_name"], docs.metadataColumn("_metadata")["row_index"])
+    try:
+        docs.select(*place).schema
+    except AnalysisException:
+        return ()
+    return place

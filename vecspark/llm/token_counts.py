@@ -1,14 +1,14 @@
 """Token counts of whole texts by two tiers of known pieces, without any shuffle.
 
-The first tier is a compact table of the most frequent pieces of a bounded
-sample of rows (``SAMPLE_ROWS``) with their token counts, at most
+The first tier is a compact table of the most frequent pieces of a sample of
+about ``SAMPLE_ROWS`` rows, which a hash picks from all files and Spark counts, with their token counts, at most
 ``FREQUENT_PIECES`` pieces of at most ``LONGEST`` characters, broadcast. Pieces
 it lacks are encoded by the library and remembered in the worker's cache. The
 sample only decides what is looked up fast, never a result.
 
 Null texts are empty: no bytes, no tokens, not over the limit. Rows are counted
 one by one, so copies, ties and rows with one id all stay. Only ``doc_id`` and
-``text`` are read.
+``text`` are read. Long texts are encoded whole, piece by piece.
 """
 
 from __future__ import annotations
@@ -25,35 +25,32 @@ from .arrow import slices, strings
 from .tokens import LONGEST, PIECES_DROPPED, PIECES_SPACED, UnitEncoder
 from .worker import forget, kept
 
-SAMPLE_ROWS, SAMPLE_TASKS = 2_000, 4
+SAMPLE_ROWS = 2_000
 FREQUENT_PIECES = 1 << 16
 LIMIT = 1024
 
 def frequent_pieces(docs: DataFrame, spaced: bool, rows: int = SAMPLE_ROWS, most: int = FREQUENT_PIECES) -> list[str]:
-    """The most frequent pieces of about ``rows`` documents, counted inside the few tasks that read them."""
-    pattern, each = PIECES_SPACED if spaced else PIECES_DROPPED, -(-rows // SAMPLE_TASKS)
+    """The most frequent pieces of about ``rows`` documents that a hash of text and id picks from all files."""
+    pattern = PIECES_SPACED if spaced else PIECES_DROPPED
+    each = max(1, docs.count() // max(rows, 1))
 
     def count(batches):
-        seen, left = Counter(), each
+        seen = Counter()
         for batch in batches:
-            for text in strings(batch.slice(0, left)):
-                seen.update(p for p in pattern.findall(text if spaced else text.lower()) if len(p) <= LONGEST)
+            for part in slices(batch):
+                for text in strings(part):
+                    seen.update(p for p in pattern.findall(text if spaced else text.lower()) if len(p) <= LONGEST)
                 if len(seen) > 8 * most:
-                    seen = Counter(dict(seen.most_common(4 * most)))
-            left -= min(left, batch.num_rows)
-            if not left:
-                break
-        if seen:
-            top = seen.most_common(most)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([[p for p, _ in top]], pa.list_(pa.string())), pa.array([[n for _, n in top]], pa.list_(pa.int64()))],
-                names=["pieces", "counts"])
-
-    found = docs.select("text").where(F.length("text") > 0).mapInArrow(count, "pieces array<string>, counts array<long>")
-    seen = Counter()
-    for row in found.limit(SAMPLE_TASKS).collect():
-        seen.update(dict(zip(row.pieces, row.counts)))
-    return [p for p, _ in seen.most_common(most)]
+                    yield counted(seen)
+                    seen.clear()
+        yield counted(seen)
+
+    def counted(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["piece", "n"])
+
+    picked = docs.where(F.length("text") > 0).where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(each)) == 0)
+    found = picked.select("text").mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    return [r.piece for r in found.orderBy(F.desc("n"), "piece").limit(most).select("piece").collect()]
 
 
 def count_tokens(

@@ -169,7 +169,10 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, prior: float | No
                 lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(marks.astype(np.uint32).view(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(1), lists], names=["positive", "marks"])
 
-    sampled = docs.where(F.length("text") > 0).join(F.broadcast(chosen), "doc_id").select("text", "positive")
+    found = docs.where(F.length("text") > 0).join(F.broadcast(chosen), "doc_id")
+    # one row for each id and side, however often it comes: the bound is of rows
+    shown = F.struct(F.xxhash64("text").alias("hash"), "text")
+    sampled = found.groupBy("doc_id", "positive").agg(F.min(shown).alias("t")).select("t.text", "positive")
     table = sampled.mapInArrow(extract, "positive boolean, marks array<int>").toArrow()
     sides: dict[bool, dict] = {True: {}, False: {}}
     marks = table.column("marks").combine_chunks()
