@@ -2,8 +2,13 @@
 
 Toxic documents go, one document of each near-duplicate group stays, personal
 data is replaced by its kind, sources are laid out in the order of their mix,
-and the result is packed into sequences. All but the last stage return the
-columns of ``documents``.
+and the result is packed into sequences in that order. All but the last stage
+return the columns of ``documents``.
+
+Null and empty texts pass every stage, each repeated row is a row, and null ids
+are documents like others; only copies of a text go, down to one. Further
+columns are carried along under any name up to packing. A table without rows
+gives none.
 """
 
 from __future__ import annotations
@@ -15,6 +20,8 @@ from pyspark.sql import functions as F
 from vecspark.llm import mixing, near_dedup, packing, pii, toxicity
 from vecspark.plans.workspace import scratch_path
 
+MIX_TOKENS = 1 << 15      # that a packing task holds before it closes windows
+
 
 def _columns(rows: DataFrame, docs: DataFrame, **changed) -> DataFrame:
     """The columns of ``docs`` from ``text`` and the struct ``row``."""
@@ -46,8 +53,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences; a task packs a stretch of the mix."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces of sequences, numbered in the order of the mix, which files and rows hold; a task packs a stretch of it.
+
+    Documents change places within ``MIX_TOKENS`` tokens at most.
+    """
+    return packing.pack_documents(
+        docs, public_tokenizers.path("word_bpe_49k.json"), order=packing.written_order(docs), buffer_tokens=MIX_TOKENS)
 
 
 STAGES = [
