@@ -57,7 +57,8 @@ def learn(docs: DataFrame, allowed: Column, dictionary_bytes: int = DICTIONARY_B
     known = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & allowed)
     counts = known.groupBy("lang").agg(F.count("*").alias("count"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").distinct()
+    # written first, so that the window's limit runs before rows are dealt by language
+    ids = kept_table(known.select("doc_id", "lang").distinct(), "language-ids")
     chosen = ids.withColumn("order", F.row_number().over(order)).where(F.col("order") <= sample_rows)
     length = F.length("text")
     texts = known.select("doc_id", "lang", "text").where(length > 0).join(bounded(chosen), ["doc_id", "lang"])
