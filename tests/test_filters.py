@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from vecspark.functions.filters import compile_filter, promote, pushed_filter
+from vecspark.functions.filters import compile_filter, compile_filters, promote, pushed_filter
 
 ROWS = [
     {"number": 0, "lang": "en", "tags": ["a", "b"], "owner": {"name": "x", "pets": 2}, "flag": True},
@@ -54,6 +54,16 @@ CASES = [
     ({"$or": [{"number": 1}, {"tags": 1}]}, {1, 2}),
     ({"$nor": [{"number": 1}, {"tags": 1}]}, {0, 3, 4, 5, 6}),
     ({"lang": "en", "number": 0}, {0}),
+    ({"tags": {"$all": ["a"]}}, {0}),
+    ({"tags": {"$all": ["a", "b", "c"]}}, set()),
+    ({"lang": {"$all": ["en", "de"]}}, {3}),
+    ({"tags": {"$all": [1, 2.5]}}, {2}),
+    ({"lang": {"$all": [None]}}, {2, 4, 5, 6}),
+    ({"tags": {"$all": []}}, set()),
+    ({"number": {"$gt": float("-inf"), "$lt": float("inf")}}, {0, 1, 3, 5}),
+    ({"number": {"$gte": -1, "$nin": [1, -1]}}, {0, 3, 5}),
+    ({"lang": {"$in": ["' OR true --", "\\'", "x -> r.p0", "\n", ""]}}, set()),
+    ({"lang": {"$in": [f"w{i}" for i in range(3000)] + ["fr"]}}, {1}),
 ]
 
 
@@ -81,3 +91,20 @@ def test_pushed_part_keeps_every_match(rows, filters, expected):
     promoted = {"number": (F.col("p0"), "bigint"), "lang": (F.col("p1"), "string")}
     kept = {r["n"] for r in typed.where(pushed_filter(filters, promoted)).collect()}
     assert kept >= expected
+
+
+def test_values_with_quotes_and_controls(spark):
+    odd = ["'", '"', "\\", "\\'", "a\nb", "é\u2028", "${x}", "", "' OR '1'='1"]
+    rows = spark.createDataFrame([(i, json.dumps({"v": v, v or "empty": 1})) for i, v in enumerate(odd)], "n int, j string").select("n", F.parse_json("j").alias("m"))
+    for i, v in enumerate(odd):
+        assert [r.n for r in rows.where(compile_filter({"v": v}, F.col("m"))).collect()] == [i]
+
+
+def test_many_filters_at_once(rows):
+    """One array gives what each filter alone gives, and reads each facet of a path once."""
+    filters = [c[0] for c in CASES]
+    got = rows.select("n", compile_filters(filters, F.col("m")).alias("met"))
+    for row in got.collect():
+        assert [row.n in expected for _, expected in CASES] == row.met
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("['number'], StringType") <= 1 and plan.count("['number'], DoubleType") <= 1

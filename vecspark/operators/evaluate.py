@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.filters import compile_filter
+from ..functions.filters import compile_filters
 
 MAX_HITS_PER_QUERY = 100
 SHAPES_DIFFER = "the shapes of the neighbors and results do not match"
@@ -82,8 +82,8 @@ def filtered_summary(df: DataFrame) -> DataFrame:
 def candidate_counts(items: DataFrame, filters: dict[str, dict], metadata: str = "metadata") -> DataFrame:
     """``(filter_name, n_match, n_total)`` for all filters in one pass."""
     names = list(filters)
-    counts = [F.count_if(compile_filter(filters[n], F.col(metadata))).alias(f"c{i}") for i, n in enumerate(names)]
-    row = items.agg(F.count("*").alias("n_total"), *counts)
+    met = items.select(compile_filters([filters[n] for n in names], F.col(metadata)).alias("met"))
+    row = met.agg(F.count("*").alias("n_total"), *[F.count_if(F.col("met")[i]).alias(f"c{i}") for i in range(len(names))])
     pairs = F.array(*[F.struct(F.lit(n).alias("filter_name"), F.col(f"c{i}").alias("n_match"))
                       for i, n in enumerate(names)])
     return row.select(F.inline(pairs), "n_total")

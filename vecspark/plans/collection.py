@@ -273,12 +273,10 @@ class Collection:
         rows = rows.where(pushed_filter(filters, promoted))
         if not state["sealed"]:
             return rows.where(compile_filter(filters, F.col("metadata")))
-        # the one-element array binds the opened metadata once per row, however often the filter uses it
         key = protect.key_column(self.spark, self._key)
         opened = F.parse_json(protect.unseal(F.col("metadata"), key, F.col("id")).cast("string"))
-        kept = rows.withColumn("_opened", opened).where(
-            F.exists(F.array("_opened"), lambda m: compile_filter(filters, m)))
-        return kept.drop("_opened")
+        # a column of its own: the key is a subquery, which a lambda cannot hold
+        return rows.withColumn("_opened", opened).where(compile_filter(filters, F.col("_opened"))).drop("_opened")
 
     def items(self, filters: dict | None = None) -> DataFrame:
         """Live rows ``(id, vector, contents, is_text, metadata)``."""
