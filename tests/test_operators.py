@@ -229,3 +229,26 @@ def test_codebooks_shrink_the_error(spark):
     assert np.array_equal(pq.codebook_array(pq.codebook_frame(spark, books)), books)
     with pytest.raises(ValueError):
         pq.check_pq(64, 7, 8)
+
+
+def test_codes_without_rows_split_the_greatest_error(spark):
+    """Copies of one row leave a single code to start from; splits reach every different row."""
+    rng = np.random.default_rng(1)
+    centers = rng.normal(size=(16, 4)) * 10
+    data = [(f"c{i:04d}", [0.0, 0.0, 0.0, 0.0]) for i in range(300)]
+    data += [(f"r{i}", (centers[i % 16] + 0.001 * rng.normal(size=4)).tolist()) for i in range(160)]
+    df = spark.createDataFrame(data, "id string, vector array<double>")
+    start = np.zeros((2, 16, 2))
+    books = pq.train_codebooks(df, "euclidean", len(data), 4, 2, 4, rounds=40, initial=start)
+    errors = pq.codebook_errors(df, books, "euclidean").toPandas()
+    assert errors.groupby("sub")["code"].nunique().tolist() == [16, 16]
+    assert errors.groupby("sub")["n"].sum().tolist() == [460, 460]
+    rows = np.array([v for _, v in data]).reshape(-1, 2, 2)
+    for s in range(2):
+        exact = ((rows[:, s][:, None] - books[s][None]) ** 2).sum(axis=2).min(axis=1).sum()
+        assert abs(errors[errors["sub"] == s]["error"].sum() - exact) < 1e-6
+    one = pq.train_codebooks(df.limit(0), "euclidean", 0, 4, 2, 4)
+    assert one.shape == (2, 0, 2)
+    few = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [1.0, 2.0]), ("c", [3.0, 4.0])], "id string, vector array<double>")
+    books = pq.train_codebooks(few, "euclidean", 3, 2, 1, 2)
+    assert pq.codebook_errors(few, books, "euclidean").agg(F.count("*").alias("codes"), F.sum("error").alias("e")).first().asDict() == {"codes": 2, "e": 0.0}

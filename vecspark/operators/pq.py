@@ -42,11 +42,14 @@ def train_codebooks(
     tolerance: float = DEFAULT_TOLERANCE,
     seed: int = 17,
     sample_rows: int | None = None,
+    initial: np.ndarray | None = None,
 ) -> np.ndarray:
     """Codebooks of shape (pq_dim, codes, dimension / pq_dim), fitted on all rows or on ``sample_rows`` of them.
 
-    All sub-spaces are fitted together, one job per Lloyd round, from the first
-    different rows by hash.
+    All sub-spaces are fitted together, one job per Lloyd round, from ``initial``
+    codebooks or the first different rows by hash. A code that no row has takes
+    half of the code of greatest error in its sub-space, so that as many codes
+    are in use as there are different rows, if the rounds suffice.
     """
     check_pq(dimension, pq_dim, pq_bits)
     codes, width = 1 << pq_bits, dimension // pq_dim
@@ -54,49 +57,96 @@ def train_codebooks(
     if sample_rows is not None:
         rows = rows.persist()      # bounded; whole tables are read again in every round
     try:
-        start = rows.orderBy(F.xxhash64("id", F.lit(seed))).limit(START_FACTOR * codes).select("vector").toArrow()
-        x = _prepared(matrix(start.column(0), dimension), metric)
-        x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])[:codes]]
-        books = x.reshape(len(x), pq_dim, width).transpose(1, 0, 2).copy()
-        for _ in range(rounds):
-            moved = _lloyd_round(rows, books, metric)
-            shift = float(np.max(np.sum((moved - books) ** 2, axis=2))) if len(x) else 0.0
+        books = _first_books(rows, metric, pq_dim, codes, width, seed) if initial is None else initial.astype(np.float64)
+        for _ in range(rounds if books.shape[1] else 0):
+            moved, split = _lloyd_round(rows, books, metric)
+            shift = float(np.max(np.sum((moved - books) ** 2, axis=2)))
             books = moved
-            if shift <= tolerance ** 2:
+            if shift <= tolerance ** 2 and not split:
                 break
         return books
     finally:
         rows.unpersist()
 
 
-def _lloyd_round(rows: DataFrame, books: np.ndarray, metric: str) -> np.ndarray:
+def _first_books(rows: DataFrame, metric: str, pq_dim: int, codes: int, width: int, seed: int) -> np.ndarray:
+    """The first different rows by hash; the last one again where they are too few, to be moved by splits."""
+    start = rows.orderBy(F.xxhash64("id", F.lit(seed))).limit(START_FACTOR * codes).select("vector").toArrow()
+    x = _prepared(matrix(start.column(0), pq_dim * width), metric)
+    x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])[:codes]]
+    if 0 < len(x) < codes:
+        x = np.concatenate([x, np.repeat(x[-1:], codes - len(x), axis=0)])
+    return x.reshape(len(x), pq_dim, width).transpose(1, 0, 2).copy()
+
+
+def _code_sums(rows: DataFrame, books: np.ndarray, metric: str) -> DataFrame:
+    """``(sub, code, n, off, square)`` of every task: rows of a code, and per dimension the sums of their
+    differences from its centre and of the squares of these."""
     pq_dim, codes, width = books.shape
     shared = rows.sparkSession.sparkContext.broadcast(books)
 
     def partial(batches):
         book = shared.value
-        total, count = np.zeros(book.shape), np.zeros(book.shape[:2])
+        off, square, count = np.zeros(book.shape), np.zeros(book.shape), np.zeros(book.shape[:2])
         for batch in batches:
             x = _prepared(matrix(batch.column(0), pq_dim * width), metric).reshape(-1, pq_dim, width)
             for s in range(pq_dim):
                 near = np.einsum("ij,ij->i", book[s], book[s])[None, :] - 2.0 * (x[:, s] @ book[s].T)
                 code = near.argmin(axis=1)
                 count[s] += np.bincount(code, minlength=codes)
+                gap = x[:, s] - book[s][code]
                 for j in range(width):
-                    total[s, :, j] += np.bincount(code, weights=x[:, s, j], minlength=codes)
+                    off[s, :, j] += np.bincount(code, weights=gap[:, j], minlength=codes)
+                    square[s, :, j] += np.bincount(code, weights=gap[:, j] ** 2, minlength=codes)
         s, c = np.nonzero(count)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(s.astype(np.int32)), pa.array(c.astype(np.int32)), pa.array(count[s, c]),
-             pa.array(list(total[s, c]), pa.list_(pa.float64()))], names=["sub", "code", "n", "total"])
-
-    sums = rows.select("vector").mapInArrow(partial, "sub int, code int, n double, total array<double>")
-    cells = sums.select("sub", "code", "n", F.posexplode("total").alias("pos", "x"))
-    means = cells.groupBy("sub", "code", "pos").agg((F.sum("x") / F.sum("n")).alias("x"))
-    moved = books.copy()
-    table = means.toArrow()      # at most dimension x codes cells
+            [pa.array(s.astype(np.int32)), pa.array(c.astype(np.int32)), pa.array(count[s, c].astype(np.int64)),
+             pa.array(list(off[s, c]), pa.list_(pa.float64())), pa.array(list(square[s, c]), pa.list_(pa.float64()))],
+            names=["sub", "code", "n", "off", "square"])
+
+    return rows.select("vector").mapInArrow(partial, "sub int, code int, n long, off array<double>, square array<double>")
+
+
+def _lloyd_round(rows: DataFrame, books: np.ndarray, metric: str) -> tuple[np.ndarray, bool]:
+    """The books moved to the means of their rows, and whether a code without rows was placed anew."""
+    cells = _code_sums(rows, books, metric).select(
+        "sub", "code", "n", F.posexplode(F.arrays_zip("off", "square")).alias("pos", "at"))
+    table = cells.groupBy("sub", "code", "pos").agg(
+        F.sum("n").alias("n"), F.sum("at.off").alias("off"), F.sum("at.square").alias("square")).toArrow()   # at most dimension x codes cells
     at = tuple(table.column(c).to_numpy() for c in ("sub", "code", "pos"))
-    moved[at] = table.column("x").to_numpy()
-    return moved
+    count, off, square = np.zeros(books.shape), np.zeros(books.shape), np.zeros(books.shape)
+    for sums, name in ((count, "n"), (off, "off"), (square, "square")):
+        sums[at] = table.column(name).to_numpy()
+    held = np.maximum(count, 1)
+    moved = books + off / held
+    spread = np.maximum(square - off ** 2 / held, 0.0)      # squared error about the mean, by dimension
+    done = [_split_codes(moved[s], count[s, :, 0], spread[s]) for s in range(len(books))]
+    return moved, any(done)
+
+
+def _split_codes(book: np.ndarray, count: np.ndarray, spread: np.ndarray) -> bool:
+    """Place each code without rows beside a code of great error, one deviation to either side along its widest dimension.
+
+    A code is split once a round, ties by number; codes whose rows are all alike are not.
+    """
+    error = spread.sum(axis=1)
+    empty = np.nonzero(count == 0)[0]
+    scale = np.finfo(np.float64).eps * np.maximum(count, 1) * np.maximum((book ** 2).sum(axis=1), 1.0)
+    givers = [c for c in np.argsort(-error, kind="stable") if count[c] > 1 and error[c] > 64 * scale[c]][:len(empty)]
+    for code, giver in zip(empty, givers):
+        wide = int(spread[giver].argmax())
+        step = np.sqrt(spread[giver, wide] / count[giver])
+        book[code] = book[giver]
+        book[code, wide] += step
+        book[giver, wide] -= step
+    return len(givers) > 0
+
+
+def codebook_errors(rows: DataFrame, books: np.ndarray, metric: str) -> DataFrame:
+    """``(sub, code, n, error)``: rows of each code in use and their summed squared distance from its centre."""
+    sums = _code_sums(training_rows(rows, metric, 0, None, 0), books, metric)
+    return sums.groupBy("sub", "code").agg(
+        F.sum("n").alias("n"), F.sum(F.aggregate("square", F.lit(0.0), lambda total, x: total + x)).alias("error"))
 
 
 def pq_codes(items: DataFrame, books: np.ndarray, metric: str) -> Column:

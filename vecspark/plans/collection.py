@@ -613,11 +613,12 @@ class Collection:
     def train(self, n_lists: int | None = None, batch_size: int = train.DEFAULT_BATCH_SIZE,
               max_iters: int = train.DEFAULT_MAX_ITERS, tolerance: float = train.DEFAULT_TOLERANCE,
               max_memory: int = 0, seed: int = 17, sample_rows: int | None = None,
-              initial: DataFrame | None = None) -> None:
+              initial: DataFrame | None = None, initial_codes: DataFrame | None = None) -> None:
         """Fit the lists (and codebooks), move every row to its list, calibrate the probe count.
 
         ``sample_rows`` bounds the rows that are fitted on; all of them by default.
-        ``initial`` (list_id, centroid) is where the fit of the lists starts.
+        ``initial`` (list_id, centroid) is where the fit of the lists starts, and
+        ``initial_codes`` (sub, code, centroid) that of the codes.
         """
         state = self.state()
         rows = self._stored(state)
@@ -634,8 +635,11 @@ class Collection:
         books = None
         if state["index_type"] == "ivfpq":
             books = pq.train_codebooks(rows, metric, n, state["dimension"], state["pq_dim"], state["pq_bits"],
-                                       max_iters, tolerance, seed, sample_rows)
-            pq.codebook_frame(self.spark, books).write.parquet(f"{state['folder']}/codebooks/{generation}")
+                                       max_iters, tolerance, seed, sample_rows,
+                                       None if initial_codes is None else pq.codebook_array(initial_codes))
+            errors = pq.codebook_errors(rows, books, metric)      # kept beside the codes
+            pq.codebook_frame(self.spark, books).join(errors, ["sub", "code"], "left").fillna(0, ["n", "error"]) \
+                .write.parquet(f"{state['folder']}/codebooks/{generation}")
         changes = {
             "is_trained": True, "n_at_train": n, "n_lists": len(centroids), "centroids": generation,
             "codebooks": generation if books is not None else None,
@@ -662,6 +666,12 @@ class Collection:
     def _centroids(self, state: dict):
         return train.centroid_array(self.spark.read.parquet(f"{state['folder']}/centroids/{state['centroids']}"))
 
+    def codebook_errors(self) -> DataFrame:
+        """``(sub, n, error)`` of the trained codes: rows fitted and their summed squared error in each sub-space."""
+        state = self.state()
+        codes = self.spark.read.parquet(f"{state['folder']}/codebooks/{state['codebooks']}")
+        return codes.groupBy("sub").agg(F.sum("n").alias("n"), F.sum("error").alias("error"))
+
     def _codebooks(self, state: dict):
         return pq.codebook_array(self.spark.read.parquet(f"{state['folder']}/codebooks/{state['codebooks']}"))
 

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from ..functions import distance, embed
 from ..functions.filters import compile_filter
-from ..operators import evaluate, search, spread, train
+from ..operators import evaluate, pq, search, spread, train
 from ..sources import items as item_source
 from . import oracle
 from .collection import VectorStore, normalize_config
 from .text_store import TextStore
-from .workload import (DIGITS, FILTERS, K, KEY, PQ_DIM, TEXT_DIM, _assigned, _collection, _label_means, _lists, _read, _rounded, document_rows,
+from .workload import (DIGITS, FILTERS, K, KEY, PQ_DIM, TEXT_DIM, _assigned, _books, _collection, _label_means, _lists, _read, _rounded, document_rows,
                        embedding_items, embedding_queries, tagged_items)
 from .workspace import scratch_path
 
@@ -209,6 +209,14 @@ def train_cost(spark, sf):
         F.col("vector"), F.col("centroid"))).alias("cost")), "cost")
 
 
+def pq_train_error(spark, sf):
+    """Rows and squared error of every sub-space that a collection keeps, after rounds from the label means."""
+    collection = _collection(spark, sf, kind="ivfpq")
+    books = _books(spark, sf)
+    collection.train(initial=_label_means(spark, sf), initial_codes=pq.codebook_frame(spark, books), max_iters=ROUNDS, tolerance=0.0)
+    return _rounded(collection.codebook_errors(), "error")
+
+
 def collection_recall(spark, sf):
     """Recall of a trained collection by the number of probed lists, with and without a filter."""
     collection, queries = _trained(spark, sf), embedding_queries(spark, sf)
@@ -245,7 +253,7 @@ def store_mmr_ids(spark, sf):
 def registry() -> dict:
     return {f.__name__: f for f in (
         knn_many, ivf_many, fixture_source, from_texts, generated_ids, arrays_mismatch, absent_fields, null_fields, bad_config, config_spellings,
-        wrong_key, get_include, get_documents, delete_documents, retrain_rule, train_cost, collection_recall, auto_probes, store_mmr_ids)}
+        wrong_key, get_include, get_documents, delete_documents, retrain_rule, train_cost, pq_train_error, collection_recall, auto_probes, store_mmr_ids)}
 
 
 _LABELS = "SELECT vec_id::VARCHAR AS id, label FROM embeddings"
@@ -264,6 +272,17 @@ def _rounds() -> str:
     return ", ".join(parts)
 
 
+def _code_rounds() -> str:
+    """Lloyd rounds in every sub-space from the parts of the label means, and the codes of the last books."""
+    parts = [f"""{oracle._PQ.split("codes AS (")[0]} books0 AS (SELECT sub, code, b FROM books)"""]
+    for n in range(ROUNDS + 1):
+        parts.append(f"""codes{n} AS (SELECT id, sub, arg_min(code, (list_distance(p, b), code)) AS code FROM parts JOIN books{n} USING (sub) GROUP BY id, sub)""")
+        if n < ROUNDS:
+            parts.append(f"""code_cells{n} AS (SELECT sub, code, generate_subscripts(p, 1) AS pos, unnest(p) AS x FROM parts JOIN codes{n} USING (id, sub)),
+                books{n + 1} AS (SELECT sub, code, list(x ORDER BY pos) AS b FROM (SELECT sub, code, pos, avg(x) AS x FROM code_cells{n} GROUP BY ALL) GROUP BY sub, code)""")
+    return ", ".join(parts)
+
+
 def _recall() -> str:
     rows = []
     for name in ("all", "in", "or"):
@@ -312,6 +331,8 @@ def statements() -> dict[str, str]:
             SELECT step::INTEGER AS step, n_at_train IS NOT NULL AS is_trained, n_at_train FROM r WHERE step >= 0""",
         "train_cost": f"""WITH {_rounds()} SELECT list_id::INTEGER AS list_id, count(*) AS n, round(sum(list_distance(v, c) * list_distance(v, c)), 6) AS cost
             FROM assigned{ROUNDS} JOIN items USING (id) JOIN means{ROUNDS} USING (list_id) GROUP BY list_id""",
+        "pq_train_error": f"""{_code_rounds()} SELECT sub::INTEGER AS sub, count(*) AS n, round(sum(list_distance(p, b) * list_distance(p, b)), 6) AS error
+            FROM parts JOIN codes{ROUNDS} USING (id, sub) JOIN books{ROUNDS} USING (sub, code) GROUP BY sub""",
         "collection_recall": _recall(),
         "auto_probes": f"""WITH {_rounds()}, list_rank AS (SELECT query_id, list_id, row_number() OVER (PARTITION BY query_id ORDER BY list_distance(qv, c), list_id) AS n
               FROM queries, means{ROUNDS}), hits AS ({oracle._knn('euclidean', 21)}),

@@ -208,7 +208,8 @@ def statements() -> dict[str, str]:
             per_count AS (SELECT n_probes, count(*) AS found FROM near GROUP BY n_probes)
             SELECT n_probes::INTEGER AS n_probes, round((sum(found) OVER (ORDER BY n_probes))::DOUBLE
               / (sum(found) OVER ())::DOUBLE, 6) AS recall FROM per_count""",
-        "pq_train": "SELECT s::INTEGER AS sub, count(*) AS n_rows, true AS codes_used FROM embeddings, range(8) t(s) GROUP BY s",
+        "pq_train": """SELECT s::INTEGER AS sub, count(*) AS n_rows, least(16, count(DISTINCT list_slice(embedding, s * 8 + 1, s * 8 + 8))) AS n_codes
+            FROM embeddings, range(8) t(s) GROUP BY s""",
         "text_embed_function": """SELECT doc_id::VARCHAR AS id, length(text)::DOUBLE AS x0,
             (length(text) - length(replace(text, 'e', '')))::DOUBLE AS x1,
             (length(text) - length(replace(text, ' ', '')))::DOUBLE AS x2 FROM documents""",

@@ -315,12 +315,12 @@ def pq_search(rerank: int | None):
 
 
 def pq_train(spark, sf):
+    """Codes in use after training: all of them, as far as there are different rows."""
     items = embedding_items(spark, sf)
     books = pq.train_codebooks(items, distance.EUCLIDEAN, items.count(), 64, PQ_DIM, 4)
     coded = pq.pq_encode(items, books, distance.EUCLIDEAN)
-    used = coded.select(F.posexplode("codes").alias("sub", "code")).groupBy("sub").agg(
+    return coded.select(F.posexplode("codes").alias("sub", "code")).groupBy("sub").agg(
         F.count("*").alias("n_rows"), F.count_distinct("code").alias("n_codes"))
-    return used.select("sub", "n_rows", F.col("n_codes").between(2, 16).alias("codes_used"))
 
 
 # -- evaluation -----------------------------------------------------------------------
