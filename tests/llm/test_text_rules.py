@@ -113,6 +113,32 @@ def test_quality_lines(spark, no_docs):
     assert quality.judge(no_docs).count() == 0
 
 
+def test_prose_about_a_topic_is_no_boilerplate(spark):
+    texts = ["She baked a chocolate cookie for each of the nine guests.\nThe cookie was still warm when they came in from the cold garden.\n"
+             "Nobody could say which cookie had been the best of them all.",
+             "The new catalog in the hall names every book.\nWe could sign up for the course that begins in spring, and my sister wanted to read more about it before she paid."]
+    rows = quality.judge(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(r.kept and r.kept_share == 1.0 for r in rows)
+
+
+def test_lines_that_the_table_repeats(spark):
+    """A footer under texts of many shapes goes; the lines of a large group of near copies stay."""
+    def prose(i, n):
+        return [f"word{i} stands in row {j} of text number {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'abcdefghijklmnop'[j]} here" for j in range(n)]
+
+    footer = "Our shop sends parcels to all of the islands, 24 hours a day"
+    rows = [(i, "\n".join([*prose(i, 3 + i % 14), footer.replace("24", str(i))])) for i in range(60)]
+    rows += [(100 + i, "\n".join([f"copy {'abcdefghijklmnopqrstuvwxyz'[i % 26]}{'abcdefghijklmnopqrstuvwxyz'[i // 26]} differs in this line alone from others",
+                                   *["the same sentence stands in every copy and says " + w for w in ("one", "two", "three")]])) for i in range(300)]
+    rows += [(500, None), (501, ""), (502, "\n\n12 34\n"), (503, footer)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert all("islands" not in found[i].cleaned and found[i].kept for i in range(60))
+    assert all(found[100 + i].kept_share == 1.0 and found[100 + i].kept for i in range(300))
+    assert not found[503].kept and found[503].cleaned == ""
+    assert len(quality.common_lines(docs)) == 1
+
+
 def spans_by_hand(text):
     found = []
     for number, (kind, pattern) in enumerate(BASE.items()):

@@ -32,16 +32,23 @@ r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_i
 p AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM r, (SELECT unnest(range(0, 5)) AS o) GROUP BY doc_id),
 l AS (
   SELECT doc_id, unnest(lines) AS line FROM f),
+g AS (
+  SELECT len(lines) AS n_lines, unnest(list_distinct(list_transform(lines, lambda x: translate(
+    regexp_replace(x, '[\x00-\x40\x5B-\x60\x7B-\x7F]+', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')))) AS key FROM f),
+h AS (
+  SELECT key FROM g WHERE key <> '' GROUP BY key
+  HAVING count(*) >= greatest(10, (SELECT (count(*) + 999) // 1000 FROM d)) AND count(DISTINCT n_lines) >= 10),
 m AS (
   SELECT doc_id, length(line) AS size, line,
          len(string_split_regex(trim(line, ' '), ' +')) AS words,
          len(regexp_extract_all(line, '[|>»•·]')) AS seps, len(regexp_extract_all(line, '[#*$%&|<>]')) AS syms,
-         len(regexp_extract_all(line, '[!?*#$%&]{2,}')) AS marks
+         len(regexp_extract_all(line, '[!?*#$%&]{2,}')) AS marks,
+         translate(regexp_replace(line, '[\x00-\x40\x5B-\x60\x7B-\x7F]+', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') IN (SELECT key FROM h) AS common
   FROM l),
 k AS (
   SELECT doc_id, sum(size) AS size, sum(CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]') AND (
-           regexp_matches(lower(line), 'all rights reserved|licensed under|terms of use|terms of service|privacy policy|cookie|javascript|lorem ipsum|click here|sign up|log in|subscribe|share this|read more')
-           OR (seps >= 3 AND seps * 4 >= words) OR syms * 10 >= size OR marks * 5 >= words * 2) THEN 0 ELSE size END) AS left_size
+           (words <= 12 AND regexp_matches(lower(line), '\b(all rights reserved|licensed under|terms of use|terms of service|privacy policy|cookie policy|accept cookies|enable javascript|lorem ipsum|click here|sign up|log in|subscribe now|share this|read more)\b'))
+           OR common OR (seps >= 3 AND seps * 4 >= words) OR syms * 10 >= size OR marks * 5 >= words * 2) THEN 0 ELSE size END) AS left_size
   FROM m GROUP BY doc_id),
 c AS (
   SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,

@@ -2,7 +2,7 @@
 
 Every line of a text is judged first. A line fails when it is
 
-* boilerplate: it holds one of a list of phrases;
+* boilerplate: the table repeats it, or it is short and holds one of a list of phrases;
 * navigation: at least three separators, one for every four words or more;
 * punctuation: symbols make up a tenth of its characters, or doubled marks
   follow two words in five.
@@ -12,14 +12,25 @@ less than half of its characters. Before that come the base rules: fewer than
 ten words, or over a fifth of the words in five-word windows that occur twice
 or more in the text.
 
+A line, by its letters alone, is repeated when it stands in one document of a
+thousand (ten at least), and these have ten different numbers of lines or more.
+Copies and near copies of a text have the same lines and as many of them, so
+that a large group of them repeats none. At most 1000 lines for each line of a
+mean document can be repeated, which bounds what is sent to the tasks; documents
+are counted by their rows, and a line once in each.
+
 Null and empty texts have no words and fail the base rules; their cleaned text
-is empty. Blank lines are never removed and count for nothing. Rows are judged
-one by one, so copies and rows with one id all stay. Columns other than
-``doc_id`` and ``text`` are ignored.
+is empty. Blank lines are never removed and count for nothing; lines without
+letters are never repeated ones. Very long texts are judged whole. Copies and
+rows with one id all stay, each judged by itself. Columns other than ``doc_id``
+and ``text`` are ignored. An empty table gives none.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,13 +40,16 @@ SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "[#*$%&|<>]"
 SEPARATORS = "[|>»•·]"
 DOUBLED = "[!?*#$%&]{2,}"
-BOILERPLATE = (
-    "all rights reserved", "licensed under", "terms of use", "terms of service", "privacy policy", "cookie",
-    "javascript", "lorem ipsum", "click here", "sign up", "log in", "subscribe", "share this", "read more",
+PHRASES = (
+    "all rights reserved", "licensed under", "terms of use", "terms of service", "privacy policy", "cookie policy", "accept cookies",
+    "enable javascript", "lorem ipsum", "click here", "sign up", "log in", "subscribe now", "share this", "read more",
 )
+NO_LETTERS = "[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+SHORT_LINE = 12                           # words up to which a phrase decides
 WINDOW = 5
 MIN_WORDS, MAX_REPEATED = 10, 20          # per cent
 MIN_KEPT = 0.5
+COMMON_SHARE, COMMON_LEAST = 1000, 10     # one document of so many, so many at least
 
 
 def words_of(text: Column) -> Column:
@@ -82,19 +96,40 @@ def _length(parts: Column) -> Column:
     return F.length(F.array_join(parts, "")).cast("long")
 
 
-def line_fails(line: Column, boilerplate: tuple[str, ...] = BOILERPLATE) -> Column:
-    """Whether a line is boilerplate, navigation or mostly punctuation."""
-    size, words = F.length(line), F.size(F.split(F.trim(line), " +"))
-    return (
-        F.lower(line).rlike("|".join(boilerplate))
-        | ((F.regexp_count(line, F.lit(SEPARATORS)) >= 3) & (F.regexp_count(line, F.lit(SEPARATORS)) * 4 >= words))
-        | (F.regexp_count(line, F.lit(SYMBOLS)) * 10 >= size)
-        | (F.regexp_count(line, F.lit(DOUBLED)) * 5 >= words * 2)
-    )
+def line_key(line: Column) -> Column:
+    """A hash of the letters of a line, A-Z in lower case; null without letters."""
+    letters = F.regexp_replace(line, NO_LETTERS, "")
+    return F.when(letters != "", F.xxhash64(F.translate(letters, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
 
 
-def judge(docs: DataFrame, min_kept: float = MIN_KEPT, boilerplate: tuple[str, ...] = BOILERPLATE) -> DataFrame:
+def common_lines(docs: DataFrame) -> list[int]:
+    """Keys of the lines that the table repeats; see the module's docstring for their bound."""
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    keys = docs.select(F.size(lines).alias("size"), F.explode(F.array_distinct(F.transform(lines, line_key))).alias("key"))
+    sizes = keys.where("key is not null").groupBy("key", "size").agg(F.count("*").alias("n"))
+    least = max(COMMON_LEAST, -(-docs.count() // COMMON_SHARE))
+    found = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("sizes"))
+    return [r["key"] for r in found.where((F.col("n") >= least) & (F.col("sizes") >= COMMON_LEAST)).select("key").collect()]
+
+
+def line_fails(line: Column, phrases: tuple[str, ...] = PHRASES, common: list[int] | None = None) -> Column:
+    """Whether a line is boilerplate, navigation or mostly punctuation."""
+    size, words = F.length(line), F.size(F.split(F.trim(line), " +"))
+    rules = [
+        (F.regexp_count(line, F.lit(SEPARATORS)) >= 3) & (F.regexp_count(line, F.lit(SEPARATORS)) * 4 >= words),
+        F.regexp_count(line, F.lit(SYMBOLS)) * 10 >= size,
+        F.regexp_count(line, F.lit(DOUBLED)) * 5 >= words * 2,
+    ]
+    if phrases:
+        rules.append((words <= SHORT_LINE) & F.lower(line).rlike(f"\\b({'|'.join(phrases)})\\b"))
+    if common:
+        rules.append(F.coalesce(line_key(line).isin(common), F.lit(False)))
+    return reduce(or_, rules)
+
+
+def judge(docs: DataFrame, min_kept: float = MIN_KEPT, phrases: tuple[str, ...] = PHRASES) -> DataFrame:
     """One row per document with the base counts, ``base_failed``, ``cleaned`` (text), ``kept_share`` and ``kept``."""
+    common = common_lines(docs)
     text = F.coalesce("text", F.lit(""))
     cut = docs.select("doc_id", text.alias("text"))
     cut = cut.select("doc_id", "text", words_of(F.col("text")).alias("words"), F.split("text", "\n").alias("lines"))
@@ -111,7 +146,7 @@ def judge(docs: DataFrame, min_kept: float = MIN_KEPT, boilerplate: tuple[str, .
         bound(F.filter("lines", lambda x: ~blank(x)), duplicates).alias("n_dup_lines"),
         repeat_words(F.col("words")).alias("n_repeat_words"),
         _length(F.col("lines")).alias("chars"),
-        F.filter("lines", lambda x: blank(x) | ~line_fails(x, boilerplate)).alias("clean"))
+        F.filter("lines", lambda x: blank(x) | ~line_fails(x, phrases, common)).alias("clean"))
     counted = counted.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.array_join("clean", "\n").alias("cleaned"),
