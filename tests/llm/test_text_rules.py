@@ -124,7 +124,7 @@ def test_prose_about_a_topic_is_no_boilerplate(spark):
 def test_lines_that_the_table_repeats(spark):
     """A footer under texts of many shapes goes; the lines of a large group of near copies stay."""
     def prose(i, n):
-        return [f"word{i} stands in row {j} of text number {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'abcdefghijklmnop'[j]} here" for j in range(n)]
+        return [f"word{i}x{j} stands in row {j} of text number {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'abcdefghijklmnop'[j]} here" for j in range(n)]
 
     footer = "Our shop sends parcels to all of the islands, 24 hours a day"
     rows = [(i, "\n".join([*prose(i, 3 + i % 14), footer.replace("24", str(i))])) for i in range(60)]

@@ -37,7 +37,7 @@ g AS (
     regexp_replace(x, '[\x00-\x40\x5B-\x60\x7B-\x7F]+', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')))) AS key FROM f),
 h AS (
   SELECT key FROM g WHERE key <> '' GROUP BY key
-  HAVING count(*) >= greatest(10, (SELECT (count(*) + 999) // 1000 FROM d)) AND count(DISTINCT n_lines) >= 10),
+  HAVING count(*) >= greatest(10, (SELECT (count(*) + 99) // 100 FROM d)) AND count(DISTINCT n_lines) >= 10),
 m AS (
   SELECT doc_id, length(line) AS size, line,
          len(string_split_regex(trim(line, ' '), ' +')) AS words,

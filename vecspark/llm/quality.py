@@ -13,9 +13,9 @@ ten words, or over a fifth of the words in five-word windows that occur twice
 or more in the text.
 
 A line, by its letters alone, is repeated when it stands in one document of a
-thousand (ten at least), and these have ten different numbers of lines or more.
+hundred (ten at least), and these have ten different numbers of lines or more.
 Copies and near copies of a text have the same lines and as many of them, so
-that a large group of them repeats none. At most 1000 lines for each line of a
+that a large group of them repeats none. At most 100 lines for each line of a
 mean document can be repeated, which bounds what is sent to the tasks; documents
 are counted by their rows, and a line once in each.
 
@@ -49,7 +49,7 @@ SHORT_LINE = 12                           # words up to which a phrase decides
 WINDOW = 5
 MIN_WORDS, MAX_REPEATED = 10, 20          # per cent
 MIN_KEPT = 0.5
-COMMON_SHARE, COMMON_LEAST = 1000, 10     # one document of so many, so many at least
+COMMON_SHARE, COMMON_LEAST = 100, 10      # one document of so many, so many at least
 
 
 def words_of(text: Column) -> Column:
