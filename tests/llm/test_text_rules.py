@@ -129,7 +129,7 @@ def test_lines_that_the_table_repeats(spark):
     footer = "Our shop sends parcels to all of the islands, 24 hours a day"
     rows = [(i, "\n".join([*prose(i, 3 + i % 14), footer.replace("24", str(i))])) for i in range(60)]
     rows += [(100 + i, "\n".join([f"copy {'abcdefghijklmnopqrstuvwxyz'[i % 26]}{'abcdefghijklmnopqrstuvwxyz'[i // 26]} differs in this line alone from others",
-                                   *["the same sentence stands in every copy and says " + w for w in ("one", "two", "three")]])) for i in range(300)]
+                                   "The river rose again after nine days of rain", "and nobody on either bank could cross it", "until a boat came down from the hills"])) for i in range(300)]
     rows += [(500, None), (501, ""), (502, "\n\n12 34\n"), (503, footer)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     found = {r.doc_id: r for r in quality.judge(docs).collect()}

@@ -34,7 +34,7 @@ l AS (
   SELECT doc_id, unnest(lines) AS line FROM f),
 g AS (
   SELECT len(lines) AS n_lines, unnest(list_distinct(list_transform(lines, lambda x: translate(
-    regexp_replace(x, '[\x00-\x40\x5B-\x60\x7B-\x7F]+', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')))) AS key FROM f),
+    regexp_replace(x, '[\x01-\x40\x5B-\x60\x7B-\x7F]+', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')))) AS key FROM f),
 h AS (
   SELECT key FROM g WHERE key <> '' GROUP BY key
   HAVING count(*) >= greatest(10, (SELECT (count(*) + 99) // 100 FROM d)) AND count(DISTINCT n_lines) >= 10),
@@ -43,7 +43,7 @@ m AS (
          len(string_split_regex(trim(line, ' '), ' +')) AS words,
          len(regexp_extract_all(line, '[|>»•·]')) AS seps, len(regexp_extract_all(line, '[#*$%&|<>]')) AS syms,
          len(regexp_extract_all(line, '[!?*#$%&]{2,}')) AS marks,
-         translate(regexp_replace(line, '[\x00-\x40\x5B-\x60\x7B-\x7F]+', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') IN (SELECT key FROM h) AS common
+         translate(regexp_replace(line, '[\x01-\x40\x5B-\x60\x7B-\x7F]+', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') IN (SELECT key FROM h) AS common
   FROM l),
 k AS (
   SELECT doc_id, sum(size) AS size, sum(CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]') AND (

@@ -44,7 +44,8 @@ PHRASES = (
     "all rights reserved", "licensed under", "terms of use", "terms of service", "privacy policy", "cookie policy", "accept cookies",
     "enable javascript", "lorem ipsum", "click here", "sign up", "log in", "subscribe now", "share this", "read more",
 )
-NO_LETTERS = "[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+NO_LETTERS = "".join(c for c in map(chr, range(1, 128)) if not c.isalpha() and c != "\n")
 SHORT_LINE = 12                           # words up to which a phrase decides
 WINDOW = 5
 MIN_WORDS, MAX_REPEATED = 10, 20          # per cent
@@ -96,24 +97,26 @@ def _length(parts: Column) -> Column:
     return F.length(F.array_join(parts, "")).cast("long")
 
 
-def line_key(line: Column) -> Column:
-    """A hash of the letters of a line, A-Z in lower case; null without letters."""
-    letters = F.regexp_replace(line, NO_LETTERS, "")
-    return F.when(letters != "", F.xxhash64(F.translate(letters, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+def line_letters(text: Column) -> Column:
+    """The letters of each line, A-Z in lower case."""
+    return F.split(F.translate(text, UPPER + NO_LETTERS, LOWER), "\n")
 
 
 def common_lines(docs: DataFrame) -> list[int]:
     """Keys of the lines that the table repeats; see the module's docstring for their bound."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    keys = docs.select(F.size(lines).alias("size"), F.explode(F.array_distinct(F.transform(lines, line_key))).alias("key"))
-    sizes = keys.where("key is not null").groupBy("key", "size").agg(F.count("*").alias("n"))
+    def sized(lines: Column) -> Column:
+        keys = F.array_distinct(F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.xxhash64(x)))
+        return F.transform(keys, lambda key: F.struct(key.alias("key"), F.size(lines).alias("size")))
+
+    keys = docs.select(F.inline(bound(line_letters(F.coalesce("text", F.lit(""))), sized)))
+    sizes = keys.groupBy("key", "size").agg(F.count("*").alias("n"))
     least = max(COMMON_LEAST, -(-docs.count() // COMMON_SHARE))
     found = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("sizes"))
     return [r["key"] for r in found.where((F.col("n") >= least) & (F.col("sizes") >= COMMON_LEAST)).select("key").collect()]
 
 
-def line_fails(line: Column, phrases: tuple[str, ...] = PHRASES, common: list[int] | None = None) -> Column:
-    """Whether a line is boilerplate, navigation or mostly punctuation."""
+def line_fails(line: Column, phrases: tuple[str, ...] = PHRASES) -> Column:
+    """Whether a line by itself is boilerplate, navigation or mostly punctuation."""
     size, words = F.length(line), F.size(F.split(F.trim(line), " +"))
     rules = [
         (F.regexp_count(line, F.lit(SEPARATORS)) >= 3) & (F.regexp_count(line, F.lit(SEPARATORS)) * 4 >= words),
@@ -122,8 +125,6 @@ def line_fails(line: Column, phrases: tuple[str, ...] = PHRASES, common: list[in
     ]
     if phrases:
         rules.append((words <= SHORT_LINE) & F.lower(line).rlike(f"\\b({'|'.join(phrases)})\\b"))
-    if common:
-        rules.append(F.coalesce(line_key(line).isin(common), F.lit(False)))
     return reduce(or_, rules)
 
 
@@ -140,13 +141,20 @@ def judge(docs: DataFrame, min_kept: float = MIN_KEPT, phrases: tuple[str, ...]
     def blank(line: Column) -> Column:
         return F.btrim(line, F.lit(SPACES)) == ""
 
+    def clean(lines: Column) -> Column:
+        kept = lambda x: blank(x) | ~line_fails(x, phrases)
+        if not common:
+            return F.filter(lines, kept)
+        repeated = lambda letters: F.xxhash64(letters).isin(common)
+        return F.array_compact(F.zip_with(lines, line_letters(F.col("text")), lambda x, letters: F.when(kept(x) & (blank(x) | ~repeated(letters)), x)))
+
     counted = cut.select(
         "doc_id", F.size("words").cast("long").alias("n_words"), _length(F.col("words")).alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         bound(F.filter("lines", lambda x: ~blank(x)), duplicates).alias("n_dup_lines"),
         repeat_words(F.col("words")).alias("n_repeat_words"),
         _length(F.col("lines")).alias("chars"),
-        F.filter("lines", lambda x: blank(x) | ~line_fails(x, phrases, common)).alias("clean"))
+        clean(F.col("lines")).alias("clean"))
     counted = counted.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.array_join("clean", "\n").alias("cleaned"),
