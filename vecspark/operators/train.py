@@ -151,12 +151,12 @@ def size_array(assigned: DataFrame, n_lists: int) -> np.ndarray:
     return sizes
 
 
-def calibration_queries(assigned: DataFrame, n: int, seed: int = 17) -> DataFrame:
-    """A few hundred stored items as queries, the same ones on every run."""
+def calibration_queries(assigned: DataFrame, n: int, seed: int = 17, most: int = CALIBRATION_QUERIES) -> DataFrame:
+    """About ``most`` stored items as queries, the same ones on every run."""
     rows = assigned.where(F.col("list_id") >= 0)
-    some = rows.sample(fraction=min(1.0, 2.0 * CALIBRATION_QUERIES / max(n, 1)), seed=seed)
+    some = rows.sample(fraction=min(1.0, 2.0 * most / max(n, 1)), seed=seed)
     return (some.select(F.col("id").alias("query_id"), F.col("vector").alias("qv"))
-            .orderBy(F.xxhash64("query_id")).limit(CALIBRATION_QUERIES))
+            .orderBy(F.xxhash64("query_id")).limit(most))
 
 
 def calibrate_probes(assigned: DataFrame, queries: DataFrame, centroids: np.ndarray, metric: str, k: int = 100) -> DataFrame:

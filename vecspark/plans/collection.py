@@ -613,12 +613,14 @@ class Collection:
     def train(self, n_lists: int | None = None, batch_size: int = train.DEFAULT_BATCH_SIZE,
               max_iters: int = train.DEFAULT_MAX_ITERS, tolerance: float = train.DEFAULT_TOLERANCE,
               max_memory: int = 0, seed: int = 17, sample_rows: int | None = None,
-              initial: DataFrame | None = None, initial_codes: DataFrame | None = None) -> None:
+              initial: DataFrame | None = None, initial_codes: DataFrame | None = None,
+              calibration_rows: int = train.CALIBRATION_QUERIES) -> None:
         """Fit the lists (and codebooks), move every row to its list, calibrate the probe count.
 
         ``sample_rows`` bounds the rows that are fitted on; all of them by default.
         ``initial`` (list_id, centroid) is where the fit of the lists starts, and
-        ``initial_codes`` (sub, code, centroid) that of the codes.
+        ``initial_codes`` (sub, code, centroid) that of the codes. So many stored rows
+        as ``calibration_rows`` says decide the probe count.
         """
         state = self.state()
         rows = self._stored(state)
@@ -643,7 +645,8 @@ class Collection:
         changes = {
             "is_trained": True, "n_at_train": n, "n_lists": len(centroids), "centroids": generation,
             "codebooks": generation if books is not None else None,
-            "training": f"batch_size={batch_size} max_iters={max_iters} tolerance={tolerance} max_memory={max_memory}"}
+            "training": f"batch_size={batch_size} max_iters={max_iters} tolerance={tolerance} max_memory={max_memory} "
+                        f"calibration_rows={calibration_rows}"}
         trained = dict(state, **changes)
 
         def listed(source: DataFrame, seq: int) -> dict:
@@ -659,7 +662,7 @@ class Collection:
         base = listed(rows, state["seq"])
         known = dict(trained, segments=[base], removals=[])
         moved = self._stored(known)
-        curve = train.calibrate_probes(moved, train.calibration_queries(moved, n, seed), centroids, metric)
+        curve = train.calibrate_probes(moved, train.calibration_queries(moved, n, seed, calibration_rows), centroids, metric)
         changes["n_probes"] = train.auto_probe_count(curve)
         self._replace(state, state["segments"], [base], changes, state["seq"], convert=convert)
 
