@@ -414,3 +414,21 @@ def test_upsert_reads_only_segments_within_its_bounds(spark, monkeypatch):
     ids = {r.id for r in c.list_ids().collect()}
     assert ids == {f"k{i:06d}" for i in [*range(500), *range(1000, 1100)]} - {"k000300", "k000001"}
     assert (c.state()["segments"][0]["lo"], c.state()["segments"][0]["hi"]) == ("k000000", "k001099")
+
+
+def test_automatic_probes_follow_the_given_calibration(spark, store):
+    c = store.create("c", KEY)
+    data = vectors(300, 16)
+    c.upsert(frame(spark, [(f"k{i}", v.tolist(), None) for i, v in enumerate(data)]), auto_train=False)
+    own = spark.createDataFrame([(f"k{i}", data[i].tolist()) for i in range(40)], "query_id string, qv array<double>")
+    c.train(n_lists=8, max_iters=5, calibration=own, calibration_k=5)
+    state = c.state()
+    assert "calibration_rows=40 calibration=given calibration_k=5" in state["training"] and state["reach"] is not None
+    found = c.query(own, top_k=6, include=("distance",))
+    exact = search(own, c.items().select("id", "vector"), 6, "euclidean")
+    assert mean_recall(found, exact).first()["recall"] >= 0.9
+    c.train(n_lists=8, max_iters=5, calibration=own.limit(0))      # nothing to learn from: the nearest list
+    assert c.state()["reach"] is None and c.query(own, top_k=6).count() > 0
+    numbers = spark.createDataFrame([(i, data[i].tolist()) for i in range(10)], "query_id long, qv array<double>")
+    c.train(n_lists=1, calibration=numbers)
+    assert c.query(own, top_k=6).count() == 240

@@ -252,3 +252,65 @@ def test_codes_without_rows_split_the_greatest_error(spark):
     few = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [1.0, 2.0]), ("c", [3.0, 4.0])], "id string, vector array<double>")
     books = pq.train_codebooks(few, "euclidean", 3, 2, 1, 2)
     assert pq.codebook_errors(few, books, "euclidean").agg(F.count("*").alias("codes"), F.sum("error").alias("e")).first().asDict() == {"codes": 2, "e": 0.0}
+
+
+def clustered(n_lists=12, each=60, width=16, scale=0.5, seed=5):
+    """Lists of very different spread, and their centroids."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n_lists, width)) * scale
+    spread = np.linspace(0.1, 1.0, n_lists)
+    rows = np.concatenate([c + rng.normal(size=(each, width)) * s for c, s in zip(centres, spread)])
+    return rows, centres
+
+
+def test_list_steps_equal_brute_force(spark):
+    rows, centres = clustered()
+    items = spark.createDataFrame([(str(i), r.tolist()) for i, r in enumerate(rows)], "id string, vector array<double>")
+    assigned = train.assign_lists(items, centres, "euclidean")
+    radii = train.list_radii(assigned, centres, "euclidean")
+    away = np.sqrt(((rows[:, None] - centres[None]) ** 2).sum(axis=2))
+    nearest = away.argmin(axis=1)
+    for j in range(len(centres)):
+        assert radii[j] == pytest.approx(away[nearest == j, j].mean())
+    queries = items.limit(50).selectExpr("cast(id as long) query_id", "vector qv").union(spark.sql("select 999L, cast(null as array<double>)"))
+    steps = {(r.query_id, r.list_id): r.step for r in search.list_steps(queries, centres, "euclidean", radii).collect()}
+    assert len(steps) == 50 * len(centres)
+    for (q, j), step in steps.items():
+        off = 1024 * (away[q, j] - away[q].min()) / radii[nearest[q]]
+        assert step == min(np.ceil(off), 1 << 16) or abs(off - round(off)) < 1e-6
+    probes = search.probe_lists(queries, centres, "euclidean", radii=radii, reach=900).collect()
+    assert len(probes) == 50
+    for row in probes:
+        assert set(row.probes) == {j for j in range(len(centres)) if steps[row.query_id, j] <= 900} and row.probes[0] == nearest[row.query_id]
+
+
+def test_radii_without_spread_and_steps_beyond_numbers(spark):
+    centres = np.array([[0.0, 0.0], [10.0, 0.0], [0.0, 10.0]])
+    rows = [("a", [0.0, 0.0], 0), ("b", [10.0, 2.0], 1), ("c", [10.0, -2.0], 1), ("d", None, -1)]
+    assigned = spark.createDataFrame(rows, "id string, vector array<double>, list_id int")
+    assert train.list_radii(assigned, centres, "euclidean").tolist() == pytest.approx([4 / 3, 2.0, 4 / 3])
+    assert train.list_radii(assigned.where("id = 'a'"), centres, "euclidean").tolist() == [1.0, 1.0, 1.0]
+    assert train.list_radii(assigned.limit(0), centres, "euclidean").tolist() == [1.0, 1.0, 1.0]
+    far = search.steps_off(np.array([[1.0, 1e300, np.inf], [np.inf, np.inf, np.inf]]), np.array([1e-9, 1.0]))
+    assert far.tolist() == [[0, 1 << 16, 1 << 16], [0, 0, 0]]
+
+
+def test_adaptive_probes_reach_the_target_with_fewer_lists(spark):
+    rows, centres = clustered(n_lists=24, each=80)
+    items = spark.createDataFrame([(str(i), r.tolist()) for i, r in enumerate(rows)], "id string, vector array<double>")
+    assigned = train.assign_lists(items, centres, "euclidean").cache()
+    radii = train.list_radii(assigned, centres, "euclidean")
+    queries = assigned.selectExpr("cast(id as long) query_id", "vector qv")
+    curve = train.calibrate_reach(assigned, queries, centres, radii, "euclidean", 20).orderBy("step").collect()
+    reach = train.auto_reach(spark.createDataFrame(curve), 0.92)
+    at = next(r for r in curve if r.step == reach)
+    probed = search.probe_lists(queries, centres, "euclidean", radii=radii, reach=reach)
+    found = search.search(probed, assigned, 21, "euclidean").where("id <> cast(query_id as string)")
+    exact = search.search(queries, assigned, 21, "euclidean").where("id <> cast(query_id as string)")
+    recall = found.join(exact, ["query_id", "id"]).count() / exact.count()
+    assert recall == pytest.approx(at.recall) and recall >= 0.92
+    lists = probed.agg(F.avg(F.size("probes"))).first()[0]
+    assert lists == pytest.approx(at.lists)
+    fixed = train.auto_probe_count(train.calibrate_probes(assigned, queries, centres, "euclidean", 20), 0.92)
+    assert lists < fixed and lists < len(centres) / 2
+    assert train.auto_reach(spark.createDataFrame(curve).where("false")) is None

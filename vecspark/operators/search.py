@@ -37,6 +37,8 @@ MAX_TASK_HITS = 1 << 30        # hits all tasks of a scan may send to the merge
 MAX_MERGED_HITS = 1 << 22      # hits of one query that the merge sorts in one task
 NAMED_LISTS = 10_000           # list ids named in a partition filter; more are joined, which prunes as well
 EMIT_ROWS = 10_000
+REACH_STEPS = 1024             # per radius of the nearest list, see ``list_steps``
+MOST_STEPS = 1 << 16           # anything further off counts as this far
 
 
 def rank_hits(hits: DataFrame, k: int) -> DataFrame:
@@ -242,20 +244,24 @@ def probe_lists(
     n_probes: int | None = None,
     sizes: np.ndarray | None = None,
     k: int | None = None,
+    radii: np.ndarray | None = None,
+    reach: int | None = None,
 ) -> DataFrame:
     """Add ``probes``: the nearest lists per query, nearest first.
 
     Either a fixed ``n_probes``, or (greedy) as many lists as it takes until
-    their running ``sizes`` reach ``k``.
+    their running ``sizes`` reach ``k``, or (adaptive) the lists that are at
+    most ``reach`` steps further off than the nearest (see ``list_steps``): a
+    query deep inside a list reads few, one between lists reads many.
     """
     n_lists = len(centroids)
     want = n_lists if n_probes is None else max(1, min(n_probes, n_lists))
-    shared = queries.sparkSession.sparkContext.broadcast((centroids, sizes))
+    shared = queries.sparkSession.sparkContext.broadcast((centroids, sizes, radii))
     step = max(1, CELLS // want)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def nearest_lists(vectors: pa.Array) -> pa.Array:
-        near, held = shared.value
+        near, held, radius = shared.value
         x, rows = matrix(vectors, near.shape[1]), []
         for at in range(0, len(x), step):
             top = nearest_rows(x[at:at + step], near, want, metric)
@@ -263,6 +269,8 @@ def probe_lists(
             if held is not None:
                 before = np.cumsum(held[chosen], axis=1) - held[chosen]
                 chosen = [row[b < k] for row, b in zip(chosen, before)]
+            elif radius is not None:
+                chosen = [row[off <= reach] for row, off in zip(chosen, steps_off(top.d, radius[chosen[:, 0]]))]
             rows.extend(row.tolist() for row in chosen)
         return pa.array(rows, pa.list_(pa.int32()))
 
@@ -270,6 +278,42 @@ def probe_lists(
     return queries.select("query_id", "qv", nearest_lists.asNondeterministic()("qv").alias("probes"))
 
 
+def steps_off(d: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """Distances of lists, nearest first in a row, as steps beyond the nearest: 1,024 make the radius of that one.
+
+    Where distances are not finite nothing can be told, so that the list counts as near.
+    """
+    with np.errstate(invalid="ignore", over="ignore"):
+        off = np.ceil(REACH_STEPS * (d - d[:, :1]) / radius[:, None])
+    return np.minimum(np.nan_to_num(off, nan=0.0, posinf=MOST_STEPS), MOST_STEPS).astype(np.int32)
+
+
+def list_steps(queries: DataFrame, centroids: np.ndarray, metric: str, radii: np.ndarray) -> DataFrame:
+    """``(query_id, list_id, step)``: how much further off than the nearest list each list is.
+
+    The excess of its centroid's distance is measured by the radius of the
+    nearest list: the neighbours of a query in a tight list are near as well,
+    those in a wide one are further off. A query without a vector has no rows.
+    """
+    shared = queries.sparkSession.sparkContext.broadcast((centroids, radii))
+    part = max(1, CELLS // len(centroids))
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def steps(vectors: pa.Array) -> pa.Array:
+        near, radius = shared.value
+        x, rows = matrix(vectors, near.shape[1]), []
+        for at in range(0, len(x), part):
+            top = nearest_rows(x[at:at + part], near, len(near), metric)
+            lists = top.id.astype(np.int64)
+            off = np.empty(lists.shape, dtype=np.int32)
+            np.put_along_axis(off, lists, steps_off(top.d, radius[lists[:, 0]]), axis=1)
+            rows.extend(off.tolist())
+        return pa.array(rows, pa.list_(pa.int32()))
+
+    queries = queries.where(F.col("qv").isNotNull()).select("query_id", steps.asNondeterministic()("qv").alias("steps"))
+    return queries.select("query_id", F.posexplode("steps").alias("list_id", "step"))
+
+
 def nest_hits(hits: DataFrame) -> DataFrame:
     """One row per query with its hits as an array in rank order."""
     fields = [c for c in hits.columns if c != "query_id"]

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.blocks import matrix, nearest_rows
+from ..functions.blocks import exact_distance, matrix, nearest_rows
 from ..functions.distance import COSINE, l2_normalize, norm, to_double
-from .search import probe_lists, search
+from .search import list_steps, probe_lists, search
 
 DEFAULT_BATCH_SIZE = 2048      # recorded; full-batch training has no use for it
 DEFAULT_MAX_ITERS = 100
@@ -159,15 +159,49 @@ def calibration_queries(assigned: DataFrame, n: int, seed: int = 17, most: int =
             .orderBy(F.xxhash64("query_id")).limit(most))
 
 
-def calibrate_probes(assigned: DataFrame, queries: DataFrame, centroids: np.ndarray, metric: str, k: int = 100) -> DataFrame:
+def list_radii(assigned: DataFrame, centroids: np.ndarray, metric: str) -> np.ndarray:
+    """Mean distance of each list's rows from its centroid, in the metric.
+
+    A list without rows or spread takes the mean over all rows; where all rows
+    are alike the radius is 1.
+    """
+    shared = assigned.sparkSession.sparkContext.broadcast(centroids)
+
+    @F.arrow_udf(T.DoubleType())
+    def gap(lists: pa.Array, vectors: pa.Array) -> pa.Array:
+        near = shared.value
+        return pa.array(exact_distance(matrix(vectors, near.shape[1]), near[lists.to_numpy(zero_copy_only=False)], metric))
+
+    rows = assigned.where((F.col("list_id") >= 0) & F.col("vector").isNotNull())
+    gaps = rows.select("list_id", gap("list_id", "vector").alias("gap"))
+    table = gaps.groupBy("list_id").agg(F.avg("gap").alias("radius"), F.count("*").alias("n")).toArrow()    # a row for each list at most
+    mean, n = table.column("radius").to_numpy(), table.column("n").to_numpy()
+    overall = float((mean * n).sum() / n.sum()) if n.sum() else 0.0
+    radii = np.full(len(centroids), overall if np.isfinite(overall) and overall > 0 else 1.0)
+    known = np.isfinite(mean) & (mean > 0)
+    radii[table.column("list_id").to_numpy()[known]] = mean[known]
+    return radii
+
+
+def stored_neighbours(assigned: DataFrame, queries: DataFrame, metric: str, k: int = 100) -> DataFrame:
+    """The exact neighbours ``(query_id, id, list_id)`` of calibration queries among the rows in lists.
+
+    A query that has the id of a row leaves that row out.
+    """
+    rows = assigned.where(F.col("list_id") >= 0)
+    hits = search(queries, rows, k + 1, metric, payload=("list_id",))
+    return hits.where(F.col("id") != F.col("query_id").cast("string")).select("query_id", "id", "list_id")
+
+
+def calibrate_probes(assigned: DataFrame, queries: DataFrame, centroids: np.ndarray, metric: str, k: int = 100,
+                     truth: DataFrame | None = None) -> DataFrame:
     """``(n_probes, recall)``: mean recall at k that the nearest n lists give.
 
     The queries are stored items, asked with their ids; each leaves itself out.
-    Their exact neighbours are found once; how near each neighbour's list is
-    to the query then tells the recall for every probe count.
+    Their exact neighbours (``truth``, if known) are found once; how near each
+    neighbour's list is to the query then tells the recall for every probe count.
     """
-    rows = assigned.where(F.col("list_id") >= 0)
-    truth = search(queries, rows, k + 1, metric, payload=("list_id",)).where(F.col("id") != F.col("query_id"))
+    truth = stored_neighbours(assigned, queries, metric, k) if truth is None else truth
     near = (truth.join(probe_lists(queries, centroids, metric).select("query_id", "probes"), "query_id")
             .select(F.array_position("probes", F.col("list_id")).cast("int").alias("n_probes")))
     per_count = near.groupBy("n_probes").agg(F.count("*").alias("found"))
@@ -177,6 +211,30 @@ def calibrate_probes(assigned: DataFrame, queries: DataFrame, centroids: np.ndar
     return per_count.select("n_probes", (F.sum("found").over(so_far) / F.sum("found").over(everything)).alias("recall"))
 
 
+def calibrate_reach(assigned: DataFrame, queries: DataFrame, centroids: np.ndarray, radii: np.ndarray, metric: str, k: int = 100,
+                    truth: DataFrame | None = None) -> DataFrame:
+    """``(step, recall, lists)``: mean recall at k, and mean lists read, when a query probes every list up to ``step``.
+
+    As ``calibrate_probes``, but the rule goes by how far off a list is (see
+    ``list_steps``), so that each query reads as many lists as it needs.
+    """
+    truth = stored_neighbours(assigned, queries, metric, k) if truth is None else truth
+    steps = list_steps(queries, centroids, metric, radii)
+    found = truth.join(steps, ["query_id", "list_id"]).groupBy("step").agg(F.count("*").alias("found"))
+    asked = steps.groupBy("step").agg(F.count("*").alias("n"), F.count_if(F.col("list_id") == 0).alias("queries"))
+    # at most one row per step from here on
+    everything = Window.partitionBy(F.lit(0))
+    so_far = everything.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return asked.join(found, "step", "left").fillna(0, ["found"]).select(
+        "step", (F.sum("found").over(so_far) / F.sum("found").over(everything)).alias("recall"),
+        (F.sum("n").over(so_far) / F.sum("queries").over(everything)).alias("lists"))
+
+
+def auto_reach(curve: DataFrame, target: float = TARGET_RECALL) -> int | None:
+    """The smallest step on the calibration curve that reaches the target; None where nothing was found at all."""
+    return curve.where(F.col("recall") >= target).agg(F.min("step").alias("step")).first()["step"]
+
+
 def auto_probe_count(curve: DataFrame, target: float = TARGET_RECALL) -> int:
     """The smallest probe count on the calibration curve that reaches the target."""
     row = curve.where(F.col("recall") >= target).agg(F.min("n_probes").alias("n")).first()

@@ -99,7 +99,7 @@ class VectorStore:
             "index_name": name, "version": before["version"] if before else 0, "dropped": False,
             "index_type": config["type"], "is_trained": False, "metric": metric or EUCLIDEAN,
             "embedding_model": embedding_model, "dimension": config["dimension"], "element": None,
-            "pq_dim": config["pq_dim"], "pq_bits": config["pq_bits"], "n_lists": None, "n_probes": None,
+            "pq_dim": config["pq_dim"], "pq_bits": config["pq_bits"], "n_lists": None, "n_probes": None, "reach": None,
             "n_at_train": None, "sealed": seal, "key_salt": salt, "key_fingerprint": protect.fingerprint(key, salt),
             "folder": f"{self.catalog.root}/collections/{uuid.uuid4().hex}", "seq": 0, "segments": [],
             "removals": [], "centroids": None, "codebooks": None, "metadata_columns": metadata_columns or {},
@@ -614,13 +614,15 @@ class Collection:
               max_iters: int = train.DEFAULT_MAX_ITERS, tolerance: float = train.DEFAULT_TOLERANCE,
               max_memory: int = 0, seed: int = 17, sample_rows: int | None = None,
               initial: DataFrame | None = None, initial_codes: DataFrame | None = None,
-              calibration_rows: int = train.CALIBRATION_QUERIES) -> None:
-        """Fit the lists (and codebooks), move every row to its list, calibrate the probe count.
+              calibration_rows: int = train.CALIBRATION_QUERIES, calibration: DataFrame | None = None,
+              calibration_k: int = search.DEFAULT_TOP_K) -> None:
+        """Fit the lists (and codebooks), move every row to its list, calibrate automatic probes.
 
         ``sample_rows`` bounds the rows that are fitted on; all of them by default.
         ``initial`` (list_id, centroid) is where the fit of the lists starts, and
-        ``initial_codes`` (sub, code, centroid) that of the codes. So many stored rows
-        as ``calibration_rows`` says decide the probe count.
+        ``initial_codes`` (sub, code, centroid) that of the codes. The queries
+        ``calibration`` (query_id, qv), or so many stored rows as ``calibration_rows``
+        says, decide how many lists automatic probes read for ``calibration_k`` hits.
         """
         state = self.state()
         rows = self._stored(state)
@@ -646,7 +648,8 @@ class Collection:
             "is_trained": True, "n_at_train": n, "n_lists": len(centroids), "centroids": generation,
             "codebooks": generation if books is not None else None,
             "training": f"batch_size={batch_size} max_iters={max_iters} tolerance={tolerance} max_memory={max_memory} "
-                        f"calibration_rows={calibration_rows}"}
+                        f"calibration_rows={calibration_rows if calibration is None else calibration.count()} "
+                        f"calibration={'stored' if calibration is None else 'given'} calibration_k={calibration_k}"}
         trained = dict(state, **changes)
 
         def listed(source: DataFrame, seq: int) -> dict:
@@ -662,13 +665,25 @@ class Collection:
         base = listed(rows, state["seq"])
         known = dict(trained, segments=[base], removals=[])
         moved = self._stored(known)
-        curve = train.calibrate_probes(moved, train.calibration_queries(moved, n, seed, calibration_rows), centroids, metric)
-        changes["n_probes"] = train.auto_probe_count(curve)
+        asked = train.calibration_queries(moved, n, seed, calibration_rows) if calibration is None else calibration.select("query_id", "qv")
+        truth = train.stored_neighbours(moved, asked, metric, calibration_k)
+        path = scratch_path(self.spark, "neighbours")
+        truth.write.parquet(path)
+        truth = self.spark.read.schema(truth.schema).parquet(path)
+        changes["n_probes"] = train.auto_probe_count(train.calibrate_probes(moved, asked, centroids, metric, truth=truth))
+        radii = train.list_radii(moved, centroids, metric)
+        self.spark.createDataFrame(list(enumerate(radii.tolist())), "list_id int, radius double") \
+            .write.parquet(f"{state['folder']}/radii/{generation}")
+        changes["reach"] = train.auto_reach(train.calibrate_reach(moved, asked, centroids, radii, metric, truth=truth))
         self._replace(state, state["segments"], [base], changes, state["seq"], convert=convert)
 
     def _centroids(self, state: dict):
         return train.centroid_array(self.spark.read.parquet(f"{state['folder']}/centroids/{state['centroids']}"))
 
+    def _radii(self, state: dict):
+        rows = self.spark.read.schema("list_id int, radius double").parquet(f"{state['folder']}/radii/{state['centroids']}")
+        return rows.orderBy("list_id").select("radius").toArrow().column("radius").to_numpy()      # as many as centroids
+
     def codebook_errors(self) -> DataFrame:
         """``(sub, n, error)`` of the trained codes: rows fitted and their summed squared error in each sub-space."""
         state = self.state()
@@ -695,7 +710,9 @@ class Collection:
         ``queries`` is a frame ``(query_id, qv)``, one vector or a list of
         vectors; or ``contents`` is a text, or a frame ``(query_id, text)``.
         Without training every item is compared. After it, ``n_probes`` lists
-        (by default as many as calibration found) hold the candidates.
+        hold the candidates. By default each query probes the lists within the
+        reach that calibration found; with filters, whose hits lie further off,
+        as many lists as it found to be enough for most.
         """
         state = self.state()
         frame = self._query_frame(state, queries, contents)
@@ -703,7 +720,7 @@ class Collection:
         rows = self._filtered(stored, state, filters)
         scan, held = None, None
         if state["is_trained"]:
-            frame, scan, held = self._plan_probes(state, frame, rows, top_k, n_probes, greedy)
+            frame, scan, held = self._plan_probes(state, frame, rows, top_k, n_probes, greedy, not filters)
         include = [c for c in ("distance", "metadata", "vector", "contents") if c in include]
         include += ["is_text"] if "contents" in include else []
         payload = tuple(c for c in include if c != "distance")
@@ -715,7 +732,7 @@ class Collection:
         hits.write.parquet(path)
         return search.only_included(self.payload(self.spark.read.schema(hits.schema).parquet(path), payload), include)
 
-    def _plan_probes(self, state, frame, rows, top_k, n_probes, greedy):
+    def _plan_probes(self, state, frame, rows, top_k, n_probes, greedy, everything=True):
         n_lists, metric = state["n_lists"], state["metric"]
         probes = n_probes if n_probes is not None else state["n_probes"]
         if probes < 1:
@@ -727,6 +744,8 @@ class Collection:
         if greedy and n_probes is None:
             sizes = train.size_array(rows, n_lists)      # of the rows that may be hits
             frame = search.probe_lists(frame, self._centroids(state), metric, sizes=sizes, k=top_k)
+        elif n_probes is None and everything and state["reach"] is not None:
+            frame = search.probe_lists(frame, self._centroids(state), metric, radii=self._radii(state), reach=state["reach"])
         elif probes < n_lists:
             frame = search.probe_lists(frame, self._centroids(state), metric, probes)
         return frame, scan, held

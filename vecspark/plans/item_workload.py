@@ -241,6 +241,36 @@ def auto_probes(spark, sf):
     return curve.withColumn("chosen", F.col("n_probes") == train.auto_probe_count(curve))
 
 
+def _reach_curve(collection, spark, k):
+    """Recall and lists by reach, every vector a query."""
+    state = collection.state()
+    stored = collection._stored(state)
+    queries = stored.select(F.col("id").alias("query_id"), F.col("vector").alias("qv"))
+    return train.calibrate_reach(stored, queries, collection._centroids(state), collection._radii(state), distance.EUCLIDEAN, k)
+
+
+def adaptive_curve(spark, sf):
+    """Recall at 20 and lists read by the reach of adaptive probes, and where they stop on it."""
+    curve = _rounded(_reach_curve(_trained(spark, sf), spark, 20), "recall", "lists")
+    return curve.withColumn("chosen", F.col("step") == train.auto_reach(curve))
+
+
+def adaptive_recall(spark, sf):
+    """Calibrated on all vectors, automatic probes: recall at 100, 10 and 1, and the lists that a query reads on average."""
+    collection, queries = _collection(spark, sf), embedding_queries(spark, sf)
+    collection.train(initial=_label_means(spark, sf), max_iters=ROUNDS, tolerance=0.0, calibration=queries)
+    state = collection.state()
+    lists = search.probe_lists(queries, collection._centroids(state), distance.EUCLIDEAN, radii=collection._radii(state), reach=state["reach"]) \
+        .agg(F.round(F.avg(F.size("probes")), 4).alias("lists"))
+    out = None
+    for k in (100, 10, 1):
+        exact = search.search(queries, tagged_items(spark, sf), k, distance.EUCLIDEAN)
+        found = collection.query(queries, top_k=k, include=("distance",))
+        row = evaluate.mean_recall(found, exact).select(F.lit(k).alias("k"), F.round("recall", 4).alias("recall"))
+        out = row if out is None else out.union(row)
+    return out.join(F.broadcast(lists))      # one row
+
+
 def store_mmr_ids(spark, sf):
     """Diversified hits of texts: the ids picked, with their scores."""
     store = VectorStore(spark, scratch_path(spark, "store"))
@@ -253,7 +283,8 @@ def store_mmr_ids(spark, sf):
 def registry() -> dict:
     return {f.__name__: f for f in (
         knn_many, ivf_many, fixture_source, from_texts, generated_ids, arrays_mismatch, absent_fields, null_fields, bad_config, config_spellings,
-        wrong_key, get_include, get_documents, delete_documents, retrain_rule, train_cost, pq_train_error, collection_recall, auto_probes, store_mmr_ids)}
+        wrong_key, get_include, get_documents, delete_documents, retrain_rule, train_cost, pq_train_error, collection_recall, auto_probes, adaptive_curve,
+        adaptive_recall, store_mmr_ids)}
 
 
 _LABELS = "SELECT vec_id::VARCHAR AS id, label FROM embeddings"
@@ -298,6 +329,32 @@ def _recall() -> str:
     return f"WITH {_rounds()}, {ranks} " + " UNION ALL ".join(rows)
 
 
+def _reaches(k: int) -> str:
+    """Lists by steps beyond the nearest, and the curve of recall at ``k``."""
+    return f"""{_rounds()}, gaps AS (SELECT list_id, list_distance(v, c) AS g FROM assigned{ROUNDS} JOIN items USING (id) JOIN means{ROUNDS} USING (list_id)),
+        radii AS (SELECT list_id, coalesce(nullif(avg(g), 0), (SELECT avg(g) FROM gaps)) AS r FROM means{ROUNDS} LEFT JOIN gaps USING (list_id) GROUP BY list_id),
+        away AS (SELECT query_id, list_id, list_distance(qv, c) AS d FROM queries, means{ROUNDS}),
+        home AS (SELECT query_id, min(d) AS d0, arg_min(r, (d, list_id)) AS r FROM away JOIN radii USING (list_id) GROUP BY query_id),
+        steps AS (SELECT query_id, list_id, ceil({search.REACH_STEPS} * (d - d0) / r)::INTEGER AS step FROM away JOIN home USING (query_id)),
+        truth AS (SELECT * FROM ({oracle._knn('euclidean', k + 1)}) WHERE id <> query_id::VARCHAR),
+        hit AS (SELECT step, count(*) AS found FROM truth JOIN assigned{ROUNDS} USING (id) JOIN steps USING (query_id, list_id) GROUP BY step),
+        asked AS (SELECT step, count(*) AS n FROM steps GROUP BY step),
+        curve AS (SELECT step, (sum(coalesce(found, 0)) OVER (ORDER BY step))::DOUBLE / (SELECT sum(found) FROM hit)::DOUBLE AS recall,
+          (sum(n) OVER (ORDER BY step))::DOUBLE / (SELECT count(*) FROM queries) AS lists FROM asked LEFT JOIN hit USING (step)),
+        reach AS (SELECT min(step) AS reach FROM curve WHERE recall >= {train.TARGET_RECALL})"""
+
+
+def _adaptive_recall() -> str:
+    rows = []
+    for k in (100, 10, 1):
+        pairs = f"""SELECT query_id, id, list_distance(qv, v) AS distance FROM queries JOIN steps USING (query_id) JOIN assigned{ROUNDS} USING (list_id)
+            JOIN items USING (id) WHERE step <= (SELECT reach FROM reach)"""
+        rows.append(f"""SELECT {k}::INTEGER AS k, round(avg(share), 4) AS recall, (SELECT round(count(*)::DOUBLE / (SELECT count(*) FROM queries), 4) FROM steps
+            WHERE step <= (SELECT reach FROM reach)) AS lists FROM (SELECT e.query_id, count(f.id) / count(*) AS share
+            FROM ({oracle._knn('euclidean', k)}) e LEFT JOIN ({oracle._top(pairs, k)}) f ON f.query_id = e.query_id AND f.id = e.id GROUP BY e.query_id)""")
+    return f"WITH {_reaches(100)} " + " UNION ALL ".join(rows)
+
+
 def statements() -> dict[str, str]:
     known = oracle.statements()
     return {
@@ -340,6 +397,9 @@ def statements() -> dict[str, str]:
               JOIN list_rank r ON r.query_id = h.query_id AND r.list_id = a.list_id WHERE h.id <> h.query_id::VARCHAR),
             curve AS (SELECT n_probes, round((sum(count(*)) OVER (ORDER BY n_probes))::DOUBLE / (sum(count(*)) OVER ())::DOUBLE, 6) AS recall FROM near GROUP BY n_probes)
             SELECT n_probes::INTEGER AS n_probes, recall, n_probes = (SELECT min(n_probes) FROM curve WHERE recall >= 0.92) AS chosen FROM curve""",
+        "adaptive_curve": f"""WITH {_reaches(20)} SELECT step, round(recall, 6) AS recall, round(lists, 6) AS lists,
+            step = (SELECT reach FROM reach) AS chosen FROM curve""",
+        "adaptive_recall": _adaptive_recall(),
         "store_mmr_ids": _mmr(),
     }
 
