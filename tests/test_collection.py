@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vecspark.operators import search as search_module
 from vecspark.operators.evaluate import mean_recall
 from vecspark.operators.search import search
 from vecspark.plans.catalog import VersionConflict
@@ -432,3 +433,41 @@ def test_automatic_probes_follow_the_given_calibration(spark, store):
     numbers = spark.createDataFrame([(i, data[i].tolist()) for i in range(10)], "query_id long, qv array<double>")
     c.train(n_lists=1, calibration=numbers)
     assert c.query(own, top_k=6).count() == 240
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_quantised_search_reads_vectors_and_payload_once(spark, monkeypatch, few):
+    c = VectorStore(spark, scratch_path(spark, "store")).create("q", KEY, {"type": "ivfpq", "pq_dim": 4, "pq_bits": 4})
+    data = vectors(400, 8)
+    rows = [(f"k{i:04d}", v.tolist(), f'{{"n": {i}}}') for i, v in enumerate(data)]
+    c.upsert(frame(spark, rows[:200]), auto_train=False)
+    c.train(n_lists=4, max_iters=5)
+    c.upsert(frame(spark, rows[200:]), auto_train=False)
+    c.delete(["k0000", "k0250"])
+    if not few:
+        monkeypatch.setattr(search_module, "MAX_QUERY_BYTES", 0)
+    near, looked = type(c)._near, []
+    monkeypatch.setattr(type(c), "_near", lambda self, state, ids, lists=None: looked.append(lists) or near(self, state, ids, lists))
+    queries = [data[0].tolist(), data[250].tolist(), data[399].tolist()]
+    hits = c.query(queries, top_k=5, n_probes=2, include=("distance", "metadata", "vector")).collect()
+    assert len(looked) == 1 and 2 <= len(looked[0]) <= 4
+    assert len(hits) == 15 and not {h.id for h in hits} & {"k0000", "k0250"}
+    for h in hits:
+        at = int(h.id[1:])
+        assert h.vector == pytest.approx(data[at].tolist()) and h.metadata.toPython() == {"n": at}
+        assert h.distance == pytest.approx(float(np.linalg.norm(data[at] - np.array(queries[h.query_id]))), abs=1e-5)
+    assert [h.rank for h in sorted(hits, key=lambda h: (h.query_id, h.distance, h.id))] == [1, 2, 3, 4, 5] * 3
+    assert next(h.id for h in hits if h.query_id == 2 and h.rank == 1) == "k0399"
+
+
+def test_near_looks_only_into_the_lists_it_is_told(spark):
+    c = VectorStore(spark, scratch_path(spark, "store")).create("l", KEY, {"type": "ivfflat"})
+    c.upsert(numbered(spark, 0, 200), auto_train=False)
+    c.train(n_lists=4, max_iters=5)
+    state = c.state()
+    stored = c._stored(state)
+    ids = stored.select("id")
+    one = stored.first().list_id
+    assert {r.list_id for r in c._near(state, ids, [one]).select("list_id").distinct().collect()} == {one}
+    assert c._near(state, ids, [one]).count() == stored.where(F.col("list_id") == one).count()
+    assert c._near(state, ids, [99]).count() == 0

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.blocks import QueryBlock, matrix, nearest_rows, unit_rows
 from ..functions.distance import COSINE, SQUARED_EUCLIDEAN, distance, to_double
-from .search import emit, hit_schema, postings_of, rank_hits, scan_batches, search, spread_scan
+from ..plans.workspace import written
+from .merge import bounded
+from .search import emit, hit_schema, postings_of, probed_lists, scan_batches, search, small_block, spread_scan, within_lists
 from .train import DEFAULT_TOLERANCE, training_rows
 
 DEFAULT_PQ_DIM = 32
@@ -191,13 +193,11 @@ def decode(codes: np.ndarray, books: np.ndarray) -> np.ndarray:
     return np.concatenate([books[s][codes[:, s]] for s in range(books.shape[0])], axis=1)
 
 
-def scan_codes(books: np.ndarray, rerank: int | None = DEFAULT_RERANK):
-    """A scan for ``search`` that reads codes instead of vectors.
+def scan_codes(books: np.ndarray):
+    """A scan for ``search`` that reads codes instead of vectors and returns estimates.
 
     An item's estimate is the query's distance to the vector its codes stand
-    for. The best ``rerank`` x k get their exact distance from the stored
-    vectors; ``rerank=None`` returns the estimates. Cosine estimates are half
-    the squared distance of unit vectors.
+    for. Cosine estimates are half the squared distance of unit vectors.
     """
     pq_dim = books.shape[0]
 
@@ -205,7 +205,6 @@ def scan_codes(books: np.ndarray, rerank: int | None = DEFAULT_RERANK):
         vectors, postings = matrix(table.column("qv")), postings_of(table)
         shared = items.sparkSession.sparkContext.broadcast(
             (table.column("query_id").combine_chunks(), _prepared(vectors, metric), postings, books))
-        keep = k * rerank if rerank else k
         columns = ["id", "codes"] + (["list_id"] if postings is not None else [])
         schema = hit_schema(queries, items)
         inner = SQUARED_EUCLIDEAN if metric == COSINE else metric
@@ -217,25 +216,41 @@ def scan_codes(books: np.ndarray, rerank: int | None = DEFAULT_RERANK):
                 codes = matrix(batch.column(1), pq_dim).astype(np.int64)
                 return decode(codes, book)
 
-            top, id_type = scan_batches(batches, QueryBlock(qv, inner), keep, posts, decoded)
+            top, id_type = scan_batches(batches, QueryBlock(qv, inner), k, posts, decoded)
             if metric == COSINE:
                 top.d /= 2.0
             yield from emit(top, query_ids, id_type)
 
         source = items.where(F.col("codes").isNotNull()).select(*columns)
-        estimates = spread_scan(source, len(vectors), pq_dim, keep).mapInArrow(run, schema)
-        if not rerank:
-            return estimates
-        best = rank_hits(estimates, keep).select("query_id", "id")
-        block = items.sparkSession.createDataFrame(table.select(["query_id", "qv"]))
-        pairs = (stored.select("id", "vector").join(F.broadcast(best), "id")
-                 .join(F.broadcast(block), "query_id"))
-        exact = distance(metric, to_double(F.col("qv")), to_double(F.col("vector")))
-        return pairs.select("query_id", "id", exact.alias("distance"))
+        return spread_scan(source, len(vectors), pq_dim, k).mapInArrow(run, schema)
 
     return scan
 
 
+def exact_hits(candidates: DataFrame, queries: DataFrame, stored: DataFrame, k: int, metric: str,
+               payload: tuple[str, ...] = ()) -> DataFrame:
+    """The k best of each query's candidates ``(query_id, id)`` by exact distance.
+
+    ``stored`` is read once, for the vectors and the payload together. The
+    candidates, written before, are broadcast if they are few enough, the
+    queries if their bytes are.
+    """
+    columns = dict.fromkeys(("id", "vector", *payload))
+    pairs = stored.select(*columns).join(bounded(candidates.select("query_id", "id")), "id")
+    pairs = pairs.join(small_block(queries.select("query_id", "qv")), "query_id")
+    exact = distance(metric, to_double(F.col("qv")), to_double(F.col("vector")))
+    best = Window.partitionBy("query_id").orderBy("distance", "id")
+    hits = pairs.select("query_id", "id", exact.alias("distance"), *payload).withColumn("rank", F.row_number().over(best))
+    return hits.where(F.col("rank") <= k).select("query_id", "rank", "id", "distance", *payload)
+
+
 def pq_search(queries: DataFrame, items: DataFrame, books: np.ndarray, k: int, metric: str,
               payload: tuple[str, ...] = (), rerank: int | None = DEFAULT_RERANK) -> DataFrame:
-    return search(queries, items, k, metric, payload, scan=scan_codes(books, rerank), held=k * (rerank or 1))
+    """Top k over codes: a scan of the codes, then one of the vectors for the best ``rerank`` x k of each query.
+
+    ``rerank=None`` returns the estimates.
+    """
+    if not rerank:
+        return search(queries, items, k, metric, payload, scan=scan_codes(books))
+    candidates = written(search(queries, items, k * rerank, metric, scan=scan_codes(books)), "candidates")
+    return exact_hits(candidates, queries, within_lists(items, probed_lists(queries)), k, metric, payload)

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..functions.blocks import CELLS, QueryBlock, TopK, by_list, matrix, nearest_rows
 from ..functions.distance import check_metric
-from ..plans.workspace import SMALL_SPLIT, plan_bytes, scratch_path
+from ..plans.workspace import SMALL_SPLIT, plan_bytes, scratch_path, written
 from .merge import bounded
 from .spread import spread_search
 
@@ -55,7 +55,6 @@ def search(
     metric: str = "euclidean",
     payload: tuple[str, ...] = (),
     scan=None,
-    held: int | None = None,
     stored: DataFrame | None = None,
 ) -> DataFrame:
     """Top k per query.
@@ -63,9 +62,9 @@ def search(
     With an array column ``probes`` in ``queries`` only items whose ``list_id``
     is probed (or negative: not in any list) are compared. A query without a
     vector has no hits. ``payload`` names
-    item columns to attach to the hits. ``scan`` replaces the distance scan and
-    keeps ``held`` candidates per query meanwhile (see ``pq``). ``stored`` is
-    the frame to fetch payload from when ``items`` is a costly filter over it.
+    item columns to attach to the hits. ``scan`` replaces the distance scan
+    (see ``pq``). ``stored`` is the frame to fetch payload from when ``items``
+    is a costly filter over it.
     """
     check_metric(metric)
     if k < 1:
@@ -73,7 +72,7 @@ def search(
     stored = items if stored is None else stored
     probing = "probes" in queries.columns
     queries = queries.where(F.col("qv").isNotNull()).select("query_id", "qv", *(["probes"] if probing else []))
-    most, block = _one_block(queries, held or k, probing)
+    most, block = _one_block(queries, k, probing)
     if block is not None and block.num_rows == 0:
         return _with_payload(_no_hits(queries, items), stored, payload)
 
@@ -100,6 +99,13 @@ def _one_block(queries: DataFrame, k: int, probing: bool) -> tuple[int, pa.Table
     return most, table if table.num_rows <= most else None
 
 
+def small_block(queries: DataFrame) -> DataFrame:
+    """Mark queries for broadcast when they are within the bytes and rows of one block, counted first."""
+    known = queries.limit(MAX_QUERY_ROWS + 1).agg(F.count("*").alias("n"), F.max(F.size("qv")).alias("width")).first()
+    few = known["n"] <= MAX_QUERY_ROWS and 8 * known["n"] * max(known["width"] or 1, 1) <= MAX_QUERY_BYTES
+    return F.broadcast(queries) if few else queries
+
+
 def _search_blocks(queries: DataFrame, most: int, run) -> DataFrame:
     """One scan per block of queries, each result kept in the shared folder."""
     spark = queries.sparkSession
@@ -134,6 +140,18 @@ def only_lists(rows: DataFrame, lists: list[int]) -> DataFrame:
     return rows.join(F.broadcast(named), "list_id", "left_semi").select(rows.columns)
 
 
+def probed_lists(queries: DataFrame) -> list[int] | None:
+    """The lists that any of the queries probes; None without probes or with more than can be named in a filter."""
+    if "probes" not in queries.columns:
+        return None
+    found = queries.select(F.explode("probes").alias("list_id")).distinct().limit(NAMED_LISTS + 1).collect()
+    return [r.list_id for r in found] if len(found) <= NAMED_LISTS else None
+
+
+def within_lists(rows: DataFrame, lists: list[int] | None) -> DataFrame:
+    return rows if lists is None else only_lists(rows, lists)
+
+
 def _no_hits(queries: DataFrame, items: DataFrame) -> DataFrame:
     empty = queries.where(F.lit(False)).select(
         "query_id", F.lit(1).alias("rank"), F.lit("").cast(items.schema["id"].dataType).alias("id"),
@@ -153,10 +171,7 @@ def _with_any_payload(hits: DataFrame, items: DataFrame, payload) -> DataFrame:
     """Attach item columns to hits of any number, written first: they are counted before the join."""
     if not payload:
         return hits
-    path = scratch_path(hits.sparkSession, "hits")
-    hits.write.parquet(path)
-    kept = hits.sparkSession.read.schema(hits.schema).parquet(path)
-    return items.select("id", *payload).join(bounded(kept), "id").select("query_id", "rank", "id", "distance", *payload)
+    return items.select("id", *payload).join(bounded(written(hits, "hits")), "id").select("query_id", "rank", "id", "distance", *payload)
 
 
 def hit_schema(queries: DataFrame, items: DataFrame) -> T.StructType:

@@ -23,7 +23,7 @@ from ..functions.filters import PROMOTABLE, compile_filter, promote, pushed_filt
 from ..operators import merge, pq, search, train, validate
 from ..sources.items import from_arrays, item_rows
 from .catalog import Catalog, VersionConflict
-from .workspace import scratch_path, spread_small
+from .workspace import scratch_path, spread_small, written
 
 INDEX_TYPES = ("ivf", "ivfflat", "ivfpq")
 DEFAULT_TYPE = "ivfflat"
@@ -227,11 +227,12 @@ class Collection:
         """Segments whose ids can be among those between ``extent.lo`` and ``extent.hi``."""
         return [s for s in state["segments"] if extent.lo is not None and (s.get("lo") is None or s["lo"] <= extent.hi and extent.lo <= s["hi"])]
 
-    def _near(self, state: dict, ids: DataFrame) -> DataFrame:
+    def _near(self, state: dict, ids: DataFrame, lists: list[int] | None = None) -> DataFrame:
         """Live rows of the files that hold any of the ids: other files give their id column at most.
 
         Segments are left out by their bounds, row groups by the statistics of
-        the sorted ids, files by a look at the ids alone.
+        the sorted ids, files by a look at the ids alone. Of ``lists``, if the
+        ids are known to lie in them, other folders are not even looked at.
         """
         extent = ids.agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
         segments = self._segments_of(state, extent)
@@ -239,13 +240,14 @@ class Collection:
             return self._stored(state, [])
         between = F.col("id").between(extent.lo, extent.hi)
         folder = f"{state['folder']}/items"
-        where = (self.spark.read.schema("id string").option("basePath", folder).parquet(*[f"{folder}/seg={s['name']}" for s in segments])
+        looked = self.spark.read.schema("id string, list_id int, seg string").option("basePath", folder).parquet(*[f"{folder}/seg={s['name']}" for s in segments])
+        where = (search.within_lists(looked, lists)
                  .select("id", F.regexp_extract("_metadata.file_path", "(seg=[^/]+/.*)$", 1).alias("file")).where(between))
         wanted = F.broadcast(ids.select("id")) if extent.n <= merge.MAX_BROADCAST_IDS else ids.select("id")
         files = [f"{folder}/{r.file}" for r in where.join(wanted, "id", "left_semi").select("file").distinct().limit(MAX_FILES + 1).collect()]
         if not files:
             return self._stored(state, [])
-        return self._stored(state, segments, files if len(files) <= MAX_FILES else None).where(between)
+        return search.within_lists(self._stored(state, segments, files if len(files) <= MAX_FILES else None), lists).where(between)
 
     def _removed(self, state: dict, removals: list[dict]) -> DataFrame:
         """``(id, until)``: rows of the id older than ``until`` no longer count."""
@@ -296,11 +298,11 @@ class Collection:
         extra = ["is_text"] if "contents" in keep else []
         return self._open(found.select("pos", "id", *keep, *extra), state).orderBy("pos")
 
-    def payload(self, rows: DataFrame, columns) -> DataFrame:
-        """``rows`` (with ``id``) with stored columns attached."""
+    def payload(self, rows: DataFrame, columns, lists: list[int] | None = None) -> DataFrame:
+        """``rows`` (with ``id``) with stored columns attached; ``lists`` as far as it is known where they lie."""
         state = self.state()
-        extra = ["is_text"] if "contents" in columns else []
-        stored = self._near(state, rows).select("id", *columns, *extra)
+        extra = ["is_text"] if "contents" in columns and "is_text" not in columns else []
+        stored = self._near(state, rows, lists).select("id", *columns, *extra)
         return self._open(stored.join(merge.bounded(rows), "id"), state)
 
     def list_ids(self, filters: dict | None = None) -> DataFrame:
@@ -718,29 +720,32 @@ class Collection:
         frame = self._query_frame(state, queries, contents)
         stored = self._stored(state)
         rows = self._filtered(stored, state, filters)
-        scan, held = None, None
+        scan, rerank = None, None
         if state["is_trained"]:
-            frame, scan, held = self._plan_probes(state, frame, rows, top_k, n_probes, greedy, not filters)
+            frame, scan, rerank = self._plan_probes(state, frame, rows, top_k, n_probes, greedy, not filters)
         include = [c for c in ("distance", "metadata", "vector", "contents") if c in include]
         include += ["is_text"] if "contents" in include else []
         payload = tuple(c for c in include if c != "distance")
-        hits = search.search(frame, rows, top_k, state["metric"], (), scan, held, stored)
-        if not payload:
-            return search.only_included(hits, include)
-        # written, so that the search runs once; the payload is fetched for the hits alone
-        path = scratch_path(self.spark, "hits")
-        hits.write.parquet(path)
-        return search.only_included(self.payload(self.spark.read.schema(hits.schema).parquet(path), payload), include)
+        if not payload and not rerank:
+            return search.only_included(search.search(frame, rows, top_k, state["metric"], (), scan, stored), include)
+        if "probes" in frame.columns:
+            frame = written(frame, "queries")      # probes are asked for more than once
+        # written, so that the search runs once; vectors and payload are fetched for the hits alone, in one read
+        hits = written(search.search(frame, rows, top_k * (rerank or 1), state["metric"], (), scan, stored), "hits")
+        lists = search.probed_lists(frame)
+        if not rerank:
+            return search.only_included(self.payload(hits, payload, lists), include)
+        found = pq.exact_hits(hits, frame, self._near(state, hits, lists), top_k, state["metric"], payload)
+        return search.only_included(self._open(found, state), include)
 
     def _plan_probes(self, state, frame, rows, top_k, n_probes, greedy, everything=True):
         n_lists, metric = state["n_lists"], state["metric"]
         probes = n_probes if n_probes is not None else state["n_probes"]
         if probes < 1:
             raise ValueError("n_probes must be at least 1")
-        scan, held = None, None
+        scan, rerank = None, None
         if state["index_type"] == "ivfpq":
-            rerank = None if greedy else pq.DEFAULT_RERANK
-            scan, held = pq.scan_codes(self._codebooks(state), rerank), top_k * (rerank or 1)
+            scan, rerank = pq.scan_codes(self._codebooks(state)), None if greedy else pq.DEFAULT_RERANK
         if greedy and n_probes is None:
             sizes = train.size_array(rows, n_lists)      # of the rows that may be hits
             frame = search.probe_lists(frame, self._centroids(state), metric, sizes=sizes, k=top_k)
@@ -748,7 +753,7 @@ class Collection:
             frame = search.probe_lists(frame, self._centroids(state), metric, radii=self._radii(state), reach=state["reach"])
         elif probes < n_lists:
             frame = search.probe_lists(frame, self._centroids(state), metric, probes)
-        return frame, scan, held
+        return frame, scan, rerank
 
     def _query_frame(self, state, queries, contents) -> DataFrame:
         if queries is None and contents is None:

@@ -27,6 +27,13 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, so that it is computed once."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 SMALL_SPLIT = 16 << 20    # a scan of less than this per core is spread before heavy row work
 
 
