@@ -314,3 +314,21 @@ def test_adaptive_probes_reach_the_target_with_fewer_lists(spark):
     fixed = train.auto_probe_count(train.calibrate_probes(assigned, queries, centres, "euclidean", 20), 0.92)
     assert lists < fixed and lists < len(centres) / 2
     assert train.auto_reach(spark.createDataFrame(curve).where("false")) is None
+
+
+@pytest.mark.parametrize("share,k", [(1.0, 20), (0.3, 50), (0.01, 5), (0.0, 5), (1.0, 10_000)])
+def test_greedy_sizes_lead_to_the_same_probes_as_a_full_count(spark, share, k):
+    data, centres = clustered(n_lists=40, each=30, scale=2.0)
+    items = spark.createDataFrame([(str(i), r.tolist()) for i, r in enumerate(data)], "id string, vector array<double>")
+    rows = train.assign_lists(items, centres, "euclidean").where(F.pmod(F.xxhash64("id"), F.lit(1000)) < int(1000 * share))
+    near = [(i, data[i].tolist()) for i in (3, 4, 5, 700)] + [(999, None)]
+    queries = spark.createDataFrame(near, "query_id long, qv array<double>")
+    whole = train.size_array(rows, len(centres))
+    counted = train.greedy_sizes(queries, centres, "euclidean", rows, k)
+    assert ((counted == whole) | (counted == 0)).all()
+    if share == 1.0 and k == 20:
+        assert (counted > 0).sum() <= 2 * train.GREEDY_LISTS       # two neighbourhoods, the first round
+    probes = [
+        {r.query_id: r.probes for r in search.probe_lists(queries, centres, "euclidean", sizes=s, k=k).collect()} for s in (whole, counted)]
+    assert probes[0] == probes[1] and len(probes[0]) == 4
+    assert not train.greedy_sizes(queries.limit(0), centres, "euclidean", rows, k).any()

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from ..functions.blocks import exact_distance, matrix, nearest_rows
 from ..functions.distance import COSINE, l2_normalize, norm, to_double
-from .search import list_steps, probe_lists, search
+from ..plans.workspace import written
+from .search import list_steps, only_lists, probe_lists, search
 
 DEFAULT_BATCH_SIZE = 2048      # recorded; full-batch training has no use for it
 DEFAULT_MAX_ITERS = 100
@@ -20,6 +21,8 @@ DEFAULT_TOLERANCE = 1e-6
 MAX_CENTROID_BYTES = 256 << 20  # of the centroids that tasks hold
 UNASSIGNED = -1                # in no list; every search looks at these rows
 CALIBRATION_QUERIES = 200
+GREEDY_LISTS = 4               # lists per query that greedy probing counts first
+GREEDY_GROWTH = 4
 TARGET_RECALL = 0.92           # of the calibration sample; the contract is 0.88
 
 
@@ -151,6 +154,37 @@ def size_array(assigned: DataFrame, n_lists: int) -> np.ndarray:
     return sizes
 
 
+def greedy_sizes(queries: DataFrame, centroids: np.ndarray, metric: str, rows: DataFrame, k: int) -> np.ndarray:
+    """Sizes of the lists in ``rows``, counted as far as greedy probing for ``k`` rows needs them; 0 for others.
+
+    The nearest few lists of the queries are counted first; those queries whose
+    lists hold fewer than ``k`` rows go on with four times as many. A list is
+    counted once, and only its files are read, so that a common filter costs a
+    few lists and a rare one a single scan in all.
+    """
+    spark, n_lists = queries.sparkSession, len(centroids)
+    sizes, want = np.full(n_lists, -1, dtype=np.int64), GREEDY_LISTS
+    waiting = queries.where(F.col("qv").isNotNull()).select("query_id", "qv")
+    while True:
+        probed = written(probe_lists(waiting, centroids, metric, want), "probes")
+        asked = [r.list_id for r in probed.select(F.explode("probes").alias("list_id")).distinct().collect()]    # at most n_lists
+        fresh = [x for x in asked if sizes[x] < 0]
+        if fresh:
+            sizes[fresh] = size_array(only_lists(rows, fresh), n_lists)[fresh]
+        if not asked or want >= n_lists:
+            return np.maximum(sizes, 0)
+        shared = spark.sparkContext.broadcast(sizes)
+
+        @F.arrow_udf(T.BooleanType())
+        def short(probes: pa.Array) -> pa.Array:
+            counted = np.concatenate([[0], np.cumsum(shared.value[probes.flatten().to_numpy(zero_copy_only=False)])])
+            ends = np.cumsum([len(p) for p in probes])
+            return pa.array(np.diff(counted[np.concatenate([[0], ends]).astype(np.int64)]) < k)
+
+        waiting = probed.where(short("probes")).select("query_id", "qv")
+        want *= GREEDY_GROWTH
+
+
 def calibration_queries(assigned: DataFrame, n: int, seed: int = 17, most: int = CALIBRATION_QUERIES) -> DataFrame:
     """About ``most`` stored items as queries, the same ones on every run."""
     rows = assigned.where(F.col("list_id") >= 0)

@@ -747,8 +747,9 @@ class Collection:
         if state["index_type"] == "ivfpq":
             scan, rerank = pq.scan_codes(self._codebooks(state)), None if greedy else pq.DEFAULT_RERANK
         if greedy and n_probes is None:
-            sizes = train.size_array(rows, n_lists)      # of the rows that may be hits
-            frame = search.probe_lists(frame, self._centroids(state), metric, sizes=sizes, k=top_k)
+            centroids = self._centroids(state)
+            sizes = train.greedy_sizes(frame, centroids, metric, rows, top_k)      # of the rows that may be hits
+            frame = search.probe_lists(frame, centroids, metric, sizes=sizes, k=top_k)
         elif n_probes is None and everything and state["reach"] is not None:
             frame = search.probe_lists(frame, self._centroids(state), metric, radii=self._radii(state), reach=state["reach"])
         elif probes < n_lists:

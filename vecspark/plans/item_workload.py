@@ -35,6 +35,16 @@ def ivf_many(spark, sf):
     return _rounded(spread.spread_search(probed, _assigned(spark, sf, centroids), K, query_rows=128, item_rows=32), "distance")
 
 
+def greedy_filtered_lists(spark, sf):
+    """Lists that greedy probing reads for 40 rows that meet a filter; sizes are counted only as far as needed."""
+    centroids = _lists(spark, sf)
+    rows = _assigned(spark, sf, centroids).join(tagged_items(spark, sf).select("id", "metadata"), "id").where(compile_filter(FILTERS["or"], F.col("metadata")))
+    queries = embedding_queries(spark, sf)
+    sizes = train.greedy_sizes(queries, centroids, distance.EUCLIDEAN, rows, 40)
+    probed = search.probe_lists(queries, centroids, distance.EUCLIDEAN, sizes=sizes, k=40)
+    return probed.select("query_id", F.posexplode("probes").alias("pos", "list_id"))
+
+
 # -- sources ----------------------------------------------------------------------
 
 def fixture_source(spark, sf):
@@ -282,7 +292,7 @@ def store_mmr_ids(spark, sf):
 
 def registry() -> dict:
     return {f.__name__: f for f in (
-        knn_many, ivf_many, fixture_source, from_texts, generated_ids, arrays_mismatch, absent_fields, null_fields, bad_config, config_spellings,
+        knn_many, ivf_many, greedy_filtered_lists, fixture_source, from_texts, generated_ids, arrays_mismatch, absent_fields, null_fields, bad_config, config_spellings,
         wrong_key, get_include, get_documents, delete_documents, retrain_rule, train_cost, pq_train_error, collection_recall, auto_probes, adaptive_curve,
         adaptive_recall, store_mmr_ids)}
 
@@ -360,6 +370,11 @@ def statements() -> dict[str, str]:
     return {
         "knn_many": known["knn_euclidean"],
         "ivf_many": known["ivf_probe_search"],
+        "greedy_filtered_lists": f"""WITH {oracle._EMB}, {oracle._MEANS}, {oracle._ASSIGNED}, {oracle._LIST_RANK},
+            sizes AS (SELECT list_id, count(*) AS s FROM assigned JOIN items USING (id) WHERE {oracle._FILTERS['or']} GROUP BY list_id),
+            filled AS (SELECT query_id, list_id, n, sum(coalesce(s, 0)) OVER (PARTITION BY query_id ORDER BY n) - coalesce(s, 0) AS before
+              FROM list_rank LEFT JOIN sizes USING (list_id))
+            SELECT query_id, (n - 1)::INTEGER AS pos, list_id::INTEGER AS list_id FROM filled WHERE before < 40""",
         "fixture_source": """SELECT vec_id::VARCHAR AS id, round(embedding[1]::DOUBLE, 6) AS x0,
             CASE WHEN label % 2 = 0 THEN 'even' ELSE 'odd' END AS parity FROM embeddings""",
         "from_texts": f"""SELECT item_id::VARCHAR AS id, text AS page_content, {TEXT_DIM}::INTEGER AS dim, 'passage' AS kind, 3::INTEGER AS level FROM benchmark""",
