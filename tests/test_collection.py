@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vecspark.operators import search as search_module
+from vecspark.operators import train
 from vecspark.operators.evaluate import mean_recall
 from vecspark.operators.search import search
 from vecspark.plans.catalog import VersionConflict
@@ -471,3 +472,74 @@ def test_near_looks_only_into_the_lists_it_is_told(spark):
     assert {r.list_id for r in c._near(state, ids, [one]).select("list_id").distinct().collect()} == {one}
     assert c._near(state, ids, [one]).count() == stored.where(F.col("list_id") == one).count()
     assert c._near(state, ids, [99]).count() == 0
+
+
+def bunch(spark, centre, low, high, width=8, seed=0):
+    data = np.random.default_rng(seed + low).normal(size=(high - low, width)) * 0.3 + centre
+    return frame(spark, [(f"k{low + i:05d}", v.tolist(), None) for i, v in enumerate(data)])
+
+
+@pytest.mark.parametrize("kind", ["ivfflat", "ivfpq"])
+def test_split_rewrites_only_lists_that_have_grown(spark, store, kind):
+    c = store.create("s", KEY, {"type": kind, "pq_dim": 4, "pq_bits": 4})
+    for i in range(4):
+        c.upsert(bunch(spark, 5.0 * i, 100 * i, 100 * i + 100), auto_train=False)
+    with pytest.raises(ValueError):
+        c.split_lists()
+    start = spark.createDataFrame([(i, [5.0 * i] * 8) for i in range(4)], "list_id int, centroid array<double>")
+    c.train(initial=start)
+    assert c.split_lists() == 0
+    c.upsert(bunch(spark, 0.5, 1000, 1600), auto_train=False)
+    c.upsert(bunch(spark, -0.5, 2000, 2600), auto_train=False)
+    c.delete(["k00000", "k01000", "k00300"])
+    before = {r.id: tuple(r.vector) for r in c.items().collect()}
+    files = set(c._stored(c.state()).inputFiles())
+    sizes = train.size_array(c._stored(c.state()), 4)
+    assert sizes.tolist() == [1298, 100, 100, 99] and list(train.grown_lists(sizes, 0.2)) == [0]
+    new = c.split_lists()
+    state = c.state()
+    assert new >= 2 and state["n_lists"] == 4 + new and state["n_at_train"] == 1597
+    assert {r.id: tuple(r.vector) for r in c.items().collect()} == before
+    kept = {f for f in files if "list_id=0" not in f}
+    live = c._stored(state)
+    assert kept <= set(live.inputFiles()) and live.groupBy("id").count().where("count > 1").count() == 0
+    after = train.size_array(live, state["n_lists"])
+    assert after.sum() == 1597 and after.max() < 1298 and after[1:4].tolist() == [100, 100, 99]
+    # rows are in the list that is nearest, so that one probe finds a stored row
+    own = live.where("list_id >= 0").select(F.col("id").alias("query_id"), F.col("vector").cast("array<double>").alias("qv"))
+    if kind == "ivfflat":
+        found = c.query(own, top_k=1, n_probes=1, include=())
+        assert found.where("id = query_id").count() == 1597
+    else:
+        assert live.where("codes is null").count() == 0
+    # later writes know the new lists, removals reach split rows, and folding drops what was left out
+    c.upsert(bunch(spark, 0.5, 1000, 1100, seed=7), auto_train=False)
+    c.delete(["k01200"])
+    assert c.num_vectors().first()["num_vectors"] == 1597 and c.get(["k01200", "k01000"]).count() == 1
+    c.compact()
+    assert c.num_vectors().first()["num_vectors"] == 1597 and not any(s.get("gone") for s in c.state()["segments"])
+    assert c._stored(c.state()).groupBy("id").count().where("count > 1").count() == 0
+
+
+def test_split_of_copies_and_lost_race(spark, store, monkeypatch):
+    c = store.create("s", KEY)
+    c.upsert(bunch(spark, 0.0, 0, 50).union(bunch(spark, 9.0, 50, 100)), auto_train=False)
+    start = spark.createDataFrame([(0, [0.0] * 8), (1, [9.0] * 8)], "list_id int, centroid array<double>")
+    c.train(initial=start)
+    copies = spark.range(200, 900).select(F.format_string("k%05d", "id").alias("id"), F.array([F.lit(9.0)] * 8).alias("vector"))
+    c.upsert(copies, auto_train=False)
+    c.split_lists()                                            # copies cannot be told apart, the others can
+    assert c.num_vectors().first()["num_vectors"] == 800
+    c.upsert(bunch(spark, 0.0, 3000, 3900), auto_train=False)
+    calibrated = type(c)._calibrated
+
+    def overtaken(self, *args):
+        monkeypatch.undo()
+        c.delete(["k00001"])
+        return calibrated(self, *args)
+
+    monkeypatch.setattr(type(c), "_calibrated", overtaken)
+    with pytest.raises(VersionConflict):
+        c.split_lists()
+    assert c.num_vectors().first()["num_vectors"] == 1699 and c.split_lists() > 0
+    assert c.num_vectors().first()["num_vectors"] == 1699

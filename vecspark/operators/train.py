@@ -21,6 +21,9 @@ DEFAULT_TOLERANCE = 1e-6
 MAX_CENTROID_BYTES = 256 << 20  # of the centroids that tasks hold
 UNASSIGNED = -1                # in no list; every search looks at these rows
 CALIBRATION_QUERIES = 200
+SPLIT_FACTOR = 2.0             # a list with more rows than so many times its share is split
+SPLIT_ROUNDS = 10
+START_FACTOR = 4               # rows looked at per part for different ones to start from
 GREEDY_LISTS = 4               # lists per query that greedy probing counts first
 GREEDY_GROWTH = 4
 TARGET_RECALL = 0.92           # of the calibration sample; the contract is 0.88
@@ -38,6 +41,16 @@ def needs_training(n: int, n_at_last_train: int | None, multiplier: float, min_t
     return n >= multiplier * n_at_last_train
 
 
+def grown_lists(sizes: np.ndarray, density: float, factor: float = SPLIT_FACTOR) -> dict[int, int]:
+    """Lists that hold more than ``factor`` times their share, and in how many parts they should be.
+
+    A share is what a list would hold if there were ``density`` times the square
+    root of the rows of them, as there were when the lists were fitted.
+    """
+    share = max(1.0, np.sqrt(sizes.sum()) / density)
+    return {int(x): int(np.ceil(sizes[x] / share)) for x in np.nonzero(sizes > factor * share)[0]}
+
+
 def training_rows(items: DataFrame, metric: str, n: int, most: int | None, seed: int) -> DataFrame:
     """Rows to fit on: vectors present, no zero vectors for cosine; all of them, or a sample of about ``most``."""
     rows = items.where(F.col("vector").isNotNull()).select("id", to_double(F.col("vector")).alias("vector"))
@@ -78,15 +91,17 @@ def train_lists(
     return check_centroids(np.array(kmeans.fit(points).clusterCenters()))
 
 
-def lloyd(rows: DataFrame, centroids: np.ndarray, metric: str, rounds: int, tolerance: float) -> np.ndarray:
-    """Lloyd rounds from given centroids, one job each; an empty list keeps its centroid."""
+def lloyd(rows: DataFrame, centroids: np.ndarray, metric: str, rounds: int, tolerance: float, free: np.ndarray | None = None) -> np.ndarray:
+    """Lloyd rounds from given centroids, one job each; an empty list keeps its centroid, as do all but the ``free`` lists if given."""
     if metric == COSINE:
         rows = rows.withColumn("vector", l2_normalize(F.col("vector")))
     for _ in range(rounds):
         means = centroid_means(assign_lists(rows, centroids, metric)).toArrow()      # a row for each list at most
         moved = centroids.copy()
         if means.num_rows:
-            moved[means.column("list_id").to_numpy()] = matrix(means.column("centroid"))
+            lists = means.column("list_id").to_numpy()
+            some = np.arange(len(lists)) if free is None else np.nonzero(np.isin(lists, free))[0]
+            moved[lists[some]] = matrix(means.column("centroid"))[some]
         shift = float(np.max(np.sum((moved - centroids) ** 2, axis=1)))
         centroids = moved
         if shift <= tolerance ** 2:
@@ -94,6 +109,39 @@ def lloyd(rows: DataFrame, centroids: np.ndarray, metric: str, rounds: int, tole
     return centroids
 
 
+def split_grown(rows: DataFrame, centroids: np.ndarray, metric: str, parts: dict[int, int], rounds: int = SPLIT_ROUNDS) -> np.ndarray:
+    """Centroids with each list of ``parts`` split into so many; ``rows`` are those of these lists.
+
+    The first part keeps the list's number, the others get new ones at the end.
+    Parts start from different rows of the list, the first by hash, and are
+    fitted on all its rows; a list with fewer different rows has fewer parts.
+    Other lists keep their centroids and may take rows that are nearest to them.
+    """
+    rows = rows.where(F.col("vector").isNotNull()).select("id", "list_id", to_double(F.col("vector")).alias("vector"))
+    if metric == COSINE:
+        rows = rows.where(norm(F.col("vector")) > 0).withColumn("vector", l2_normalize(F.col("vector")))
+    wanted = rows.sparkSession.createDataFrame(list(parts.items()), "list_id int, parts int")     # fewer rows than centroids
+    first = Window.partitionBy("list_id").orderBy("place", "id")
+    starts = (rows.withColumn("place", F.xxhash64("vector", "id")).withColumn("n", F.row_number().over(first))
+              .where(F.col("n") <= START_FACTOR * max(parts.values())).join(F.broadcast(wanted), "list_id")
+              .where(F.col("n") <= START_FACTOR * F.col("parts")).orderBy("list_id", "n").select("list_id", "vector").toArrow())
+    lists, vectors = starts.column("list_id").to_numpy(), matrix(starts.column("vector"))
+    grown, free = [centroids.copy()], []
+    size = len(centroids)
+    for value, count in sorted(parts.items()):
+        _, at = np.unique(vectors[lists == value], axis=0, return_index=True)
+        seeds = vectors[lists == value][np.sort(at)[:count]]
+        if len(seeds) < 2:
+            continue
+        grown[0][value] = seeds[0]
+        grown.append(seeds[1:])
+        free += [value, *range(size, size + len(seeds) - 1)]
+        size += len(seeds) - 1
+    if not free:
+        return centroids
+    return lloyd(rows.select("id", "vector"), np.concatenate(grown), metric, rounds, DEFAULT_TOLERANCE, np.array(free))
+
+
 def check_centroids(centroids: np.ndarray) -> np.ndarray:
     if centroids.nbytes > MAX_CENTROID_BYTES:
         raise ValueError("the centroids are too large to broadcast; train with fewer lists")

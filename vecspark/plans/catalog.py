@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 RECORD = """
     index_name string, version long, dropped boolean, index_type string, is_trained boolean,
     metric string, embedding_model string, dimension int, element string, pq_dim int, pq_bits int,
-    n_lists int, n_probes int, reach int, n_at_train long, sealed boolean, key_salt string, key_fingerprint string,
-    folder string, seq long, segments array<struct<name: string, seq: long, n: long, lo: string, hi: string>>,
+    n_lists int, n_probes int, reach int, density double, n_at_train long, sealed boolean, key_salt string, key_fingerprint string,
+    folder string, seq long, segments array<struct<name: string, seq: long, n: long, lo: string, hi: string, gone: array<int>>>,
     removals array<struct<name: string, seq: long, n: long>>, centroids string, codebooks string,
     metadata_columns map<string, string>, retrain_multiplier double, min_train_rows long,
     training string, applied map<string, long>

@@ -21,6 +21,7 @@ from ..functions.distance import EUCLIDEAN, check_metric
 from ..functions.embed import detect_dimension
 from ..functions.filters import PROMOTABLE, compile_filter, promote, pushed_filter
 from ..operators import merge, pq, search, train, validate
+from ..operators.train import SPLIT_FACTOR
 from ..sources.items import from_arrays, item_rows
 from .catalog import Catalog, VersionConflict
 from .workspace import scratch_path, spread_small, written
@@ -99,7 +100,7 @@ class VectorStore:
             "index_name": name, "version": before["version"] if before else 0, "dropped": False,
             "index_type": config["type"], "is_trained": False, "metric": metric or EUCLIDEAN,
             "embedding_model": embedding_model, "dimension": config["dimension"], "element": None,
-            "pq_dim": config["pq_dim"], "pq_bits": config["pq_bits"], "n_lists": None, "n_probes": None, "reach": None,
+            "pq_dim": config["pq_dim"], "pq_bits": config["pq_bits"], "n_lists": None, "n_probes": None, "reach": None, "density": None,
             "n_at_train": None, "sealed": seal, "key_salt": salt, "key_fingerprint": protect.fingerprint(key, salt),
             "folder": f"{self.catalog.root}/collections/{uuid.uuid4().hex}", "seq": 0, "segments": [],
             "removals": [], "centroids": None, "codebooks": None, "metadata_columns": metadata_columns or {},
@@ -214,6 +215,9 @@ class Collection:
         folder = f"{state['folder']}/items"
         rows = (self.spark.read.schema(schema).option("basePath", folder)
                 .parquet(*(files if files is not None else [f"{folder}/seg={s['name']}" for s in segments])))
+        for gone in {tuple(s.get("gone") or ()) for s in segments} - {()}:      # lists that were split since
+            names = [s["name"] for s in segments if tuple(s.get("gone") or ()) == gone]
+            rows = rows.where(~(F.col("seg").isin(names) & F.col("list_id").isin(list(gone))))
         removals = [r for r in state["removals"] if r["seq"] > min(s["seq"] for s in segments)]
         if not removals:
             return rows.drop("seg")
@@ -509,7 +513,8 @@ class Collection:
     def _tidy(self, auto_train: bool) -> None:
         """After a write: train when the row count asks for it, else fold piled-up files.
 
-        Never a full rewrite; ``compact`` is for the caller to plan.
+        The first training fits all lists, later ones split those that have outgrown
+        the others. Never a full rewrite; ``compact`` is for the caller to plan.
         A lost race is left to the next write.
         """
         state = self.state()
@@ -517,7 +522,10 @@ class Collection:
         rule = (state["n_at_train"], state["retrain_multiplier"], state["min_train_rows"])
         try:
             if auto_train and train.needs_training(written, *rule) and self.needs_training():
-                self.train()
+                if state["is_trained"]:
+                    self.split_lists()
+                else:
+                    self.train()
             elif max(len(state["segments"]), len(state["removals"])) > MAX_SEGMENTS:
                 self.fold()
         except VersionConflict:
@@ -635,9 +643,7 @@ class Collection:
         centroids = train.train_lists(rows, metric, n, n_lists, max_iters, tolerance, max_memory, seed, sample_rows, state["dimension"],
                                       None if initial is None else train.centroid_array(initial))
         generation = uuid.uuid4().hex
-        lists = self.spark.createDataFrame(
-            [(i, row.tolist()) for i, row in enumerate(centroids)], "list_id int, centroid array<double>")
-        lists.write.parquet(f"{state['folder']}/centroids/{generation}")
+        self._write_centroids(state, generation, centroids)
         books = None
         if state["index_type"] == "ivfpq":
             books = pq.train_codebooks(rows, metric, n, state["dimension"], state["pq_dim"], state["pq_bits"],
@@ -647,7 +653,7 @@ class Collection:
             pq.codebook_frame(self.spark, books).join(errors, ["sub", "code"], "left").fillna(0, ["n", "error"]) \
                 .write.parquet(f"{state['folder']}/codebooks/{generation}")
         changes = {
-            "is_trained": True, "n_at_train": n, "n_lists": len(centroids), "centroids": generation,
+            "is_trained": True, "n_at_train": n, "n_lists": len(centroids), "density": len(centroids) / n ** 0.5, "centroids": generation,
             "codebooks": generation if books is not None else None,
             "training": f"batch_size={batch_size} max_iters={max_iters} tolerance={tolerance} max_memory={max_memory} "
                         f"calibration_rows={calibration_rows if calibration is None else calibration.count()} "
@@ -668,16 +674,65 @@ class Collection:
         known = dict(trained, segments=[base], removals=[])
         moved = self._stored(known)
         asked = train.calibration_queries(moved, n, seed, calibration_rows) if calibration is None else calibration.select("query_id", "qv")
-        truth = train.stored_neighbours(moved, asked, metric, calibration_k)
-        path = scratch_path(self.spark, "neighbours")
-        truth.write.parquet(path)
-        truth = self.spark.read.schema(truth.schema).parquet(path)
-        changes["n_probes"] = train.auto_probe_count(train.calibrate_probes(moved, asked, centroids, metric, truth=truth))
+        changes |= self._calibrated(state, generation, moved, asked, centroids, calibration_k)
+        self._replace(state, state["segments"], [base], changes, state["seq"], convert=convert)
+
+    def split_lists(self, factor: float = SPLIT_FACTOR) -> int:
+        """Split the lists with more than ``factor`` times their share of the rows; how many lists are new.
+
+        Only rows of these lists are written anew, as a segment of their own. All
+        other files stay; older segments just leave out the split lists, until
+        they are folded. Rows of other lists are not moved. Nothing is split
+        when the centroids would outgrow their bound. The commit fails with
+        VersionConflict when others wrote meanwhile.
+        """
+        state = self.state()
+        if not state["is_trained"]:
+            raise ValueError("only a trained collection has lists to split")
+        centroids, metric = self._centroids(state), state["metric"]
+        stored = self._stored(state)
+        sizes = train.size_array(stored, len(centroids))
+        n = stored.count()
+        density = state["density"] or len(centroids) / max(state["n_at_train"], 1) ** 0.5
+        parts = train.grown_lists(sizes, density, factor)
+        if (len(centroids) + sum(parts.values())) * centroids.shape[1] * 8 > train.MAX_CENTROID_BYTES:
+            parts = {}
+        rows = stored.where(F.col("list_id").isin(list(parts)))
+        new = train.split_grown(rows, centroids, metric, parts) if parts else centroids
+        if len(new) == len(centroids):
+            self.catalog.commit(dict(state, n_at_train=n))
+            return 0
+        split = [x for x in parts if (new[x] != centroids[x]).any()]      # copies of one row stay together
+        rows = stored.where(F.col("list_id").isin(split))
+        generation = uuid.uuid4().hex
+        self._write_centroids(state, generation, new)
+        changes = {"n_at_train": n, "n_lists": len(new), "centroids": generation, "seq": state["seq"] + 1}
+        name = self._write_segment(train.assign_lists(rows, new, metric), state)
+        try:
+            kept = [dict(s, gone=sorted({*(s.get("gone") or ()), *split})) for s in state["segments"]]
+            changes["segments"] = kept + [self._entry(state, name, changes["seq"])]
+            moved = self._stored(dict(state, **changes))
+            changes |= self._calibrated(state, generation, moved, train.calibration_queries(moved, n), new, search.DEFAULT_TOP_K)
+            self.catalog.commit(dict(state, **changes))
+        except Exception:
+            self.catalog.remove(f"{state['folder']}/items/seg={name}")
+            raise
+        return len(new) - len(centroids)
+
+    def _calibrated(self, state, generation, moved, asked, centroids, k) -> dict:
+        """Probe count and reach that the queries ``asked`` need for ``k`` hits; the radii of the lists are kept."""
+        metric = state["metric"]
+        truth = written(train.stored_neighbours(moved, asked, metric, k), "neighbours")
         radii = train.list_radii(moved, centroids, metric)
         self.spark.createDataFrame(list(enumerate(radii.tolist())), "list_id int, radius double") \
             .write.parquet(f"{state['folder']}/radii/{generation}")
-        changes["reach"] = train.auto_reach(train.calibrate_reach(moved, asked, centroids, radii, metric, truth=truth))
-        self._replace(state, state["segments"], [base], changes, state["seq"], convert=convert)
+        return {"n_probes": train.auto_probe_count(train.calibrate_probes(moved, asked, centroids, metric, truth=truth)),
+                "reach": train.auto_reach(train.calibrate_reach(moved, asked, centroids, radii, metric, truth=truth))}
+
+    def _write_centroids(self, state: dict, generation: str, centroids) -> None:
+        lists = self.spark.createDataFrame(
+            [(i, row.tolist()) for i, row in enumerate(centroids)], "list_id int, centroid array<double>")
+        lists.write.parquet(f"{state['folder']}/centroids/{generation}")
 
     def _centroids(self, state: dict):
         return train.centroid_array(self.spark.read.parquet(f"{state['folder']}/centroids/{state['centroids']}"))

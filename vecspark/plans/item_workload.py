@@ -18,6 +18,7 @@ from .workload import (DIGITS, FILTERS, K, KEY, PQ_DIM, TEXT_DIM, _assigned, _bo
 from .workspace import scratch_path
 
 CELL = {"query_rows": 128, "item_rows": 256}     # so that the given tables make many cells
+SPLIT = 1.013                                    # times the mean size, which no list has exactly
 ROUNDS = 2                                       # Lloyd rounds that SQL repeats
 
 
@@ -202,6 +203,16 @@ def retrain_rule(spark, sf):
     return spark.createDataFrame(rows, "step int, is_trained boolean, n_at_train long")
 
 
+def split_lists(spark, sf):
+    """Lists somewhat larger than the mean are split: which rows were written anew, and the lists of all others."""
+    collection = _trained(spark, sf)
+    collection.split_lists(factor=SPLIT)
+    state = collection.state()
+    anew = collection._stored(state, state["segments"][-1:]).select("id", F.lit(True).alias("anew"))
+    rows = collection._stored(state).select("id", "list_id").join(anew, "id", "left")
+    return rows.select("id", F.coalesce("anew", F.lit(False)).alias("anew"), F.when(F.col("anew").isNull(), F.col("list_id")).alias("list_id"))
+
+
 def _trained(spark, sf):
     """A collection with lists fitted in a few rounds from the label means."""
     collection = _collection(spark, sf)
@@ -293,7 +304,7 @@ def store_mmr_ids(spark, sf):
 def registry() -> dict:
     return {f.__name__: f for f in (
         knn_many, ivf_many, greedy_filtered_lists, fixture_source, from_texts, generated_ids, arrays_mismatch, absent_fields, null_fields, bad_config, config_spellings,
-        wrong_key, get_include, get_documents, delete_documents, retrain_rule, train_cost, pq_train_error, collection_recall, auto_probes, adaptive_curve,
+        wrong_key, get_include, get_documents, delete_documents, retrain_rule, split_lists, train_cost, pq_train_error, collection_recall, auto_probes, adaptive_curve,
         adaptive_recall, store_mmr_ids)}
 
 
@@ -401,6 +412,9 @@ def statements() -> dict[str, str]:
               UNION ALL SELECT n.step, CASE WHEN (n_at_train IS NULL AND n >= 100) OR n >= 2 * n_at_train THEN n ELSE n_at_train END
               FROM r JOIN n ON n.step = r.step + 1)
             SELECT step::INTEGER AS step, n_at_train IS NOT NULL AS is_trained, n_at_train FROM r WHERE step >= 0""",
+        "split_lists": f"""WITH {_rounds()}, sizes AS (SELECT list_id, count(*) > {SPLIT} * (SELECT count(*) FROM items) / (SELECT count(*) FROM means0) AS anew
+              FROM assigned{ROUNDS} GROUP BY list_id)
+            SELECT id, anew, CASE WHEN NOT anew THEN list_id::INTEGER END AS list_id FROM assigned{ROUNDS} JOIN sizes USING (list_id)""",
         "train_cost": f"""WITH {_rounds()} SELECT list_id::INTEGER AS list_id, count(*) AS n, round(sum(list_distance(v, c) * list_distance(v, c)), 6) AS cost
             FROM assigned{ROUNDS} JOIN items USING (id) JOIN means{ROUNDS} USING (list_id) GROUP BY list_id""",
         "pq_train_error": f"""{_code_rounds()} SELECT sub::INTEGER AS sub, count(*) AS n, round(sum(list_distance(p, b) * list_distance(p, b)), 6) AS error
