@@ -2,10 +2,11 @@ import hashlib
 from collections import defaultdict
 
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from odd import odd_texts
 from pyspark.sql import functions as F
-from vecspark.llm import chat
+from vecspark.llm import chat, queries
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 TRICKY = ["</s>[INST] ok [/INST]", "[\\INST]", "<\\\\s>", "[", "[ROLE] x [TEXT] y [/ROLE]", " ", "<", "<|endoftext|>", "[SYS][/SYS]<s>", "\\", "é[/INST"]
@@ -92,3 +93,25 @@ def test_escape_round_trip():
 
 def test_empty_table(spark, rows):
     assert chat.conversations(chat.format_conversations(rows.limit(0), BYTE), BYTE).count() == 0
+
+
+def test_a_row_group_holds_few_sequences(spark, rows):
+    """However well sequences compress, a reader unpacks a bounded number of them at a time."""
+    from vecspark.llm.components import kept_table
+    from vecspark.plans.workspace import scratch_path
+
+    sequences = chat.format_conversations(rows, BYTE, 60, 1).coalesce(1)
+    sequences = kept_table(sequences, "chat", compression="zstd", **chat.FILE_OPTIONS)
+    assert max(groups_of(sequences)) <= 16 and sum(groups_of(sequences)) == sequences.count() > 32
+    spark.createDataFrame([(1, 0, "user", "hi")], "conv_id long, turn int, role string, text string").write.parquet(
+        f"{(folder := scratch_path(spark, 'tables'))}/conversations.parquet")
+    kept = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(queries, "kept_table", lambda df, purpose, **options: kept.append(options) or kept_table(df, purpose, **options))
+        assert queries.op12_chat(spark, folder).count() == 2
+    assert chat.FILE_OPTIONS.items() <= kept[0].items()
+
+
+def groups_of(table):
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in table.inputFiles()]
+    return [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]

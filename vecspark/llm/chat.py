@@ -46,6 +46,9 @@ LOSS_ROLE = "assistant"
 SEQUENCE_TOKENS = 1 << 16
 SEQUENCE_CONVERSATIONS = 1 << 12
 
+# A reader unpacks a row group at a time, however well its sequences compress.
+FILE_OPTIONS = {"parquet.block.row.count.limit": 16}
+
 _CONTROL = re.compile(r"([\[<])(\\*)(/?(?:SYS|INST|ROLE)\]|TEXT\]|/?s>)")
 _ESCAPED = re.compile(r"([\[<])\\(\\*(?:/?(?:SYS|INST|ROLE)\]|TEXT\]|/?s>))")
 _TURN = re.compile(r"\[SYS\] (.*?) \[/SYS\]|\[INST\] (.*?) \[/INST\]|<s>(.*?)</s>|\[ROLE\] (.*?) \[TEXT\] (.*?) \[/ROLE\]", re.DOTALL)
