@@ -72,3 +72,17 @@ def test_nearest_rows_lowest_id_wins():
     small = np.array([[1.0, 0.0], [0.0, 1.0], [1.0, 0.0]])
     top = blocks.nearest_rows(np.array([[1.0, 0.1], [0.0, 2.0]]), small, 2, EUCLIDEAN)
     assert top.id.tolist() == [[0, 2], [1, 0]]
+
+
+@pytest.mark.parametrize("metric", METRICS)
+def test_many_items_at_once_are_offered_in_parts(metric, monkeypatch):
+    """Items beyond one part, ids as text or as numbers: the hits of brute force, and what is full rules out the rest."""
+    monkeypatch.setattr(blocks, "ITEM_ROWS", 50)
+    monkeypatch.setattr(blocks, "ITEM_FACTOR", 4)
+    rng = np.random.default_rng(8)
+    x, q = np.round(rng.normal(size=(620, 4)), 1), np.round(rng.normal(size=(15, 4)), 1)
+    ids = [f"{i:04d}" for i in rng.permutation(620)]
+    assert kernel(q, x, ids, 10, metric, 620) == brute(q, x, ids, 10, metric)
+    numbers, top = np.array([int(i) for i in ids]), blocks.TopK(len(q), 10, numbers=True)
+    blocks.QueryBlock(q, metric).offer(top, np.arange(len(q)), x, numbers)
+    assert [list(zip(d, i)) for d, i in zip(top.d.tolist(), top.id.tolist())] == brute(q, x, [int(i) for i in ids], 10, metric)
