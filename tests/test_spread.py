@@ -76,3 +76,29 @@ def test_many_queries_stay_off_the_driver(spark, items, monkeypatch):
     hits = search.search(queries, items, 3, payload=("list_id",)).cache()
     assert hits.count() == 75_000 and not fetched
     assert {tuple(r)[:4] for r in hits.where("query_id % 5000 = 0").collect()} == expected(items, some, 3, "euclidean")
+
+
+def cells_seen(monkeypatch):
+    """The frames of cells that searches write from here on."""
+    seen, whole = [], spread.written
+    monkeypatch.setattr(spread, "written", lambda df, purpose: seen.append((purpose, out := whole(df, purpose))) or out)
+    return lambda purpose: [df for name, df in seen if name == purpose]
+
+
+def test_small_bounds_do_not_multiply_copies(spark, items, monkeypatch):
+    """However few rows a caller wants in a cell, each side is copied a bounded number of times."""
+    seen = cells_seen(monkeypatch)
+    queries = queries_of(spark, 90)
+    assert spread.spread_search(queries, items, K, "euclidean", 1, 1).count() == 90 * K
+    (cell,) = seen("cells")[0].collect()
+    assert cell.parts == cell.blocks == spread.PIECES
+
+
+def test_a_query_goes_once_to_the_lists_of_a_bin(spark, items, monkeypatch):
+    """Forty lists, all probed: a query is sent to one bin, not to each list, and hits stay the same."""
+    seen = cells_seen(monkeypatch)
+    items = items.withColumn("list_id", F.when(F.col("list_id") < 0, F.col("list_id")).otherwise(F.pmod(F.hash("id"), F.lit(40))))
+    queries = queries_of(spark, 60).withColumn("probes", F.sequence(F.lit(0), (F.col("query_id") % 40).cast("int")))
+    rows = spread.spread_search(queries, items, K).collect()
+    assert {tuple(r) for r in rows} == expected(items, queries, K, "euclidean", probing=True)
+    assert seen("postings")[0].count() == 60
