@@ -198,3 +198,13 @@ def test_streams(spark):
     query_stream(stream, c, target, scratch_path(spark, "cp"), available_now=True, top_k=1, include=("distance",)).awaitTermination()
     best = {r["query_id"]: r["id"] for r in spark.read.parquet(target).collect()}
     assert best[12] == "12" and len(best) == 40
+
+
+def test_ordered_embedder_tells_the_order_of_words(spark):
+    """Places of words and the whole text count: the same words in another order, or in other case, give another vector."""
+    embedder = embed.ordered_embedder(16)
+    texts = ["a b c d", "d c b a", "A b c d", "a b c d", None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, t string").repartition(3)
+    v = [r["v"] for r in rows.select("id", embedder(F.col("t")).alias("v")).orderBy("id").collect()]
+    assert v[0] == v[3] and v[0] != v[1] and v[0] != v[2] and v[4] is None
+    assert all(abs(sum(x * x for x in one) - 1) < 1e-4 for one in v if one is not None)
