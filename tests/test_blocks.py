@@ -86,3 +86,19 @@ def test_many_items_at_once_are_offered_in_parts(metric, monkeypatch):
     numbers, top = np.array([int(i) for i in ids]), blocks.TopK(len(q), 10, numbers=True)
     blocks.QueryBlock(q, metric).offer(top, np.arange(len(q)), x, numbers)
     assert [list(zip(d, i)) for d, i in zip(top.d.tolist(), top.id.tolist())] == brute(q, x, [int(i) for i in ids], 10, metric)
+
+
+@pytest.mark.parametrize("metric", METRICS)
+def test_lists_together_give_the_hits_of_each_alone(metric):
+    """Items of several lists at once, copies in different lists among them: only pairs that are asked for."""
+    rng = np.random.default_rng(9)
+    x, q = np.round(rng.normal(size=(900, 4)), 1), rng.normal(size=(12, 4))
+    x[::2] = x[0]
+    lists, ids, asks = rng.integers(0, 6, 900), np.arange(900), rng.random((12, 6)) < 0.6
+    asks[0] = False
+    block, top = blocks.QueryBlock(q, metric), blocks.TopK(len(q), 8, numbers=True)
+    block.offer(top, np.arange(len(q)), x, ids, lists, asks)
+    for i, one in enumerate(q):
+        own = asks[i][lists]
+        expected = brute([one], x[own], ids[own].tolist(), 8, metric)[0] if own.any() else []
+        assert list(zip(top.d[i, :top.n[i]].tolist(), top.id[i, :top.n[i]].tolist())) == expected
