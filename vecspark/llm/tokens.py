@@ -13,8 +13,7 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import struct
 
 from .worker import kept
 
@@ -34,6 +33,7 @@ _BEYOND_LATIN = re.compile("[^\t\n\x0b\x0c\r -~¡-įı-ɏ‐-‧‰-⁞€]")
 #: Byte-level models name a byte by a character: the printable ones by themselves, the rest from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_NAMES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_PRINTABLE))}
+BLANK_NAME = chr(BYTE_NAMES[32])
 
 
 class Remembered:
@@ -127,7 +127,9 @@ class UnitEncoder:
         found, missing = self.pieces.get_all(pieces)
         for i in missing:
             piece = pieces[i]
-            named = piece.encode().decode("latin-1").translate(BYTE_NAMES)
+            # printable ASCII is named by itself but for the blank
+            named = (piece.replace(" ", BLANK_NAME) if piece.isascii() and piece.isprintable()
+                     else piece.encode().decode("latin-1").translate(BYTE_NAMES))
             found[i] = value = self.value([t.id for t in self.model.tokenize(named)])
             self.pieces.put(piece, value)
         return found
@@ -135,7 +137,7 @@ class UnitEncoder:
 
 def id_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    return np.array(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def ids_of(text: str | None, path: str) -> bytes:
