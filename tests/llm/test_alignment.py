@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from odd import odd_texts
@@ -104,3 +105,11 @@ def test_piece_units_give_the_librarys_ids(library):
 
 def test_empty_table(no_docs):
     assert alignment.align(no_docs, BYTE, PIECE).count() == 0
+
+
+def test_links_are_looked_up_in_bounded_runs():
+    links = pa.array([[1] * n for n in (3, 0, 2, 9, 0, 1, 4)], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), links], names=["node", "links"]).slice(1)
+    runs = list(alignment.link_slices(batch, most=5))
+    assert [r.num_rows for r in runs] == [2, 1, 3]
+    assert pa.Table.from_batches(runs).equals(pa.Table.from_batches([batch]))

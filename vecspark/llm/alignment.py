@@ -45,6 +45,7 @@ from .worker import forget, kept
 PAIRS = 1 << 20           # pairs whose counts are broadcast
 BLANK = "▁"
 SHIFT = 32                # key of a pair: A id above, B id below
+LINKS = 1 << 18           # links looked up at a time
 SLICE = 1 << 18           # text bytes aligned at a time
 REMEMBERED = 100_000      # pieces, and units, of each of two generations in a worker
 
@@ -192,12 +193,21 @@ def links_of(docs: DataFrame, byte_tokenizer: str, piece_tokenizer: str) -> Data
     return source.mapInArrow(run, schema)
 
 
+def link_slices(batch: pa.RecordBatch, most: int = LINKS):
+    """Runs of rows with about ``most`` links each; a row with more is a run of its own."""
+    ends, at = batch.column(batch.schema.get_field_index("links")).offsets.to_numpy().astype(np.int64), 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def pair_counts(linked: DataFrame) -> DataFrame:
     """``pair, count, b`` over the whole corpus: links with this pair, and its B id."""
     def run(batches):
-        for batch in batches:
-            keys = pa.table({"pair": pc.list_flatten(batch.column(0))})
-            if keys.num_rows:
+        for whole in batches:
+            for batch in link_slices(whole):
+                keys = pa.table({"pair": pc.list_flatten(batch.column(0))})
                 counted = keys.group_by("pair", use_threads=False).aggregate([("pair", "count")])
                 yield from counted.select(["pair", "pair_count"]).rename_columns(["pair", "n"]).combine_chunks().to_batches()
 
@@ -229,6 +239,7 @@ def align(docs: DataFrame, byte_tokenizer: str, piece_tokenizer: str, pairs: int
 
     def table() -> tuple:
         forget("pairs ")
+        forget("alignment ")      # the encoders, whose work is done
         keys, number, top = (np.frombuffer(raw, kind) for raw, kind in zip(shared.value, (np.int64, np.int64, np.bool_)))
         return np.append(keys, -1), np.append(number, 0), np.append(top, False)
 
@@ -251,15 +262,15 @@ def align(docs: DataFrame, byte_tokenizer: str, piece_tokenizer: str, pairs: int
     schema = T.StructType([*plain, T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())])
 
     def score(batches):
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in link_slices(whole):
                 _, at, place, number, top = looked_up(batch)
                 yield pa.RecordBatch.from_arrays([
                     *[batch.column(batch.schema.get_field_index(f.name)) for f in plain], summed(top[place], at), summed(number[place], at)], names=schema.names)
 
     def rare(batches):
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in link_slices(whole):
                 own, at, place, number, _ = looked_up(batch)
                 node = np.repeat(batch.column(0).to_numpy(), np.diff(at))
                 lacking = place == len(number) - 1
