@@ -3,6 +3,7 @@
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,3 +209,15 @@ def test_ordered_embedder_tells_the_order_of_words(spark):
     v = [r["v"] for r in rows.select("id", embedder(F.col("t")).alias("v")).orderBy("id").collect()]
     assert v[0] == v[3] and v[0] != v[1] and v[0] != v[2] and v[4] is None
     assert all(abs(sum(x * x for x in one) - 1) < 1e-4 for one in v if one is not None)
+
+
+def test_embedders_add_up_bounded_runs_of_words(spark, monkeypatch):
+    """Each run is within the bound or one text; runs of one batch give the vectors of rows alone."""
+    rows = [(0, "a b"), (1, "c d " * 80_000), (2, None), (3, "e f g " * 60_000), (4, ""), (5, "h")]
+    texts = spark.createDataFrame(rows, "id int, text string")
+    for embedder in (embed.hashing_embedder(16), embed.ordered_embedder(16)):
+        one, many = (t.select("id", embedder(F.col("text")).alias("v")).orderBy("id").collect() for t in (texts.coalesce(1), texts.repartition(6, "id")))
+        assert one == many
+    words = pa.array([[], [1, 2, 3], [4], [], [5] * 9, [6, 7], []], pa.list_(pa.int64())).slice(1)
+    monkeypatch.setattr(embed, "RUN_WORDS", 4)
+    assert list(embed._runs(words)) == [(0, 3), (3, 1), (4, 2)]
