@@ -102,3 +102,12 @@ def test_a_query_goes_once_to_the_lists_of_a_bin(spark, items, monkeypatch):
     rows = spread.spread_search(queries, items, K).collect()
     assert {tuple(r) for r in rows} == expected(items, queries, K, "euclidean", probing=True)
     assert seen("postings")[0].count() == 60
+
+
+def test_cells_are_dealt_to_tasks_of_their_own(spark, items, monkeypatch):
+    """Cells of few bytes are much work: they do not share a few tasks."""
+    seen = []
+    monkeypatch.setattr(spread, "merged", lambda hits, k, n: seen.append(hits) or hits)
+    spread.spread_search(queries_of(spark, 300), items, K, query_rows=40, item_rows=40)
+    per_task = seen[0].select("part", F.spark_partition_id().alias("task")).distinct().groupBy("task").count()
+    assert per_task.count() > 20
