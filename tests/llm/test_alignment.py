@@ -113,3 +113,22 @@ def test_links_are_looked_up_in_bounded_runs():
     runs = list(alignment.link_slices(batch, most=5))
     assert [r.num_rows for r in runs] == [2, 1, 3]
     assert pa.Table.from_batches(runs).equals(pa.Table.from_batches([batch]))
+
+
+def test_links_are_written_in_bounded_runs(spark, library):
+    """A row holds few links however long its text; what is known of a document stands in its first row alone."""
+    texts = ["wort " * 2000 + "ende", "", None, "a b", "x" * 3000]
+    docs = spark.createDataFrame([(i % 2 or None, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    rows = alignment.links_of(docs, BYTE, PIECE).collect()
+    assert max(len(r.links) for r in rows) <= 256 and len(rows) > 8 + len(texts)
+    firsts = [r for r in rows if r.first]
+    assert [r.n_links for r in firsts] == [sum(len(r.links) for r in rows if r.node == f.node) for f in firsts] and len(firsts) == len(texts)
+    assert all(r.doc_id is r.n_links is r.groups_sha256 is None for r in rows if not r.first)
+    got = [tuple(r)[1:] for r in alignment.align(docs, BYTE, PIECE, 16).collect()]
+    assert sorted(got) == sorted(brute(library, texts))
+
+
+def test_runs_cut_rows_and_keep_empty_ones():
+    links = pa.array([[1, 2, 3], [], [4, 5]], pa.list_(pa.int64()))
+    first, row, runs = alignment.in_runs(links, most=2)
+    assert (first.to_pylist(), row.to_pylist(), runs.to_pylist()) == ([0, None, 1, 2], [0, 0, 1, 2], [[1, 2], [3], [], [4, 5]])

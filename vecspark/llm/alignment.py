@@ -10,12 +10,14 @@ links: each stretch between neighbouring ends belongs to one A and one B token,
 and two tokens overlap in one stretch at most. Ends that both sides have close
 the groups.
 
-The ids of each link are one key. Links are written aside per document; their
-counts are partial ``group_by`` sums of Arrow tables, merged by Spark. Counts
-come back to the documents in two tiers: the ``PAIRS`` most frequent pairs, as
-far as whole powers of two of their counts fit, are broadcast, and so is the
-highest count of each B id, bounded by its vocabulary; links of rarer pairs are
-joined by a shuffle.
+The ids of each link are one key. Links are written aside, a document's in rows
+of at most ``RUN``, so that a batch of rows is bounded however long the texts;
+the first row of a document holds what else is known of it. Their counts are
+partial ``group_by`` sums of Arrow tables, merged by Spark. Counts come back to
+the documents in two tiers: the ``PAIRS`` most frequent pairs, as far as whole
+powers of two of their counts fit, are broadcast, and so is the highest count
+of each B id, bounded by its vocabulary; links of rarer pairs are joined by a
+shuffle. One sum over both tiers joins the documents.
 
 Null and empty texts, and texts that B's pieces do not spell exactly (those
 with U+2581), have no tokens: zeros and an empty grouping. Strings of special
@@ -45,9 +47,11 @@ from .worker import forget, kept
 PAIRS = 1 << 20           # pairs whose counts are broadcast
 BLANK = "▁"
 SHIFT = 32                # key of a pair: A id above, B id below
+RUN = 1 << 8              # links in a row; Arrow sends 10,000 rows at a time
 LINKS = 1 << 18           # links looked up at a time
 SLICE = 1 << 18           # text bytes aligned at a time
-REMEMBERED = 100_000      # pieces, and units, of each of two generations in a worker
+UNITS = 1 << 10           # unknown units of a text encoded at a time
+REMEMBERED = 150_000      # pieces, and units, of each of two generations in a worker
 
 # Blanks with the word behind them, or a line end with the word behind it: pieces hold blanks at their start only, and no line end.
 _UNITS = re.compile(" +[^ \n]*|\n[^ \n]*")
@@ -73,14 +77,15 @@ class PieceEncoder:
     def exact(self, ids: list[int], spelled: str) -> bool:
         return b"".join(map(self.raw.__getitem__, ids)) == spelled.encode()
 
-    def unit(self, unit: str) -> bytes | None:
-        """Ids of a unit; None if they do not spell it."""
-        ids = self.whole(unit[1:]) if unit[0] == " " else self.whole(unit)
-        if unit[0] != " ":
-            if ids[0] != self.blank:
-                return None
-            ids = ids[1:]
-        return id_bytes(ids) if self.exact(ids, unit) else None
+    def each(self, units: list[str]):
+        """Ids of every unit; None where they do not spell it."""
+        for unit, ids in zip(units, self.library.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)):
+            if unit[0] != " ":
+                if ids[0] != self.blank:
+                    yield None
+                    continue
+                ids = ids[1:]
+            yield id_bytes(ids) if self.exact(ids, unit) else None
 
     def ids(self, text: str) -> bytes | None:
         """Ids of a text as ``id_bytes``; None if they do not spell it behind a blank."""
@@ -91,12 +96,14 @@ class PieceEncoder:
             return id_bytes(ids) if self.exact(ids, " " + text) else None
         units = _UNITS.findall(" " + text)
         found, missing = self.units.get_all(units)
-        for i in missing:
-            found[i] = value = self.unit(units[i])
-            if value is None:
-                ids = self.whole(text)
-                return id_bytes(ids) if self.exact(ids, " " + text) else None
-            self.units.put(units[i], value)
+        for at in range(0, len(missing), UNITS):
+            some = missing[at:at + UNITS]
+            for i, value in zip(some, self.each([units[i] for i in some])):
+                if value is None:
+                    ids = self.whole(text)
+                    return id_bytes(ids) if self.exact(ids, " " + text) else None
+                found[i] = value
+                self.units.put(units[i], value)
         return b"".join(found)
 
 
@@ -177,10 +184,25 @@ def aligned(pair: Pair, texts: list[str]) -> dict:
         "links": pa.ListArray.from_arrays(pa.array(link_at, pa.int32()), pa.array(links, pa.int64()))}
 
 
+def in_runs(links: pa.ListArray, most: int = RUN) -> tuple[pa.Array, pa.Array, pa.ListArray]:
+    """Each row's links cut into runs: the row, null but for its first run; the row; the runs. A row without links is one empty run."""
+    at = links.offsets.to_numpy().astype(np.int64)
+    runs = np.maximum(1, -(-np.diff(at) // most))
+    row = np.repeat(np.arange(len(links)), runs)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(runs) - runs, runs)
+    starts = np.append(at[:-1][row] + most * place, at[-1])
+    return pa.array(row, mask=place > 0), pa.array(row), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), links.values)
+
+
 def links_of(docs: DataFrame, byte_tokenizer: str, piece_tokenizer: str) -> DataFrame:
-    """``node, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, links``; a link is its pair's key."""
+    """``node, first, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, links``; a link is its pair's key.
+
+    A document is as many rows as its links are runs; the columns from ``doc_id``
+    to ``groups_sha256`` are those of its ``first``, null in the others.
+    """
     source = docs.select(F.monotonically_increasing_id().alias("node"), "doc_id", "text")
-    schema = T.StructType([source.schema["node"], source.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links")],
+    doc_id = T.StructField("doc_id", source.schema["doc_id"].dataType)
+    schema = T.StructType([source.schema["node"], T.StructField("first", T.BooleanType()), doc_id, *[T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links")],
                            T.StructField("groups_sha256", T.StringType()), T.StructField("links", T.ArrayType(T.LongType()))])
 
     def run(batches):
@@ -188,7 +210,9 @@ def links_of(docs: DataFrame, byte_tokenizer: str, piece_tokenizer: str) -> Data
         for batch in batches:
             for part in slices(batch, most=SLICE):
                 found = aligned(pair, strings(part))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[found[f] for f in schema.names[2:]]], names=schema.names)
+                first, row, links = in_runs(found.pop("links"))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(row), first.is_valid(), part.column(1).take(first), *[
+                    found[f].take(first) for f in schema.names[3:-1]], links], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -205,6 +229,7 @@ def link_slices(batch: pa.RecordBatch, most: int = LINKS):
 def pair_counts(linked: DataFrame) -> DataFrame:
     """``pair, count, b`` over the whole corpus: links with this pair, and its B id."""
     def run(batches):
+        forget("alignment ")      # the encoders, whose work is done
         for whole in batches:
             for batch in link_slices(whole):
                 keys = pa.table({"pair": pc.list_flatten(batch.column(0))})
@@ -239,7 +264,7 @@ def align(docs: DataFrame, byte_tokenizer: str, piece_tokenizer: str, pairs: int
 
     def table() -> tuple:
         forget("pairs ")
-        forget("alignment ")      # the encoders, whose work is done
+        forget("alignment ")
         keys, number, top = (np.frombuffer(raw, kind) for raw, kind in zip(shared.value, (np.int64, np.int64, np.bool_)))
         return np.append(keys, -1), np.append(number, 0), np.append(top, False)
 
@@ -258,15 +283,14 @@ def align(docs: DataFrame, byte_tokenizer: str, piece_tokenizer: str, pairs: int
         sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
         return pa.array(sums[at[1:]] - sums[at[:-1]], pa.int64())
 
-    plain = [f for f in linked.schema.fields if f.name != "links"]
-    schema = T.StructType([*plain, T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())])
-
     def score(batches):
         for whole in batches:
             for batch in link_slices(whole):
                 _, at, place, number, top = looked_up(batch)
-                yield pa.RecordBatch.from_arrays([
-                    *[batch.column(batch.schema.get_field_index(f.name)) for f in plain], summed(top[place], at), summed(number[place], at)], names=schema.names)
+                node = batch.column(0).to_numpy()
+                ends = np.append(np.flatnonzero(node[1:] != node[:-1]) + 1, len(node))       # runs of one document follow each other
+                at = at[np.concatenate([[0], ends])]
+                yield pa.RecordBatch.from_arrays([pa.array(node[ends - 1]), summed(top[place], at), summed(number[place], at)], names=["node", "n_best", "count_sum"])
 
     def rare(batches):
         for whole in batches:
@@ -277,13 +301,14 @@ def align(docs: DataFrame, byte_tokenizer: str, piece_tokenizer: str, pairs: int
                 rest = pa.table({"node": node[lacking], "pair": own[lacking]}).group_by(["node", "pair"], use_threads=False).aggregate([([], "count_all")])
                 yield from rest.select(["node", "pair", "count_all"]).rename_columns(["node", "pair", "n"]).combine_chunks().to_batches()
 
-    scored = linked.mapInArrow(score, schema)
+    held_links = linked.select("node", "links")
+    sums = held_links.mapInArrow(score, "node long, n_best long, count_sum long")
     if least > 1:
-        rest = linked.select("node", "links").mapInArrow(rare, "node long, pair long, n long")
+        rest = held_links.mapInArrow(rare, "node long, pair long, n long")
         known = kept_table(counts.where(F.col("count") < least).join(F.broadcast(best), "b").select(
             "pair", "count", (F.col("count") == F.col("best")).alias("is_best")), "alignment-rare")
-        rest = rest.join(known, "pair").groupBy("node").agg(
-            F.sum(F.when(F.col("is_best"), F.col("n")).otherwise(0)).alias("more_best"), F.sum(F.col("n") * F.col("count")).alias("more"))
-        scored = scored.join(rest, "node", "left").withColumns({
-            "n_best": F.col("n_best") + F.coalesce("more_best", F.lit(0)), "count_sum": F.col("count_sum") + F.coalesce("more", F.lit(0))})
+        sums = sums.union(rest.join(known, "pair").select(
+            "node", F.when(F.col("is_best"), F.col("n")).otherwise(0).alias("n_best"), (F.col("n") * F.col("count")).alias("count_sum")))
+    sums = sums.groupBy("node").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    scored = linked.where("first").drop("first", "links").join(sums, "node")
     return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
