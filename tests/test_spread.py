@@ -1,6 +1,9 @@
 """Search of query sets beyond one block: cells in one job."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from vecspark.functions.blocks import exact_distance
@@ -111,3 +114,24 @@ def test_cells_are_dealt_to_tasks_of_their_own(spark, items, monkeypatch):
     spread.spread_search(queries_of(spark, 300), items, K, query_rows=40, item_rows=40)
     per_task = seen[0].select("part", F.spark_partition_id().alias("task")).distinct().groupBy("task").count()
     assert per_task.count() > 20
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_a_cell_compares_its_queries_in_runs(metric):
+    """Only a run of queries is ever held as doubles; how long runs are changes nothing."""
+    rng = np.random.default_rng(3)
+    n, width = 24_000, 64
+
+    def side(key, vector, rows, **more):
+        flat = pa.array(np.round(rng.normal(size=rows * width), 1).astype(np.float32))
+        vectors = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width), flat)
+        return pa.table({key: pa.array([f"{i}" for i in range(rows)]), vector: vectors, **more})
+
+    asked = side("query_id", "qv", n, lists=pa.array([[-1, i % 3] for i in range(n)], pa.list_(pa.int32())), bin=pa.array([4] * n), part=pa.array([1] * n))
+    held = side("id", "vector", 60, list_id=pa.array([i % 4 - 1 for i in range(60)]))
+    tracemalloc.start()
+    hits = spread.cell_hits(asked, held, 3, metric, rows=1000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < n * width * 8 and hits.num_rows == 3 * n
+    assert hits.combine_chunks().equals(spread.cell_hits(asked, held, 3, metric, rows=n).combine_chunks())
