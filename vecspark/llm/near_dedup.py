@@ -276,17 +276,19 @@ def group_nodes(nodes: DataFrame, texts_of, shingle_words: int, similarity: floa
 
     ``texts_of`` returns the texts ``(node, text)`` of a frame of nodes.
     """
-    bands = _bands(nodes)
+    bands, count = _bands(nodes), nodes.count()
     hubs = bands.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
-    members = kept_table(bands.join(hubs, "bucket"), "near-buckets")
+    members = kept_table(bands.join(hubs, "bucket"), "near-buckets", count * (REGISTERS // BAND))
     texts = kept_table(texts_of(members.select("node").distinct()), "near-texts", compression="zstd")
     star = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = kept_table(_verified(star, nodes, texts, shingle_words, similarity), "near-links")
     labels = components(links)
 
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = members.count()
+    labelled = kept_table(labelled, "near-labelled", rows)      # read twice
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_buckets = kept_table(labelled.join(mixed.select("bucket"), "bucket", "left_semi"), "near-open")
+    open_buckets = kept_table(labelled.join(mixed.select("bucket"), "bucket", "left_semi"), "near-open", rows)
     small = open_buckets.where(F.col("size") <= SMALL_BUCKET).where("node <> hub")      # pairs with the hub are known
     pairs = small.select("bucket", F.col("node").alias("a"), F.col("label").alias("la")).join(
         small.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb")), "bucket").where("a < b and la <> lb")
@@ -297,7 +299,7 @@ def group_nodes(nodes: DataFrame, texts_of, shingle_words: int, similarity: floa
         clusters = components(large.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
         inside = large.select("node", "label").distinct().join(nodes.select("node", "n"), "node").join(
             clusters.select("node", F.col("label").alias("cluster")), "node")
-        tiles = _blocks(kept_table(inside, "near-clusters"))
+        tiles = _blocks(kept_table(inside, "near-clusters", count))
         found = found.union(kept_table(_tile_links(tiles, texts, shingle_words, similarity), "near-links"))
     elif more.isEmpty():
         return labels
@@ -315,7 +317,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, similarity: float =
     head = F.struct(doc_id.isNull().alias("unnamed"), doc_id.alias("doc_id"), F.col("node").alias("first"))
     sets = rows.where("n > 0").select("set1", "set2", "n", head.alias("head"), "node").groupBy("set1", "set2").agg(
         F.min("node").alias("node"), F.min("head").alias("head"), F.first("n").alias("n"))
-    sets = kept_table(sets, "near-sets")
+    sets = kept_table(sets, "near-sets", rows.count())
     nodes = kept_table(rows.select("node", "n", "sketch").join(sets.select("node"), "node", "left_semi"), "near-nodes")
 
     def texts_of(wanted: DataFrame) -> DataFrame:

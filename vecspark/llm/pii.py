@@ -295,20 +295,20 @@ def plain_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def _bootstrapped(edges: DataFrame, rounds: int, min_seeds: int, min_confidence: float) -> tuple[DataFrame, DataFrame]:
     """All patterns with a seed, and the trusted ones; what these point at is a seed from then on, until no pattern is new."""
-    trusted_before = 0
+    trusted_before, rows = 0, edges.count()
     while True:
         known = edges.withColumn("belief", F.col("seed").cast("double"))
         for turn in range(rounds):
             patterns = known.groupBy("pattern").agg(
                 (F.sum("belief") / (F.count("*") + F.max("plain") + 1)).alias("confidence"), F.sum(F.col("seed").cast("long")).alias("seeds"))
-            patterns = kept_table(patterns.where(F.col("seeds") >= 1), "pii-patterns")
+            patterns = kept_table(patterns.where(F.col("seeds") >= 1), "pii-patterns", rows)
             if turn < rounds - 1:
                 scored = edges.join(patterns, "pattern", "left")
                 belief = scored.groupBy("instance").agg(
                     F.max("seed").alias("any_seed"), F.sum(F.log1p(-F.least(F.coalesce("confidence", F.lit(0.0)), F.lit(0.999)))).alias("doubt"))
                 # written first: a side that an aggregation has dealt out keeps the join from splitting a common instance
-                belief = kept_table(belief.select("instance", F.when(F.col("any_seed"), 1.0).otherwise(1 - F.exp("doubt")).alias("belief")), "pii-belief")
-                known = kept_table(edges.join(belief, "instance"), "pii-beliefs")
+                belief = kept_table(belief.select("instance", F.when(F.col("any_seed"), 1.0).otherwise(1 - F.exp("doubt")).alias("belief")), "pii-belief", rows)
+                known = kept_table(edges.join(belief, "instance"), "pii-beliefs", rows)
         trusted = patterns.where((F.col("seeds") >= min_seeds) & (F.col("confidence") >= min_confidence)).select("pattern", "confidence")
         number = trusted.count()
         if number == trusted_before:
@@ -316,7 +316,7 @@ def _bootstrapped(edges: DataFrame, rounds: int, min_seeds: int, min_confidence:
         trusted_before = number
         reached = edges.join(trusted, "pattern", "left_semi").select("instance", F.lit(True).alias("reached")).distinct()
         edges = edges.join(reached, "instance", "left").withColumn("seed", F.col("seed") | F.coalesce("reached", F.lit(False))).drop("reached")
-        edges = kept_table(edges, "pii-graph")
+        edges = kept_table(edges, "pii-graph", rows)
 
 
 def trusted_patterns(scanned: DataFrame, docs: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
