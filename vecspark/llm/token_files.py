@@ -61,11 +61,11 @@ def write_tokens(
         start = 0
         for batch in batches:
             for rows in slices(batch):
-                ids = [np.frombuffer(ids_of(t, tokenizer) + end, dtype="<i4") for t in strings(rows)]
-                counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+                ids = [ids_of(t, tokenizer) + end for t in strings(rows)]
+                counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
                 ends = np.cumsum(counts)
                 offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-                lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)), type=out.field("ids").type)
+                lists = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(ids), dtype="<i4")), type=out.field("ids").type)
                 columns = [rows.column(0), rows.column(1), pa.array(start + ends - counts), pa.array(counts), lists]
                 start += int(ends[-1])
                 fields = pa.schema([out.field(0), pa.field("doc_id", columns[1].type), *[out.field(i) for i in (2, 3, 4)]])

@@ -18,7 +18,7 @@ import struct
 from .worker import kept
 
 REMEMBERED = 300_000        # pieces of each of two generations in a worker
-LONGEST = 48                # longer pieces are encoded but not remembered
+LONGEST = 48                # longer pieces and words are encoded but not remembered
 
 # The letters and numbers of the Latin blocks, the pieces of the two patterns.
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
@@ -28,6 +28,7 @@ PIECES_SPACED = re.compile(rf"{_FORMS}| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(
 
 _WORDS_SPACED = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+_STOPS = frozenset(",.;:!?)")
 _BEYOND_LATIN = re.compile("[^\t\n\x0b\x0c\r -~¡-įı-ɏ‐-‧‰-⁞€]")
 
 #: Byte-level models name a byte by a character: the printable ones by themselves, the rest from 256 on.
@@ -68,13 +69,34 @@ class Remembered:
         self.young[key] = value
 
 
+class Known(dict):
+    """The value of every key, by ``value`` where it is not known; bounded like ``Remembered``, and as quick to ask as a dict."""
+
+    def __init__(self, value, most: int = REMEMBERED):
+        super().__init__()
+        self.value, self.most, self.old = value, most, {}
+
+    def __missing__(self, key: str):
+        found = self.old.get(key)
+        if found is None:
+            found = self.value(key)
+        if len(key) <= LONGEST:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
+        return found
+
+
 class UnitEncoder:
     """Encodes texts piece by piece.
 
     ``spaced``: a single space before a word belongs to the word (the byte-level
     tokenizer); else white space only separates, and words are lower-cased.
     ``value`` turns a list of ids into what is remembered, ``joined`` puts such
-    values together. ``frequent`` is a first tier of known pieces.
+    values together. ``frequent`` is a first tier of known pieces. Where white
+    space only separates, whole words are remembered too, and only unknown ones
+    are cut into pieces.
     """
 
     def __init__(self, path: str, spaced: bool, value, joined, frequent: dict | None = None):
@@ -90,6 +112,7 @@ class UnitEncoder:
         self.pattern = PIECES_SPACED if spaced else PIECES_DROPPED
         self.frequent = frequent or {}
         self.pieces = Remembered()
+        self.words = Known(self.pieces_of)
 
     def encode(self, text: str | None):
         """The joined value of a whole text; null counts as empty."""
@@ -99,7 +122,7 @@ class UnitEncoder:
             return self.whole(text)
         cased = text if self.spaced else text.lower()
         if _BEYOND_LATIN.search(cased) is None:
-            return self.joined(self.values(self.pattern.findall(cased)))
+            return self.joined(self.values(self.pattern.findall(cased)) if self.spaced else map(self.words.__getitem__, cased.split()))
         words = _WORDS_SPACED.findall(text) if self.spaced else text.split()
         return self.joined([self.word(w) for w in words])
 
@@ -110,7 +133,23 @@ class UnitEncoder:
         cased = word if self.spaced else word.lower()
         if _BEYOND_LATIN.search(cased):
             return self.whole(word)
-        return self.joined(self.values(self.pattern.findall(cased)))
+        return self.joined(self.values(self.pattern.findall(cased))) if self.spaced else self.words[cased]
+
+    def pieces_of(self, word: str):
+        """The value of a word's pieces, which are words themselves."""
+        if word.isalpha():
+            return self.merged(word)
+        if word[:-1].isalpha() and word[-1] in _STOPS:
+            return self.joined((self.words[word[:-1]], self.words[word[-1]]))
+        pieces = self.pattern.findall(word)
+        return self.merged(word) if len(pieces) == 1 else self.joined(map(self.words.__getitem__, pieces))
+
+    def merged(self, piece: str):
+        """The value of one piece, by the library's model."""
+        # printable ASCII is named by itself but for the blank
+        named = (piece.replace(" ", BLANK_NAME) if piece.isascii() and piece.isprintable()
+                 else piece.encode().decode("latin-1").translate(BYTE_NAMES))
+        return self.value([t.id for t in self.model.tokenize(named)])
 
     def values(self, pieces: list[str]) -> list:
         if self.frequent:
@@ -126,12 +165,8 @@ class UnitEncoder:
     def remembered(self, pieces: list[str]) -> list:
         found, missing = self.pieces.get_all(pieces)
         for i in missing:
-            piece = pieces[i]
-            # printable ASCII is named by itself but for the blank
-            named = (piece.replace(" ", BLANK_NAME) if piece.isascii() and piece.isprintable()
-                     else piece.encode().decode("latin-1").translate(BYTE_NAMES))
-            found[i] = value = self.value([t.id for t in self.model.tokenize(named)])
-            self.pieces.put(piece, value)
+            found[i] = value = self.merged(pieces[i])
+            self.pieces.put(pieces[i], value)
         return found
 
 
