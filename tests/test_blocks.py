@@ -102,3 +102,22 @@ def test_lists_together_give_the_hits_of_each_alone(metric):
         own = asks[i][lists]
         expected = brute([one], x[own], ids[own].tolist(), 8, metric)[0] if own.any() else []
         assert list(zip(top.d[i, :top.n[i]].tolist(), top.id[i, :top.n[i]].tolist())) == expected
+
+
+@pytest.mark.parametrize("metric", METRICS)
+@pytest.mark.parametrize("pairs", [3, 1 << 16])
+def test_full_queries_gather_pairs_of_several_products(metric, pairs, monkeypatch):
+    """Products of a few queries and items, some dense with copies, some of lists that are not asked for: the hits of brute force."""
+    for name, value in {"ITEM_ROWS": 100, "ITEM_FACTOR": 1, "TILE": (4, 16), "PAIRS": pairs, "EXACT_ROWS": 5}.items():
+        monkeypatch.setattr(blocks, name, value)
+    rng = np.random.default_rng(11)
+    x, q = np.round(rng.normal(size=(900, 8)), 1), np.round(rng.normal(size=(11, 8)), 1)
+    x[300:500] = x[7]
+    ids, lists, asks = np.arange(900), rng.integers(0, 5, 900), rng.random((11, 5)) < 0.6
+    for own in (None, asks):
+        block, top = blocks.QueryBlock(q, metric), blocks.TopK(len(q), 9, numbers=True)
+        block.offer(top, np.arange(len(q)), x, ids, None if own is None else lists, own)
+        for i, one in enumerate(q):
+            some = np.ones(900, dtype=bool) if own is None else own[i][lists]
+            expected = brute([one], x[some], ids[some].tolist(), 9, metric)[0]
+            assert list(zip(top.d[i, :top.n[i]].tolist(), top.id[i, :top.n[i]].tolist())) == expected[:9]

@@ -135,3 +135,51 @@ def test_a_cell_compares_its_queries_in_runs(metric):
     tracemalloc.stop()
     assert peak < n * width * 8 and hits.num_rows == 3 * n
     assert hits.combine_chunks().equals(spread.cell_hits(asked, held, 3, metric, rows=n).combine_chunks())
+
+
+def test_hits_are_not_multiplied_by_parts(spark, items, monkeypatch):
+    """With many queries there are blocks enough for all cores: items stay in one piece, and a query sends k hits, not k for each part."""
+    seen = []
+    whole = spread.merged
+    monkeypatch.setattr(spread, "LEAST_ROWS", 16)
+    monkeypatch.setattr(spread, "merged", lambda hits, k, n: seen.append((hits, n)) or whole(hits, k, n))
+    queries = queries_of(spark, 400)
+    rows = spread.spread_search(queries, items, 60).collect()
+    assert {tuple(r) for r in rows} == expected(items, queries, 60, "euclidean")
+    (hits, parts), = seen
+    assert parts == 1 and hits.count() == 400 * 60 and hits.rdd.getNumPartitions() >= 8
+
+
+def test_shape_moves_few_bytes():
+    """Few queries leave the items in few copies; many hits a query leave it in one place; memory bounds both sides."""
+    assert spread.shape(600_000, 600_000, 0, 256, 100, 20_000, 24) == (1, 30)
+    pieces, blocks = spread.shape(20_000, 50_000_000, 0, 256, 10, 100_000, 24)
+    assert blocks == 1 and pieces >= 48
+    pieces, blocks = spread.shape(600_000, 160_000, 0, 256, 10, 100_000, 24)
+    assert pieces * blocks >= 24 and pieces <= 3
+    assert spread.shape(100, 100, 3.0, 256, 10, 1000, 24) == (1, 1)
+    assert spread.shape(100, 0, 0, 256, 10, 1000, 24) == (1, 1)
+
+
+@pytest.mark.parametrize("rows", [1, 40, 10_000])
+@pytest.mark.parametrize("cut", [1, 7, 1000])
+def test_items_stream_past_the_queries_of_a_cell(rows, cut):
+    """However batches are cut, and with cells that have one side alone: the hits of each cell at once."""
+    rng = np.random.default_rng(6)
+    schema = pa.schema([("cell", pa.int32()), ("side", pa.int32()), ("part", pa.int32()), ("query_id", pa.int64()), ("id", pa.string()),
+                        ("vector", pa.list_(pa.float32())), ("lists", pa.list_(pa.int32())), ("list_id", pa.int32())])
+    made, asked, held = [], {}, {}
+    for cell, (n, m) in enumerate([(5, 0), (30, 90), (0, 20), (12, 60)]):
+        asked[cell] = [(cell, 0, cell, 100 * cell + i, None, np.round(rng.normal(size=4), 1).tolist(), [-1, i % 2], None) for i in range(n)]
+        held[cell] = [(cell, 1, cell, None, f"i{i:03d}", np.round(rng.normal(size=4), 1).tolist(), None, i % 3 - 1) for i in range(m)]
+        made += asked[cell] + held[cell]
+    table = pa.Table.from_pylist([dict(zip(schema.names, r)) for r in made], schema)
+    found = list(spread.stream_hits(table.to_batches(max_chunksize=cut), 4, "euclidean", rows))
+    found = {(r["query_id"], r["id"], r["distance"], r["part"]) for r in pa.Table.from_batches(found).to_pylist()}
+    expected_hits = set()
+    for cell in (1, 3):
+        for q in asked[cell]:
+            own = [h for h in held[cell] if h[7] in q[6]]
+            d = exact_distance(np.repeat([np.float32(q[5]).astype(float)], len(own), axis=0), np.float32([h[5] for h in own]).astype(float), "euclidean")
+            expected_hits |= {(q[3], i, a, cell) for a, i in sorted((a, h[4]) for a, h in zip(d.tolist(), own))[:4]}
+    assert found == expected_hits
