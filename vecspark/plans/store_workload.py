@@ -12,7 +12,7 @@ from .collection import VectorStore
 from .text_store import TextStore
 from .workload import (DIGITS, FILTERS, K, KEY, TEXT_DIM, _collection, _faulty_items, _read, _stream_of, _upsert_batch, document_rows,
                        embedding_items, embedding_queries, tagged_items)
-from .workspace import scratch_path
+from .workspace import scratch_path, written
 
 LISTS = 16
 WANTED = 60          # more than many a filter leaves in the nearest lists
@@ -69,11 +69,12 @@ def collection_filtered_recall(spark, sf):
     out = None
     for name in ("eq", "in", "or"):
         kept = items.where(compile_filter(FILTERS[name], F.col("metadata")))
-        exact = search.search(queries, kept, K, distance.EUCLIDEAN)
+        exact = written(search.search(queries, kept, K, distance.EUCLIDEAN), "exact")
         for probes, gate in ((LISTS, 1.0), (LISTS * 3 // 4, 0.85), (None, 0.85)):
             found = collection.query(queries, top_k=K, n_probes=probes, filters=FILTERS[name], include=("distance",))
-            row = evaluate.mean_recall(found, exact).select(
-                F.lit(name).alias("filter"), F.lit(probes or -1).alias("n_probes"), (F.col("recall") >= gate).alias("reached"))
+            # written one after the other: the shuffles of one search are gone before the next
+            row = written(evaluate.mean_recall(found, exact).select(
+                F.lit(name).alias("filter"), F.lit(probes or -1).alias("n_probes"), (F.col("recall") >= gate).alias("reached")), "recall")
             out = row if out is None else out.union(row)
     return out
 
